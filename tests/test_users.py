@@ -1,0 +1,154 @@
+from __future__ import annotations
+
+from datetime import date
+
+from frames import at, events, rows, signups, users
+from tidemark.operators import users as us
+
+AS_OF = date(2024, 3, 31)
+CURRENT, PREVIOUS, LONG_AGO = "2024-03-10", "2024-02-10", "2023-01-01"
+
+
+def test_countries_are_standardised_and_null_is_dropped(spark):
+    df = users(
+        spark,
+        *signups("Brasil", CURRENT, 2),
+        *signups("Brazil", CURRENT, 1),
+        *signups("Deutschland", CURRENT, 1),
+        *signups("United States", CURRENT, 1),
+        *signups(None, CURRENT, 4),
+    )
+    assert rows(us.users_by_country(df)) == [
+        ("Brazil", 3),
+        ("Germany", 1),
+        ("United States of America", 1),
+    ]
+
+
+def test_period_ends(spark):
+    days = {
+        "2024-04-01": None,
+        "2024-03-31": "current",
+        "2024-03-01": "current",
+        "2024-02-29": "previous",
+        "2024-01-31": "previous",
+        "2024-01-30": None,
+    }
+    df = users(
+        spark,
+        *[row for n, day in enumerate(days) for row in signups("A", day, 10**0, n)],
+        *signups("A", "2024-02-10", 10, 100),
+    )
+    assert rows(us.country_trends(df, AS_OF)) == [("A", 2, 12, -10 / 12, "Top Growth")]
+
+
+def test_trends_need_ten_previous_users(spark):
+    df = users(
+        spark,
+        *signups("none", CURRENT, 5),
+        *signups("nine", PREVIOUS, 9),
+        *signups("ten", PREVIOUS, 10),
+    )
+    assert rows(us.country_trends(df, AS_OF)) == [("ten", 0, 10, -1.0, "Top Growth")]
+
+
+def test_growth_wins_over_decline(spark):
+    seven = [row for n in range(7) for row in signups(f"c{n}", CURRENT, n) + signups(f"c{n}", PREVIOUS, 10)]
+    result = rows(us.country_trends(users(spark, *seven), AS_OF))
+    assert [(country, kind) for country, *_, kind in result] == [
+        ("c6", "Top Growth"),
+        ("c5", "Top Growth"),
+        ("c4", "Top Growth"),
+        ("c3", "Top Growth"),
+        ("c2", "Top Growth"),
+        ("c1", "Top Decline"),
+        ("c0", "Top Decline"),
+    ]
+
+
+def test_equal_changes_are_settled_by_name(spark):
+    tied = [row for n in range(12) for row in signups(f"c{n:02}", PREVIOUS, 10)]
+    for order in (tied, tied[::-1]):
+        result = rows(us.country_trends(users(spark, *order), AS_OF))
+        assert [(country, kind) for country, *_, kind in result] == [
+            (f"c{n:02}", "Top Growth") for n in range(5)
+        ]
+
+
+def test_increases_need_base_previous_and_current(spark):
+    df = users(
+        spark,
+        *signups("small", LONG_AGO, 47) + signups("small", PREVIOUS, 1) + signups("small", CURRENT, 1),
+        *signups("fits", LONG_AGO, 48) + signups("fits", PREVIOUS, 1) + signups("fits", CURRENT, 1),
+        *signups("new", CURRENT, 60),
+        *signups("quiet", PREVIOUS, 60),
+    )
+    assert rows(us.country_increases(df, AS_OF)) == [("fits", 1, 2.0)]
+
+
+def test_decreases(spark):
+    df = users(
+        spark,
+        *signups("nine", LONG_AGO, 50) + signups("nine", PREVIOUS, 9),
+        *signups("ten", LONG_AGO, 89) + signups("ten", PREVIOUS, 10) + signups("ten", CURRENT, 1),
+        *signups("same", LONG_AGO, 50) + signups("same", PREVIOUS, 10) + signups("same", CURRENT, 10),
+        *signups("all", LONG_AGO, 90) + signups("all", PREVIOUS, 10),
+    )
+    assert rows(us.country_decreases(df, AS_OF)) == [("all", 10, 10.0), ("ten", 9, 9.0)]
+
+
+def test_top_three(spark):
+    many = [
+        row
+        for n in range(1, 6)
+        for row in signups(f"c{n}", LONG_AGO, 60) + signups(f"c{n}", PREVIOUS, 20) + signups(f"c{n}", CURRENT, n)
+    ]
+    df = users(spark, *many)
+    assert [row[0] for row in rows(us.country_increases(df, AS_OF))] == ["c5", "c4", "c3"]
+    assert [row[0] for row in rows(us.country_decreases(df, AS_OF))] == ["c1", "c2", "c3"]
+
+
+def _cohort(month: str, size: int, first_id: int):
+    return signups("A", f"{month}-15", size, first_id)
+
+
+def test_retention(spark):
+    df = users(spark, *_cohort("2024-01", 50, 0), *_cohort("2024-03", 60, 100))
+    activity = events(
+        spark,
+        (0, "s", "home", at("2023-12-31")),
+        (0, "s", "home", at("2024-01-31")),
+        (0, "s", "home", at("2024-02-01", "00:00:00")),
+        (0, "s", "home", at("2024-02-02")),
+        (1, "s", "home", at("2024-02-29")),
+        (1, "s", "home", at("2024-03-31", "23:59:59")),
+        (2, "s", "home", at("2024-04-01", "00:00:00")),
+        (None, "s", "home", at("2024-03-01")),
+        (999, "s", "home", at("2024-03-01")),
+    )
+    # The running month has no cohort yet, but its activity counts.
+    assert rows(us.retention_cohorts(df, activity, AS_OF)) == [
+        (date(2024, 1, 1), "2024-01", 0, 1.0),
+        (date(2024, 1, 1), "2024-01", 1, 2 / 50),
+        (date(2024, 1, 1), "2024-01", 2, 1 / 50),
+    ]
+
+
+def test_cohorts_are_picked_before_their_size_is_checked(spark):
+    sizes = {"2023-09": 70, "2023-11": 60, "2023-12": 49, "2024-01": 50, "2024-02": 10}
+    members = [row for n, (month, size) in enumerate(sizes.items()) for row in _cohort(month, size, n * 100)]
+    none = events(spark, (10**6, "s", "home", at("2024-01-01")))
+    result = us.retention_cohorts(users(spark, *members), none, AS_OF)
+    assert [row[1] for row in rows(result)] == ["2023-11", "2024-01"]
+
+
+def test_no_cohort_is_large_enough(spark):
+    df = users(spark, *_cohort("2024-01", 49, 0))
+    assert rows(us.retention_cohorts(df, events(spark, (1, "s", "home", at("2024-02-01"))), AS_OF)) == []
+
+
+def test_retention_stops_at_max_age(spark):
+    df = users(spark, *_cohort("2023-06", 50, 0))
+    months = ["2023-07", "2023-10", "2023-11"]
+    activity = events(spark, *[(1, "s", "home", at(f"{month}-01")) for month in months])
+    assert [row[2] for row in rows(us.retention_cohorts(df, activity, AS_OF))] == [0, 1, 4]

@@ -1,16 +1,22 @@
-"""Date windows.
+"""Days, months and windows of days.
 
 Bounds are worked out once from `as_of` and compared with the bare timestamp column as half-open
 ranges, so that they reach the parquet scan; wrapping the column in `trunc` would stop that.
+
+The parquet reader skips row groups by time only for zoned microsecond timestamps, not for zone-free
+or INT96 ones. Tables stored by day (`sources.tables.store_by_day`) carry `created_day` and are cut
+by it too, which skips whole folders for any kind of timestamp.
 """
 
 from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+DAY_COLUMN = "created_day"
+
 
 def days_before(as_of: date, days: int) -> date:
     return as_of - timedelta(days=days)
@@ -22,17 +28,9 @@ def first_of_month(day: date, shift: int = 0) -> date:
     return date(months // 12, months % 12 + 1, 1)
 
 
-def before_day(ts: Column, day: date) -> Column:
-    return ts < F.lit(day)
-
-
-def from_day(ts: Column, day: date) -> Column:
-    return ts >= F.lit(day)
-
-
 def within_days(ts: Column, start: date, end: date) -> Column:
     """`start <= day < end`."""
-    return from_day(ts, start) & before_day(ts, end)
+    return (ts >= F.lit(start)) & (ts < F.lit(end))
 
 
 def month_of(ts: Column) -> Column:
@@ -42,3 +40,32 @@ def month_of(ts: Column) -> Column:
 def months_apart(later: Column, earlier: Column) -> Column:
     """Number of month boundaries between two dates (31 January to 1 February is 1)."""
     return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
+
+
+def _time_columns(df: DataFrame, ts_col: str) -> list[str]:
+    return [ts_col, DAY_COLUMN] if DAY_COLUMN in df.columns else [ts_col]
+
+
+def cut_days(
+    df: DataFrame, start: date | None = None, end: date | None = None, ts_col: str = "created_at"
+) -> DataFrame:
+    """Rows with `start <= day < end`; a bound may be left out."""
+    for name in _time_columns(df, ts_col):
+        if start is not None:
+            df = df.where(F.col(name) >= F.lit(start))
+        if end is not None:
+            df = df.where(F.col(name) < F.lit(end))
+    return df
+
+
+def cut_since(df: DataFrame, start: DataFrame, ts_col: str = "created_at") -> DataFrame:
+    """Rows on or after the date in the one cell of `start`, known only when the query runs.
+
+    The bound has the type of the column it is compared with; a cast around it would keep it from the
+    scan.
+    """
+    cell = F.col(start.columns[0])
+    for name in _time_columns(df, ts_col):
+        bound = start.select(cell.cast(df.schema[name].dataType)).scalar()
+        df = df.where(F.col(name) >= bound)
+    return df

@@ -6,41 +6,51 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 FACTS_MARKER = "facts_json"
+FENCE = "```"
 
 # The characters that count as whitespace (ASCII blanks, the four separator controls,
-# and the Unicode blanks).
+# and the Unicode blanks), as a string and as a regular expression.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 BLANK = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def facts_block(text: Column) -> Column:
-    """From the first `{` behind the first facts marker to the last `}` of the text, else NULL.
+    """From the first `{` behind the first facts marker to the last `}` of the text, else empty.
 
-    Says the same as a search for marker, shortest gap, `{`, longest run, `}`: when the first brace
-    behind the first marker has no closing brace after it, no later one has.
+    Says the same as a search for marker, shortest gap, `{`, longest run, `}`, without its retries:
+    when the first brace behind the first marker has no closing brace after it, no later one has.
     """
-    tail = F.when(F.contains(text, F.lit(FACTS_MARKER)), F.substr(text, F.instr(text, FACTS_MARKER)))
-    body = F.when(F.contains(tail, F.lit("{")), F.substr(tail, F.instr(tail, "{")))
-    behind_last_brace = F.length(F.substring_index(body, "}", -1))
+    behind_marker = F.substr(text, F.instr(text, FACTS_MARKER))
     return F.when(
-        F.contains(body, F.lit("}")),
-        F.substr(body, F.lit(1), F.length(body) - behind_last_brace),
-    )
+        F.contains(text, F.lit(FACTS_MARKER)),
+        F.regexp_extract(behind_marker, r"(?s)\A[^{]*+(\{.*\})", 1),
+    ).otherwise("")
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def without_facts_section(text: Column) -> Column:
+    return F.regexp_replace(text, rf"(?isu){FACTS_MARKER}.*", "")
+
+
+def without_json_fences(text: Column) -> Column:
+    return F.regexp_replace(text, rf"(?isu){FENCE}json.*?{FENCE}", "")
+
+
+def without_fences(text: Column) -> Column:
+    return F.regexp_replace(text, rf"(?s){FENCE}.*?{FENCE}", "")
 
 
-def without_facts(text: Column) -> Column:
-    """Drop the facts section and fenced blocks, then tidy line breaks and blank lines."""
-    text = F.regexp_replace(text, rf"(?isu){FACTS_MARKER}.*", "")
-    text = F.regexp_replace(text, r"(?isu)```json.*?```", "")
-    text = F.regexp_replace(text, r"(?s)```.*?```", "")
-    text = F.replace(text, F.lit("\\n"), F.lit("\n"))
-    text = F.regexp_replace(text, rf"\n{BLANK}*\n", "\n\n")
-    return strip(text)
+def real_line_breaks(text: Column) -> Column:
+    """Line breaks that were written out as a backslash and an n."""
+    return F.replace(text, F.lit("\\n"), F.lit("\n"))
+
+
+def single_blank_lines(text: Column) -> Column:
+    return F.regexp_replace(text, rf"\n{BLANK}*\n", "\n\n")
+
+
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(WHITESPACE))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import before_day, days_before, first_of_month, month_of, within_days
+from tidemark.functions.dates import cut_days, days_before, first_of_month, month_of
 from tidemark.functions.names import PLATFORMS, platform_code, platform_name
 from tidemark.sources.tables import as_of_snapshot
 
@@ -20,7 +20,7 @@ def data_end_date(events: DataFrame, as_of: date | None = None) -> DataFrame:
 def mau_monthly(events: DataFrame, as_of: date) -> DataFrame:
     """Distinct users per calendar month, for the months before the one `as_of` lies in."""
     return (
-        events.where(before_day(F.col("created_at"), first_of_month(as_of)))
+        cut_days(events, end=first_of_month(as_of))
         .groupBy(month_of(F.col("created_at")).alias("month"))
         .agg(F.count_distinct("user_id").alias("mau"))
         .orderBy("month")
@@ -33,7 +33,7 @@ def mau_recent(mau: DataFrame, months: int = 18) -> DataFrame:
 
 
 def _trailing(events: DataFrame, as_of: date, days: int) -> DataFrame:
-    return events.where(within_days(F.col("created_at"), days_before(as_of, days), as_of))
+    return cut_days(events, days_before(as_of, days), as_of)
 
 
 def active_users_trailing(events: DataFrame, as_of: date, days: int = 30) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.dates import days_before, first_of_month, from_day, within_days
+from tidemark.functions.dates import cut_days, days_before, first_of_month
 from tidemark.functions.names import REGISTRATION_STEP, SHOPPING_STEPS
 from tidemark.operators.events import session_steps
 from tidemark.sources.tables import as_of_snapshot
@@ -29,14 +29,14 @@ def session_funnel(events: DataFrame, as_of: date) -> DataFrame:
     The order of events inside a session does not matter. Percentages are of the first step, NULL
     when no session reached it.
     """
-    month = within_days(F.col("created_at"), first_of_month(as_of, -1), first_of_month(as_of))
+    month = cut_days(events, first_of_month(as_of, -1), first_of_month(as_of))
     reached: Column = F.lit(True)
     counts = []
     for number, step in enumerate(STEPS, start=1):
         reached = reached & F.col(step)
         counts.append(F.count_if(reached).alias(f"s{number}"))
     steps = _as_steps(
-        session_steps(events.where(month), STEPS).agg(*counts), list(SHOPPING_STEPS.values()), "sessions"
+        session_steps(month, STEPS).agg(*counts), list(SHOPPING_STEPS.values()), "sessions"
     )
     percentage = F.round(F.try_divide(F.lit(100.0) * F.col("sessions"), "first"), 1)
     return steps.select(
@@ -71,18 +71,15 @@ def funnel_step_conversion(funnel: DataFrame, value: str = "sessions") -> DataFr
 
 def _registrants(users: DataFrame, as_of: date) -> DataFrame:
     """Signups of the days 60 to 30 before `as_of`, both included."""
-    window = within_days(F.col("created_at"), days_before(as_of, 60), days_before(as_of, 29))
-    return users.where(window).select(
+    return cut_days(users, days_before(as_of, 60), days_before(as_of, 29)).select(
         F.col("id").alias("user_id"), F.col("created_at").alias("registration_date")
     )
 
 
 def _step_events(events: DataFrame, as_of: date) -> DataFrame:
     """Funnel events that can follow such a signup."""
-    return as_of_snapshot(events, as_of).where(
-        from_day(F.col("created_at"), days_before(as_of, 60))
-        & F.col("event_type").isin(STEPS)
-        & F.col("user_id").isNotNull()
+    return cut_days(as_of_snapshot(events, as_of), start=days_before(as_of, 60)).where(
+        F.col("event_type").isin(STEPS) & F.col("user_id").isNotNull()
     )
 
 

@@ -9,16 +9,16 @@ from pyspark.sql.window import Window
 
 
 def require_unique_key(df: DataFrame, key: str) -> DataFrame:
-    """The same rows; the query fails when two of them share a key (NULL keys do not count)."""
-    repeated = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+    """The same rows; the query fails when two of them share a key or one has none."""
+    unfit = (
+        df.groupBy(key)
         .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > 1)
+        .where((F.col("rows") > 1) | F.col(key).isNull())
         .agg(F.count("*"))
         .scalar()
     )
-    return df.where(F.assert_true(repeated == 0, F.lit(f"several rows for one {key}")).isNull())
+    message = F.lit(f"{key} is missing or given several times")
+    return df.where(F.assert_true(unfit == 0, message).isNull())
 
 
 def _overwrite(target: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -41,19 +41,21 @@ def _overwrite(target: DataFrame, changes: DataFrame, key: str, columns: list[st
 
 
 def upsert_by_key(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """Merge `source` into `target`.
+    """Merge `source`, which has each key once, into `target`.
 
     Rows with a matching key get the source's other columns and keep the rest; source rows without a
-    match are added, with NULL in columns the source does not have. A NULL key matches nothing.
+    match are added, with NULL in columns the source does not have.
 
-    The additions are found through the target's key column alone. Both steps are joins with the
-    target on the left, so a small source never makes the target move.
+    The additions are found through the target's key column alone. Both joins with the target have it
+    on the left, so a small source never makes it move. The two full uses of the source share one
+    shuffle, behind which it is computed once; an anti join would be moved before the shuffle and end
+    that, hence the mark.
     """
-    source = require_unique_key(source, key)
-    columns = [column for column in source.columns if column != key]
-    updated = _overwrite(target, source, key, columns)
-    matched = target.select(key).join(source.select(key), key, "left_semi").distinct()
-    added = source.join(matched, key, "left_anti").select(
+    source = require_unique_key(source, key).where(F.col(key).isNotNull()).repartition(key)
+    updated = _overwrite(target, source, key, [column for column in source.columns if column != key])
+    known = target.select(key).join(source.select(key), key, "left_semi").distinct()
+    added = source.join(known.withColumn("_known", F.lit(True)), key, "left").where(F.col("_known").isNull())
+    fitted = added.select(
         *[
             (F.col(field.name) if field.name in source.columns else F.lit(None))
             .cast(field.dataType)
@@ -61,20 +63,21 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
             for field in target.schema
         ]
     )
-    return updated.unionByName(added)
+    return updated.unionByName(fitted)
 
 
 def update_by_key(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Set the columns of `changes` in the target rows with the same key.
 
     A change whose values are all missing (NULL or empty) does nothing. Otherwise every value is set,
-    a NULL too. Keys the target does not have are ignored.
+    a NULL too. Changes for no key, or for one the target does not have, are ignored.
     """
     columns = [column for column in changes.columns if column != key]
     given = F.lit(False)
     for column in columns:
         given = given | F.coalesce(F.col(column).cast("string") != "", F.lit(False))
-    return _overwrite(target, require_unique_key(changes.where(given), key), key, columns)
+    changes = changes.where(given & F.col(key).isNotNull())
+    return _overwrite(target, require_unique_key(changes, key), key, columns)
 
 
 def latest_record(df: DataFrame, order_col: str, tie_break: str, key: str | None = None) -> DataFrame:

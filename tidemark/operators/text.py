@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import facts_block, without_facts
+from tidemark.functions import text as rules
 
 # The fields of a fact record, all read as text.
 FACT_FIELDS = {
@@ -26,7 +26,7 @@ def extract_facts(
     The JSON comes back in normal form: no spaces, keys sorted. A field that is absent or does not
     fit its type is NULL.
     """
-    parsed = df.withColumn("_facts", F.try_parse_json(facts_block(F.col(text_col))))
+    parsed = df.withColumn("_facts", F.try_parse_json(rules.facts_block(F.col(text_col))))
     return parsed.select(
         *df.columns,
         F.coalesce(F.to_json("_facts"), F.lit("{}")).alias("facts_json"),
@@ -35,5 +35,17 @@ def extract_facts(
 
 
 def clean_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rewrite the text without fact sections and fenced blocks, with tidy line breaks."""
-    return df.withColumn(text_col, without_facts(F.col(text_col)))
+    """Rewrite the text without fact sections and fenced blocks, with tidy line breaks.
+
+    One projection per step, so that a text is scanned for fences only when it has one.
+    """
+    text, fenced = F.col(text_col), F.contains(text_col, F.lit(rules.FENCE))
+    steps = [
+        rules.without_facts_section(text),
+        F.when(fenced, rules.without_json_fences(text)).otherwise(text),
+        F.when(fenced, rules.without_fences(text)).otherwise(text),
+        rules.strip(rules.single_blank_lines(rules.real_line_breaks(text))),
+    ]
+    for step in steps:
+        df = df.withColumn(text_col, step)
+    return df

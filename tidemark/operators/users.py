@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import (
-    before_day,
+    cut_days,
+    cut_since,
     days_before,
     first_of_month,
-    from_day,
     month_of,
     months_apart,
     within_days,
@@ -48,7 +48,7 @@ def _country_periods(users: DataFrame, as_of: date, days: int, names: dict[str,
         .groupBy("country")
         .agg(
             F.count("*").alias("base"),
-            F.count_if(from_day(created, current_start)).alias("current_users"),
+            F.count_if(created >= F.lit(current_start)).alias("current_users"),
             F.count_if(within_days(created, previous_start, current_start)).alias("previous_users"),
         )
         .where(F.col("previous_users") > 0)
@@ -67,7 +67,7 @@ def country_trends(
 
     A country in both lists counts as growing. Equal changes are settled by country name.
     """
-    recent = users.where(from_day(F.col("created_at"), days_before(as_of, 2 * days)))
+    recent = cut_days(users, start=days_before(as_of, 2 * days))
     change = F.try_divide(F.col("current_users") - F.col("previous_users"), "previous_users")
     changes = (
         _country_periods(recent, as_of, days, names)
@@ -146,8 +146,8 @@ def retention_cohorts(
     The newest `max_cohorts` cohorts are picked first and only then checked for `min_size`. Month 0
     is the whole cohort. Activity includes the running month, cohorts do not.
     """
-    signups = users.where(before_day(F.col("created_at"), first_of_month(as_of))).select(
-        F.col("id").alias("user_id"), "created_at", month_of(F.col("created_at")).alias("cohort_month")
+    signups = cut_days(users, end=first_of_month(as_of)).withColumn(
+        "cohort_month", month_of(F.col("created_at"))
     )
     cohorts = (
         signups.groupBy("cohort_month")
@@ -157,13 +157,17 @@ def retention_cohorts(
         .where(F.col("cohort_size") >= min_size)
     )
     # Neither older signups nor earlier events can matter. The bound is known once the few cohorts are.
-    oldest = cohorts.agg(F.min("cohort_month")).scalar()
-    members = signups.where(F.col("created_at") >= oldest).join(cohorts, "cohort_month")
+    oldest = cohorts.agg(F.min("cohort_month").alias("oldest"))
+    members = (
+        cut_since(signups, oldest)
+        .select(F.col("id").alias("user_id"), "cohort_month")
+        .join(cohorts, "cohort_month")
+    )
 
     # One row per user and month: a busy user cannot skew the join.
     activity = (
-        as_of_snapshot(events, as_of)
-        .where((F.col("created_at") >= oldest) & F.col("user_id").isNotNull())
+        cut_since(as_of_snapshot(events, as_of), oldest)
+        .where(F.col("user_id").isNotNull())
         .select("user_id", month_of(F.col("created_at")).alias("active_month"))
         .distinct()
     )

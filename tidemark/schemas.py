@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.dates import DAY_COLUMN
+
 USERS = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -42,7 +43,7 @@ _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Pick the schema's columns, failing at plan time if one is missing or of another type.
 
-    Zoned and zone-free timestamps are both accepted.
+    Zoned and zone-free timestamps are both accepted. The day column of tables stored by day stays.
     """
     for field in schema:
         if field.name not in df.columns:
@@ -53,4 +54,5 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             raise ValueError(
                 f"column {field.name} is {found.simpleString()}, expected {field.dataType.simpleString()}"
             )
-    return df.select(*[F.col(name) for name in schema.names])
+    days = [DAY_COLUMN] if DAY_COLUMN in df.columns else []
+    return df.select(*schema.names, *days)

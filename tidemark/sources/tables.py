@@ -1,4 +1,4 @@
-"""Reading tables, cutting them to a day, and writing result tables."""
+"""Reading tables, cutting them to a day, and writing tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import before_day
+from tidemark.functions.dates import DAY_COLUMN, cut_days
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,8 +27,18 @@ def write_mart(df: DataFrame, folder: str, name: str) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
+def store_by_day(df: DataFrame, folder: str, name: str, ts_col: str = "created_at") -> None:
+    """Replace a source table by a copy in one folder per day, for reads that want few days.
+
+    Rebalancing gathers each day's rows into files of a sensible size and splits a day that is too
+    big for one task.
+    """
+    by_day = df.withColumn(DAY_COLUMN, F.to_date(ts_col)).hint("rebalance", DAY_COLUMN)
+    by_day.write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(f"{folder}/{name}.parquet")
+
+
 def as_of_snapshot(df: DataFrame, as_of: date | None, ts_col: str = "created_at") -> DataFrame:
     """Rows up to and including the `as_of` day; `None` keeps the table as it is."""
     if as_of is None:
         return df
-    return df.where(before_day(F.col(ts_col), as_of + timedelta(days=1)))
+    return cut_days(df, end=as_of + timedelta(days=1), ts_col=ts_col)
