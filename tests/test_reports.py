@@ -1,0 +1,147 @@
+"""Quality checks, views, JSON rows and headline figures."""
+
+from __future__ import annotations
+
+import json
+from datetime import date
+
+import pytest
+
+from frames import at, rows
+from tidemark.operators import quality, reporting
+
+AS_OF = date(2024, 4, 2)
+
+
+def mau_table(spark, *counts):
+    return spark.createDataFrame(
+        [(date(2024, month, 1), count) for month, count in enumerate(counts, start=1)], "month date, mau long"
+    )
+
+
+@pytest.fixture()
+def marts(spark):
+    return {
+        "mau": mau_table(spark, 10, 20, 25),
+        "retention": spark.createDataFrame(
+            [(date(2024, 2, 1), "2024-02", 1, 0.25), (date(2024, 1, 1), "2024-01", 2, 0.5),
+             (date(2024, 2, 1), "2024-02", 0, 1.0)],
+            "cohort_month date, cohort_label string, age_month int, retention_rate double",
+        ),
+        "users_by_country": spark.createDataFrame([("A", 3), ("B", 7), (None, 1)], "country string, users long"),
+        "platform_share": spark.createDataFrame(
+            [("iOS", 4, 0.4), ("Android", 4, 0.4), ("Web", 2, 0.2)], "platform string, users long, share double"
+        ),
+        "funnel": spark.createDataFrame(
+            [(2, "Add to Cart", 1, None), (1, "Product View", 2, 100.0)],
+            "step int, step_name string, sessions long, percentage double",
+        ),
+        "data_end_date": spark.createDataFrame([(date(2024, 4, 1),)], "data_end_date date"),
+        "kpi_metrics": spark.createDataFrame(
+            [("2024-04-02", 9, None)], "last_updated_date string, mau_30_days long, purchase_conversion_rate double"
+        ),
+    }
+
+
+def test_row_counts(marts):
+    assert rows(quality.table_row_counts({"mau": marts["mau"], "funnel": marts["funnel"]})) == [
+        ("mau", 3),
+        ("funnel", 2),
+    ]
+
+
+def test_not_null(marts):
+    assert rows(quality.dq_not_null(marts)) == [
+        ("mau", "month", 0),
+        ("mau", "mau", 0),
+        ("users_by_country", "country", 1),
+    ]
+
+
+def test_profile(marts):
+    assert sorted(rows(quality.dq_mart_profile(marts))) == sorted(
+        [
+            ("mau", "months", "3"),
+            ("mau", "first_month", "2024-01-01"),
+            ("mau", "last_month", "2024-03-01"),
+            ("mau", "peak_mau", "25"),
+            ("retention", "cohorts", "2"),
+            ("retention", "min_rate", "0.25"),
+            ("retention", "max_rate", "1.0"),
+            ("users_by_country", "countries", "3"),
+            ("users_by_country", "total_users", "11"),
+            ("users_by_country", "largest_country", "7"),
+            ("platform_share", "platforms", "3"),
+            ("platform_share", "total_users", "10"),
+            ("platform_share", "users iOS", "4"),
+            ("platform_share", "share iOS", "0.4"),
+            ("platform_share", "users Android", "4"),
+            ("platform_share", "share Android", "0.4"),
+            ("platform_share", "users Web", "2"),
+            ("platform_share", "share Web", "0.2"),
+            ("data_end_date", "data_end_date", "2024-04-01"),
+        ]
+    )
+
+
+def test_views_are_ordered(marts):
+    assert [row[0] for row in rows(reporting.read_view(marts, "users_by_country"))] == ["B", "A", None]
+    assert [row[0] for row in rows(reporting.read_view(marts, "platform_share"))] == ["Android", "iOS", "Web"]
+    assert [row[0] for row in rows(reporting.read_view(marts, "funnel"))] == [1, 2]
+    assert [row[1:3] for row in rows(reporting.read_view(marts, "retention"))] == [
+        ("2024-01", 2),
+        ("2024-02", 0),
+        ("2024-02", 1),
+    ]
+    for name in marts:
+        assert reporting.read_view(marts, name).columns == reporting.VIEWS[name][0]
+
+
+def _payload(df) -> dict[str, list[dict]]:
+    sections: dict[str, list[dict]] = {}
+    for section, row in rows(df):
+        sections.setdefault(section, []).append(json.loads(row))
+    return sections
+
+
+def test_summary_payload(marts):
+    payload = _payload(reporting.mart_rows_json(marts, AS_OF))
+    assert list(payload) == ["mau", "retention", "platform", "funnel", "kpi_metrics", "data_end_date"]
+    assert payload["mau"][0] == {"month": "2024-03-01", "mau": 25}
+    assert payload["kpi_metrics"] == [
+        {"last_updated_date": "2024-04-02", "mau_30_days": 9, "purchase_conversion_rate": None}
+    ]
+    assert payload["data_end_date"] == [{"data_end_date": "2024-04-02"}]
+    assert payload["funnel"][0] == {"step": 2, "step_name": "Add to Cart", "sessions": 1}
+
+
+def test_chat_payload(spark, marts):
+    marts["mau"] = mau_table(spark, *range(1, 10))
+    del marts["retention"]
+    log = spark.createDataFrame(
+        [("r1", at("2024-01-01"), "old", "{}"), ("r2", at("2024-01-02"), "new", '{"a":1}')],
+        "run_id string, run_ts timestamp_ntz, text string, facts_json string",
+    )
+    payload = _payload(reporting.chat_rows_json(marts, log))
+    assert [row["mau"] for row in payload["mau"]] == [9, 8, 7, 6, 5, 4]
+    assert payload["data_end_date"] == [{"data_end_date": "2024-04-01"}]
+    assert payload["latest_summary"] == [{"text": "new", "facts_json": '{"a":1}'}]
+    assert "retention" not in payload
+    assert "latest_summary" not in _payload(reporting.chat_rows_json(marts))
+
+
+@pytest.mark.parametrize(
+    ("counts", "trend"),
+    [
+        ((10, 20, 40), "accelerating"),
+        ((5, 10, 20, 30), "stable"),
+        ((10, 20, 25), "declining"),
+        ((10, 20), None),
+        ((10,), None),
+    ],
+)
+def test_headline_facts(spark, marts, counts, trend):
+    facts = reporting.headline_facts(
+        mau_table(spark, *counts), marts["platform_share"], marts["kpi_metrics"], marts["retention"]
+    )
+    assert rows(facts) == [(counts[-1], "Android", 0.4, None, 0.25, trend)]

@@ -31,6 +31,19 @@ def facts_block(text: Column) -> Column:
     ).otherwise("")
 
 
+def json_value(block: Column) -> Column:
+    """The block as a variant, NULL unless it is one JSON value from end to end.
+
+    The parser stops after the first value, so the block goes in as the head of a list whose second
+    item is the block's own digest: only if nothing in the block ended the list or added to it does
+    the digest come out in second place.
+    """
+    digest = F.sha2(block, 256)
+    pair = F.try_parse_json(F.concat(F.lit("["), block, F.lit(',"'), digest, F.lit('"]')))
+    complete = F.try_variant_get(pair, "$[1]", "string") == digest
+    return F.when(complete, F.try_variant_get(pair, "$[0]", "variant"))
+
+
 def without_facts_section(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?isu){FACTS_MARKER}.*", "")
 

@@ -26,7 +26,8 @@ def extract_facts(
     The JSON comes back in normal form: no spaces, keys sorted. A field that is absent or does not
     fit its type is NULL.
     """
-    parsed = df.withColumn("_facts", F.try_parse_json(rules.facts_block(F.col(text_col))))
+    blocks = df.withColumn("_block", rules.facts_block(F.col(text_col)))
+    parsed = blocks.withColumn("_facts", rules.json_value(F.col("_block")))
     return parsed.select(
         *df.columns,
         F.coalesce(F.to_json("_facts"), F.lit("{}")).alias("facts_json"),
