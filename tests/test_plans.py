@@ -10,7 +10,7 @@ import plan_nodes
 from frames import rows
 from oracle_check import TESTDATA
 from tidemark.operators import events as ev
-from tidemark.operators import funnels, users
+from tidemark.operators import funnels, tables, users
 from tidemark.plans.catalog import QUERIES
 from tidemark.session import configure
 from tidemark.sources import bindings as b
@@ -58,9 +58,9 @@ def test_latest_record_drops_losers_before_the_shuffle(spark):
     ]
 
 
-@pytest.mark.parametrize(("key", "tables"), [("country_trends", 3), ("country_increases", 3), ("session_funnel", 1)])
-def test_each_table_is_read_once(spark, key, tables):
-    assert len(plan_nodes.scans(QUERIES[key](spark, FOLDER))) == tables
+@pytest.mark.parametrize(("key", "count"), [("country_trends", 3), ("country_increases", 3), ("session_funnel", 1)])
+def test_each_table_is_read_once(spark, key, count):
+    assert len(plan_nodes.scans(QUERIES[key](spark, FOLDER))) == count
 
 
 def test_upsert_computes_its_source_once(spark):
@@ -134,3 +134,34 @@ def test_retention_reads_from_the_oldest_kept_cohort_on(spark, by_day, tmp_path)
     result = users.retention_cohorts(earlier, events, date(2024, 2, 25), min_size=1)
     assert sorted(_files_read(result))[-1] == 30
     assert [row.age_month for row in result.collect()] == [0, 1]
+
+
+HOT_OPERATORS = {
+    "mau": lambda us, es: ev.mau_monthly(es, date(2024, 5, 1)),
+    "kpi": lambda us, es: ev.kpi_metrics(es, date(2024, 4, 1)),
+    "platform_share": lambda us, es: ev.platform_share(es),
+    "session_funnel": lambda us, es: funnels.session_funnel(es, date(2024, 4, 1)),
+    "unordered": lambda us, es: funnels.registration_funnel_unordered(us, es, date(2024, 4, 1)),
+    "ordered": lambda us, es: funnels.registration_funnel_ordered(us, es, date(2024, 4, 1)),
+    "retention": lambda us, es: users.retention_cohorts(us, es, date(2024, 4, 1), min_size=1),
+    "latest": lambda us, es: tables.latest_record(es, "created_at", tie_break="session_id", key="user_id"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(HOT_OPERATORS))
+def test_a_hot_user_is_reduced_before_the_shuffle(spark, name):
+    """60,000 events of one user and session, in 8 tasks over 30 days."""
+    hot = spark.range(0, 60_000, 1, 8).selectExpr(
+        "7L AS user_id",
+        "'s' AS session_id",
+        "element_at(array('product', 'cart', 'purchase', 'home'), int(id % 4) + 1) AS event_type",
+        "timestampadd(MINUTE, int(id * 37 % 43000), timestamp_ntz'2024-03-01') AS created_at",
+        "'Chrome' AS browser",
+    )
+    signed = spark.sql("SELECT 7L AS id, timestamp_ntz'2024-02-15' AS created_at, 'A' AS country")
+    written = [
+        node.metrics().apply("shuffleRecordsWritten").value()
+        for found, _, node in plan_nodes.nodes(HOT_OPERATORS[name](signed, hot))
+        if found == "ShuffleExchangeExec"
+    ]
+    assert 0 < sum(written) <= 8 * 31 * 2

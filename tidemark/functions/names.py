@@ -30,11 +30,10 @@ PLATFORMS = sorted({*BROWSER_PLATFORMS.values(), OTHER_PLATFORM})
 
 def platform_code(browser: Column) -> Column:
     """Index into PLATFORMS, a fixed-width stand-in for the name inside aggregates."""
-    browser = F.lower(browser)
-    code = F.lit(PLATFORMS.index(OTHER_PLATFORM))
-    for name, platform in BROWSER_PLATFORMS.items():
-        code = F.when(browser == name, PLATFORMS.index(platform)).otherwise(code)
-    return code
+    codes = F.create_map(
+        *[F.lit(item) for name, platform in BROWSER_PLATFORMS.items() for item in (name, PLATFORMS.index(platform))]
+    )
+    return F.coalesce(F.try_element_at(codes, F.lower(browser)), F.lit(PLATFORMS.index(OTHER_PLATFORM)))
 
 
 def platform_name(code: Column) -> Column:

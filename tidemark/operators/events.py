@@ -78,10 +78,11 @@ def platform_share(events: DataFrame, as_of: date | None = None) -> DataFrame:
 
     Time and platform travel as one number, so that "latest" is a plain `max`: a hash aggregate with
     map-side combine instead of a sort per user. Events of one user at the same instant are settled
-    by platform name. Events without a user count as one user together.
+    by platform name, events without a time are the earliest. Events without a user count as one user
+    together.
     """
     per_instant = len(PLATFORMS)
-    instant = F.unix_micros(F.col("created_at").cast("timestamp"))
+    instant = F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(-(2**60)))
     latest = (
         as_of_snapshot(events, as_of)
         .groupBy("user_id")

@@ -72,7 +72,7 @@ def _sections(sections: dict[str, DataFrame]) -> DataFrame:
 
 def mart_rows_json(marts: dict[str, DataFrame], as_of: date) -> DataFrame:
     """The summary payload, one line per row of each section; its end date is the `as_of` day."""
-    end_date = marts["data_end_date"].sparkSession.range(1).select(F.lit(as_of).alias("data_end_date"))
+    end_date = marts["data_end_date"].select(F.lit(as_of).alias("data_end_date"))
     return _sections(
         {
             "mau": mau_recent(marts["mau"], 18),

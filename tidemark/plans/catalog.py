@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,53 +29,59 @@ SHIP_DAY = date(1998, 6, 30)
 SUMMARY_START = datetime(2024, 1, 1)
 
 
-def _web(spark: SparkSession, folder: str) -> DataFrame:
-    return b.load_events(spark, folder, b.events_web)
+class Inputs:
+    """The logical tables of one folder, each bound once however many queries use it."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self._at = (spark, folder)
 
-def _order_events(spark: SparkSession, folder: str) -> DataFrame:
-    return b.load_events(spark, folder, b.events_orders)
+    @cached_property
+    def web(self) -> DataFrame:
+        return b.load_events(*self._at, b.events_web)
 
+    @cached_property
+    def orders(self) -> DataFrame:
+        return b.load_events(*self._at, b.events_orders)
 
-def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    return b.load_users(spark, folder, b.users_cust)
+    @cached_property
+    def customers(self) -> DataFrame:
+        return b.load_users(*self._at, b.users_cust)
 
+    @cached_property
+    def shipments(self) -> DataFrame:
+        return b.load_users(*self._at, b.users_ship)
 
-def _shipments(spark: SparkSession, folder: str) -> DataFrame:
-    return b.load_users(spark, folder, b.users_ship)
-
-
-def _signups(spark: SparkSession, folder: str) -> DataFrame:
-    return as_of_snapshot(b.load_users(spark, folder, b.users_signup), SIGNUP_DAY)
+    @cached_property
+    def signups(self) -> DataFrame:
+        return as_of_snapshot(b.load_users(*self._at, b.users_signup), SIGNUP_DAY)
 
 
 # The result tables, each on the tables and day of its own key.
-MART_QUERIES: dict[str, Query] = {
-    "mau": lambda spark, folder: ev.mau_monthly(_order_events(spark, folder), ORDERS_DAY),
-    "retention": lambda spark, folder: users.retention_cohorts(
-        _customers(spark, folder), _order_events(spark, folder), COHORT_DAY
-    ),
-    "users_by_country": lambda spark, folder: users.users_by_country(
-        _customers(spark, folder), CUSTOMERS_DAY, b.NATION_NAMES
-    ),
-    "platform_share": lambda spark, folder: ev.platform_share(_web(spark, folder), WEB_DAY),
-    "funnel": lambda spark, folder: funnels.session_funnel(_web(spark, folder), WEB_DAY),
-    "data_end_date": lambda spark, folder: ev.data_end_date(_web(spark, folder), WEB_DAY),
-    "country_trends": lambda spark, folder: users.country_trends(
-        _shipments(spark, folder), SHIP_DAY, names=b.NATION_NAMES
-    ),
-    "country_increases": lambda spark, folder: users.country_increases(
-        _shipments(spark, folder), SHIP_DAY, names=b.NATION_NAMES
-    ),
-    "country_decreases": lambda spark, folder: users.country_decreases(
-        _shipments(spark, folder), SHIP_DAY, names=b.NATION_NAMES
-    ),
-    "kpi_metrics": lambda spark, folder: ev.kpi_metrics(_web(spark, folder), KPI_DAY),
+MART_QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
+    "mau": lambda t: ev.mau_monthly(t.orders, ORDERS_DAY),
+    "retention": lambda t: users.retention_cohorts(t.customers, t.orders, COHORT_DAY),
+    "users_by_country": lambda t: users.users_by_country(t.customers, CUSTOMERS_DAY, b.NATION_NAMES),
+    "platform_share": lambda t: ev.platform_share(t.web, WEB_DAY),
+    "funnel": lambda t: funnels.session_funnel(t.web, WEB_DAY),
+    "data_end_date": lambda t: ev.data_end_date(t.web, WEB_DAY),
+    "country_trends": lambda t: users.country_trends(t.shipments, SHIP_DAY, names=b.NATION_NAMES),
+    "country_increases": lambda t: users.country_increases(t.shipments, SHIP_DAY, names=b.NATION_NAMES),
+    "country_decreases": lambda t: users.country_decreases(t.shipments, SHIP_DAY, names=b.NATION_NAMES),
+    "kpi_metrics": lambda t: ev.kpi_metrics(t.web, KPI_DAY),
 }
 
 
 def marts(spark: SparkSession, folder: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    return {name: MART_QUERIES[name](spark, folder) for name in names or MART_QUERIES}
+    tables = Inputs(spark, folder)
+    return {name: MART_QUERIES[name](tables) for name in names or MART_QUERIES}
+
+
+def _mart(name: str) -> Query:
+    return lambda spark, folder: MART_QUERIES[name](Inputs(spark, folder))
+
+
+def _on(operator: Callable[[Inputs], DataFrame]) -> Query:
+    return lambda spark, folder: operator(Inputs(spark, folder))
 
 
 def texts_with_tails(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,10 +146,6 @@ def refresh_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return summaries.refresh_summaries(document_summaries(spark, folder), texts, WEB_DAY)
 
 
-def _registration(operator: Callable[[DataFrame, DataFrame, date], DataFrame]) -> Query:
-    return lambda spark, folder: operator(_signups(spark, folder), _web(spark, folder), SIGNUP_DAY)
-
-
 def headline_facts(spark: SparkSession, folder: str) -> DataFrame:
     return reporting.headline_facts(
         *marts(spark, folder, ["mau", "platform_share", "kpi_metrics", "retention"]).values()
@@ -150,30 +153,30 @@ def headline_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "data_end_date": MART_QUERIES["data_end_date"],
-    "mau_monthly": MART_QUERIES["mau"],
-    "mau_recent": lambda spark, folder: ev.mau_recent(MART_QUERIES["mau"](spark, folder), 18),
-    "active_users_trailing": lambda spark, folder: ev.active_users_trailing(_web(spark, folder), KPI_DAY),
-    "session_conversion_trailing": lambda spark, folder: ev.session_conversion_trailing(
-        _web(spark, folder), KPI_DAY
+    "data_end_date": _mart("data_end_date"),
+    "mau_monthly": _mart("mau"),
+    "mau_recent": _on(lambda t: ev.mau_recent(ev.mau_monthly(t.orders, ORDERS_DAY), 18)),
+    "active_users_trailing": _on(lambda t: ev.active_users_trailing(t.web, KPI_DAY)),
+    "session_conversion_trailing": _on(lambda t: ev.session_conversion_trailing(t.web, KPI_DAY)),
+    "kpi_metrics": _mart("kpi_metrics"),
+    "retention_cohorts": _mart("retention"),
+    "platform_share": _mart("platform_share"),
+    "users_by_country": _mart("users_by_country"),
+    "country_trends": _mart("country_trends"),
+    "country_increases": _mart("country_increases"),
+    "country_decreases": _mart("country_decreases"),
+    "session_funnel": _mart("funnel"),
+    "funnel_pct_of_first": _on(lambda t: funnels.funnel_pct_of_first(funnels.session_funnel(t.web, WEB_DAY))),
+    "funnel_step_conversion": _on(
+        lambda t: funnels.funnel_step_conversion(funnels.session_funnel(t.web, WEB_DAY))
     ),
-    "kpi_metrics": MART_QUERIES["kpi_metrics"],
-    "retention_cohorts": MART_QUERIES["retention"],
-    "platform_share": MART_QUERIES["platform_share"],
-    "users_by_country": MART_QUERIES["users_by_country"],
-    "country_trends": MART_QUERIES["country_trends"],
-    "country_increases": MART_QUERIES["country_increases"],
-    "country_decreases": MART_QUERIES["country_decreases"],
-    "session_funnel": MART_QUERIES["funnel"],
-    "funnel_pct_of_first": lambda spark, folder: funnels.funnel_pct_of_first(
-        MART_QUERIES["funnel"](spark, folder)
+    "registration_funnel_unordered": _on(
+        lambda t: funnels.registration_funnel_unordered(t.signups, t.web, SIGNUP_DAY)
     ),
-    "funnel_step_conversion": lambda spark, folder: funnels.funnel_step_conversion(
-        MART_QUERIES["funnel"](spark, folder)
+    "first_event_pivot": _on(lambda t: funnels.first_event_pivot(t.signups, t.web, SIGNUP_DAY)),
+    "registration_funnel_ordered": _on(
+        lambda t: funnels.registration_funnel_ordered(t.signups, t.web, SIGNUP_DAY)
     ),
-    "registration_funnel_unordered": _registration(funnels.registration_funnel_unordered),
-    "first_event_pivot": _registration(funnels.first_event_pivot),
-    "registration_funnel_ordered": _registration(funnels.registration_funnel_ordered),
     "export_stringify": lambda spark, folder: tables.export_stringify(read_table(spark, folder, "events")),
     "export_stringify_orders": lambda spark, folder: tables.export_stringify(
         read_table(spark, folder, "orders")
