@@ -152,8 +152,8 @@ HOT_OPERATORS = {
 def test_a_hot_user_is_reduced_before_the_shuffle(spark, name):
     """60,000 events of one user and session, in 8 tasks over 30 days."""
     hot = spark.range(0, 60_000, 1, 8).selectExpr(
-        "7L AS user_id",
-        "'s' AS session_id",
+        "if(id < 0, 1L, 7L) AS user_id",
+        "if(id < 0, 'r', 's') AS session_id",
         "element_at(array('product', 'cart', 'purchase', 'home'), int(id % 4) + 1) AS event_type",
         "timestampadd(MINUTE, int(id * 37 % 43000), timestamp_ntz'2024-03-01') AS created_at",
         "'Chrome' AS browser",
