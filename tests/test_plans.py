@@ -86,6 +86,9 @@ def by_day(spark, tmp_path_factory):
 
 
 OPERATORS = {
+    "mau": lambda us, es: ev.mau_monthly(es, date(2024, 2, 3)),
+    "countries": lambda us, es: users.country_trends(us.fillna("A"), date(2024, 2, 10), 15, 1),
+    "pivot": lambda us, es: funnels.first_event_pivot(us, es, date(2024, 2, 25)).orderBy("user_id"),
     "active_users": lambda us, es: ev.active_users_trailing(es, AS_OF, 7),
     "conversion": lambda us, es: ev.session_conversion_trailing(es, AS_OF, 7),
     "funnel": lambda us, es: funnels.session_funnel(es, date(2024, 2, 3)),
@@ -121,6 +124,13 @@ def test_only_the_days_asked_for_are_read(spark, by_day):
     assert _files_read(ev.active_users_trailing(events, AS_OF, 7)) == [7]
 
 
+@pytest.mark.parametrize("name", ["active_users", "conversion", "data_end_date", "funnel", "mau", "registration"])
+def test_timestamps_stay_unread_where_the_day_is_enough(spark, by_day, name):
+    result = OPERATORS[name](b.load_users(spark, by_day), b.load_events(spark, by_day))
+    for scan in plan_nodes.scans(result):
+        assert "created_at" not in scan.split("ReadSchema")[1]
+
+
 def test_retention_reads_from_the_oldest_kept_cohort_on(spark, by_day, tmp_path):
     """The bound is the outcome of a subquery and still skips folders."""
     folder = str(tmp_path)

@@ -1,11 +1,12 @@
 """Days, months and windows of days.
 
-Bounds are worked out once from `as_of` and compared with the bare timestamp column as half-open
-ranges, so that they reach the parquet scan; wrapping the column in `trunc` would stop that.
+Bounds are worked out once from `as_of` and compared with a bare column as half-open ranges, so that
+they reach the scan; wrapping the column in `trunc` would stop that.
 
-The parquet reader skips row groups by time only for zoned microsecond timestamps, not for zone-free
-or INT96 ones. Tables stored by day (`sources.tables.store_by_day`) carry `created_day` and are cut
-by it too, which skips whole folders for any kind of timestamp.
+Tables stored by day (`sources.tables.store_by_day`) carry `created_day`. Where a metric only needs the
+day it is taken from there: whole folders are skipped and the timestamps themselves are not read. For
+other tables the bounds go to the timestamp; note that the parquet reader then skips row groups only
+for zoned microsecond timestamps, not for zone-free or INT96 ones.
 """
 
 from __future__ import annotations
@@ -28,13 +29,18 @@ def first_of_month(day: date, shift: int = 0) -> date:
     return date(months // 12, months % 12 + 1, 1)
 
 
-def within_days(ts: Column, start: date, end: date) -> Column:
-    """`start <= day < end`."""
-    return (ts >= F.lit(start)) & (ts < F.lit(end))
+def _stored_by_day(df: DataFrame) -> bool:
+    return DAY_COLUMN in df.columns
 
 
-def month_of(ts: Column) -> Column:
-    return F.trunc(F.to_date(ts), "MM")
+def day_of(df: DataFrame) -> Column:
+    """The day of each row."""
+    return F.col(DAY_COLUMN) if _stored_by_day(df) else F.to_date("created_at")
+
+
+def month_of(df: DataFrame) -> Column:
+    """The first day of the month of each row."""
+    return F.trunc(day_of(df), "MM")
 
 
 def months_apart(later: Column, earlier: Column) -> Column:
@@ -42,30 +48,24 @@ def months_apart(later: Column, earlier: Column) -> Column:
     return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
 
 
-def _time_columns(df: DataFrame, ts_col: str) -> list[str]:
-    return [ts_col, DAY_COLUMN] if DAY_COLUMN in df.columns else [ts_col]
-
-
 def cut_days(
     df: DataFrame, start: date | None = None, end: date | None = None, ts_col: str = "created_at"
 ) -> DataFrame:
     """Rows with `start <= day < end`; a bound may be left out."""
-    for name in _time_columns(df, ts_col):
-        if start is not None:
-            df = df.where(F.col(name) >= F.lit(start))
-        if end is not None:
-            df = df.where(F.col(name) < F.lit(end))
+    time = F.col(DAY_COLUMN if _stored_by_day(df) else ts_col)
+    if start is not None:
+        df = df.where(time >= F.lit(start))
+    if end is not None:
+        df = df.where(time < F.lit(end))
     return df
 
 
-def cut_since(df: DataFrame, start: DataFrame, ts_col: str = "created_at") -> DataFrame:
+def cut_since(df: DataFrame, start: DataFrame) -> DataFrame:
     """Rows on or after the date in the one cell of `start`, known only when the query runs.
 
-    The bound has the type of the column it is compared with; a cast around it would keep it from the
-    scan.
+    The bound gets the type of the column it is compared with; a cast around it would keep it from
+    the scan.
     """
-    cell = F.col(start.columns[0])
-    for name in _time_columns(df, ts_col):
-        bound = start.select(cell.cast(df.schema[name].dataType)).scalar()
-        df = df.where(F.col(name) >= bound)
-    return df
+    time = DAY_COLUMN if _stored_by_day(df) else "created_at"
+    bound = start.select(F.col(start.columns[0]).cast(df.schema[time].dataType)).scalar()
+    return df.where(F.col(time) >= bound)

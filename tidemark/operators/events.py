@@ -7,21 +7,21 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import cut_days, days_before, first_of_month, month_of
+from tidemark.functions.dates import cut_days, day_of, days_before, first_of_month, month_of
 from tidemark.functions.names import PLATFORMS, platform_code, platform_name
 from tidemark.sources.tables import as_of_snapshot
 
 
 def data_end_date(events: DataFrame, as_of: date | None = None) -> DataFrame:
     """The latest day with an event."""
-    return as_of_snapshot(events, as_of).agg(F.to_date(F.max("created_at")).alias("data_end_date"))
+    return as_of_snapshot(events, as_of).agg(F.max(day_of(events)).alias("data_end_date"))
 
 
 def mau_monthly(events: DataFrame, as_of: date) -> DataFrame:
     """Distinct users per calendar month, for the months before the one `as_of` lies in."""
     return (
         cut_days(events, end=first_of_month(as_of))
-        .groupBy(month_of(F.col("created_at")).alias("month"))
+        .groupBy(month_of(events).alias("month"))
         .agg(F.count_distinct("user_id").alias("mau"))
         .orderBy("month")
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.dates import cut_days, days_before, first_of_month
+from tidemark.functions.dates import cut_days, day_of, days_before, first_of_month
 from tidemark.functions.names import REGISTRATION_STEP, SHOPPING_STEPS
 from tidemark.operators.events import session_steps
 from tidemark.sources.tables import as_of_snapshot
@@ -71,9 +71,7 @@ def funnel_step_conversion(funnel: DataFrame, value: str = "sessions") -> DataFr
 
 def _registrants(users: DataFrame, as_of: date) -> DataFrame:
     """Signups of the days 60 to 30 before `as_of`, both included."""
-    return cut_days(users, days_before(as_of, 60), days_before(as_of, 29)).select(
-        F.col("id").alias("user_id"), F.col("created_at").alias("registration_date")
-    )
+    return cut_days(users, days_before(as_of, 60), days_before(as_of, 29)).withColumnRenamed("id", "user_id")
 
 
 def _step_events(events: DataFrame, as_of: date) -> DataFrame:
@@ -83,28 +81,25 @@ def _step_events(events: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def _when_step(step: str) -> Column:
-    return F.when(F.col("event_type") == step, F.col("created_at"))
+def _when_step(step: str, value: Column) -> Column:
+    return F.when(F.col("event_type") == step, value)
 
 
 def registration_funnel_unordered(users: DataFrame, events: DataFrame, as_of: date) -> DataFrame:
     """Registered users, and those of them with each kind of event on or after the signup day.
 
-    A user has such an event exactly when the last event of that kind is not before the signup day,
-    so events shrink to one row per user before they meet the users, however busy one user is.
+    A user has such an event exactly when the last day with one is not before the signup day, so
+    events shrink to one row per user before they meet the users, however busy one user is.
     """
-    registered = _registrants(users, as_of).groupBy("user_id").agg(
-        F.min("registration_date").alias("registration_date")
-    )
-    last_events = (
+    registered = _registrants(users, as_of).groupBy("user_id").agg(F.min(day_of(users)).alias("signup_day"))
+    last_days = (
         _step_events(events, as_of)
         .groupBy("user_id")
-        .agg(*[F.max(_when_step(step)).alias(step) for step in STEPS])
+        .agg(*[F.max(_when_step(step, day_of(events))).alias(step) for step in STEPS])
     )
-    signup_day = F.to_date("registration_date")
-    counts = registered.join(last_events, "user_id", "left").agg(
+    counts = registered.join(last_days, "user_id", "left").agg(
         F.count("user_id").alias("s1"),
-        *[F.count_if(F.col(step) >= signup_day).alias(f"s{n}") for n, step in enumerate(STEPS, start=2)],
+        *[F.count_if(F.col(step) >= F.col("signup_day")).alias(f"s{n}") for n, step in enumerate(STEPS, start=2)],
     )
     names = [REGISTRATION_STEP, *SHOPPING_STEPS.values()]
     return _as_steps(counts, names, "users").select("step", "step_name", "users")
@@ -117,13 +112,14 @@ def _first_events(users: DataFrame, events: DataFrame, as_of: date, how: str) ->
     """
     daily = (
         _step_events(events, as_of)
-        .groupBy("user_id", F.to_date("created_at").alias("day"))
-        .agg(*[F.min(_when_step(step)).alias(step) for step in STEPS])
+        .groupBy("user_id", day_of(events).alias("day"))
+        .agg(*[F.min(_when_step(step, F.col("created_at"))).alias(step) for step in STEPS])
     )
-    registrants, daily = _registrants(users, as_of).alias("r"), daily.alias("d")
-    follows = (F.col("d.user_id") == F.col("r.user_id")) & (
-        F.col("d.day") >= F.to_date("r.registration_date")
+    registrants = _registrants(users, as_of).select(
+        "user_id", F.col("created_at").alias("registration_date"), day_of(users).alias("signup_day")
     )
+    registrants, daily = registrants.alias("r"), daily.alias("d")
+    follows = (F.col("d.user_id") == F.col("r.user_id")) & (F.col("d.day") >= F.col("r.signup_day"))
     return (
         registrants.join(daily, follows, how)
         .groupBy("r.user_id", "r.registration_date")

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import (
     cut_days,
     cut_since,
+    day_of,
     days_before,
     first_of_month,
     month_of,
     months_apart,
-    within_days,
 )
 from tidemark.functions.names import COUNTRY_NAMES
 from tidemark.sources.tables import as_of_snapshot
@@ -42,14 +42,14 @@ def _country_periods(users: DataFrame, as_of: date, days: int, names: dict[str,
     The current period runs up to the end of the `as_of` day, the previous one lies just before it.
     """
     current_start, previous_start = days_before(as_of, days), days_before(as_of, 2 * days)
-    created = F.col("created_at")
+    day = day_of(users)
     return (
         standard_countries(as_of_snapshot(users, as_of), names)
         .groupBy("country")
         .agg(
             F.count("*").alias("base"),
-            F.count_if(created >= F.lit(current_start)).alias("current_users"),
-            F.count_if(within_days(created, previous_start, current_start)).alias("previous_users"),
+            F.count_if(day >= current_start).alias("current_users"),
+            F.count_if((day >= previous_start) & (day < current_start)).alias("previous_users"),
         )
         .where(F.col("previous_users") > 0)
     )
@@ -146,9 +146,7 @@ def retention_cohorts(
     The newest `max_cohorts` cohorts are picked first and only then checked for `min_size`. Month 0
     is the whole cohort. Activity includes the running month, cohorts do not.
     """
-    signups = cut_days(users, end=first_of_month(as_of)).withColumn(
-        "cohort_month", month_of(F.col("created_at"))
-    )
+    signups = cut_days(users, end=first_of_month(as_of)).withColumn("cohort_month", month_of(users))
     cohorts = (
         signups.groupBy("cohort_month")
         .agg(F.count("*").alias("cohort_size"))
@@ -168,7 +166,7 @@ def retention_cohorts(
     activity = (
         cut_since(as_of_snapshot(events, as_of), oldest)
         .where(F.col("user_id").isNotNull())
-        .select("user_id", month_of(F.col("created_at")).alias("active_month"))
+        .select("user_id", month_of(events).alias("active_month"))
         .distinct()
     )
     later = (
