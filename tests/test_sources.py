@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 import pytest
 
@@ -9,7 +9,7 @@ from oracle_check import TESTDATA
 from tidemark.functions.dates import days_before, first_of_month, months_apart
 from tidemark.schemas import EVENTS, USERS, conform
 from tidemark.sources import bindings as b
-from tidemark.sources.tables import as_of_snapshot, read_mart, store_by_day, write_mart
+from tidemark.sources.tables import as_of_snapshot, read_mart, read_table, store_by_day, write_mart
 
 FOLDER = f"{TESTDATA}/sf0.001"
 
@@ -76,7 +76,9 @@ def test_a_heavy_day_is_stored_as_several_files(spark, tmp_path):
         spark.conf.set(key, value)
     try:
         heavy = spark.range(0, 200_000, 1, 8).selectExpr(
-            "id", "if(id % 3 = 0, timestamp_ntz'2024-01-01', timestampadd(DAY, int(id % 50), timestamp_ntz'2024-02-01')) AS created_at"
+            "id",
+            "if(id % 3 = 0, timestamp_ntz'2024-01-01',"
+            " timestampadd(DAY, int(id % 50), timestamp_ntz'2024-02-01')) AS created_at",
         )
         store_by_day(heavy, str(tmp_path), "heavy")
     finally:
@@ -86,3 +88,8 @@ def test_a_heavy_day_is_stored_as_several_files(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/heavy.parquet")
     assert stored.count() == 200_000
     assert stored.where("created_day = date'2024-01-01'").count() == 66_667
+
+
+@pytest.mark.parametrize("name", sorted(b.STORED))
+def test_stored_schemas_are_those_of_the_files(spark, name):
+    assert b.stored(spark, FOLDER, name).dtypes == read_table(spark, FOLDER, name).dtypes

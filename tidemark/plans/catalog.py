@@ -15,7 +15,7 @@ from tidemark.plans import summaries
 from tidemark.schemas import SUMMARIES, conform
 from tidemark.session import configure
 from tidemark.sources import bindings as b
-from tidemark.sources.tables import as_of_snapshot, read_table
+from tidemark.sources.tables import as_of_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,7 +93,7 @@ def texts_with_tails(spark: SparkSession, folder: str) -> DataFrame:
     facts = F.when(doc % 7 == 0, F.format_string('{"doc": %d, "n": ,}', doc)).otherwise(
         F.format_string('{"doc": %d, "n": %d}', doc, F.col("n_chars"))
     )
-    return read_table(spark, folder, "documents").select(
+    return b.stored(spark, folder, "documents").select(
         "doc_id", F.concat("text", line_break, fence, F.lit("\n\nfacts_json:\n"), facts).alias("text")
     )
 
@@ -103,7 +103,7 @@ def document_summaries(spark: SparkSession, folder: str) -> DataFrame:
     empty = F.lit(None).cast("string")
     run_ts = F.timestamp_add("MINUTE", F.col("doc_id"), F.lit(SUMMARY_START).cast("timestamp_ntz"))
     return conform(
-        read_table(spark, folder, "documents").select(
+        b.stored(spark, folder, "documents").select(
             F.col("doc_id").cast("string").alias("run_id"),
             run_ts.alias("run_ts"),
             F.to_date(run_ts).alias("data_end_date"),
@@ -119,7 +119,7 @@ def document_summaries(spark: SparkSession, folder: str) -> DataFrame:
 def upsert_by_key(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, merged with a changed copy of all of them under twice their id: half the ids
     match, half are new, and half of the old rows stay as they are."""
-    documents = read_table(spark, folder, "documents")
+    documents = b.stored(spark, folder, "documents")
     changed = documents.select(
         (F.col("doc_id") * 2).alias("doc_id"),
         F.concat(F.lit("changed: "), "text").alias("text"),
@@ -130,12 +130,12 @@ def upsert_by_key(spark: SparkSession, folder: str) -> DataFrame:
 
 def update_by_key(spark: SparkSession, folder: str) -> DataFrame:
     """Documents, updated from their labels; a label row with neither mark changes nothing."""
-    changes = read_table(spark, folder, "labels").select(
+    changes = b.stored(spark, folder, "labels").select(
         "doc_id",
         F.when(F.col("quality") == 1, "good").alias("source"),
         F.when(F.col("toxic") == 1, "unsafe").alias("lang"),
     )
-    return tables.update_by_key(read_table(spark, folder, "documents"), changes, "doc_id")
+    return tables.update_by_key(b.stored(spark, folder, "documents"), changes, "doc_id")
 
 
 def refresh_summaries(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,14 +177,14 @@ QUERIES: dict[str, Query] = {
     "registration_funnel_ordered": _on(
         lambda t: funnels.registration_funnel_ordered(t.signups, t.web, SIGNUP_DAY)
     ),
-    "export_stringify": lambda spark, folder: tables.export_stringify(read_table(spark, folder, "events")),
+    "export_stringify": lambda spark, folder: tables.export_stringify(b.stored(spark, folder, "events")),
     "export_stringify_orders": lambda spark, folder: tables.export_stringify(
-        read_table(spark, folder, "orders")
+        b.stored(spark, folder, "orders")
     ),
     "upsert_by_key": upsert_by_key,
     "update_by_key": update_by_key,
     "latest_record": lambda spark, folder: tables.latest_record(
-        read_table(spark, folder, "conversations"), "turn", tie_break="role", key="conv_id"
+        b.stored(spark, folder, "conversations"), "turn", tie_break="role", key="conv_id"
     ),
     "latest_summary": lambda spark, folder: reporting.latest_summary(document_summaries(spark, folder)),
     "refresh_summaries": refresh_summaries,

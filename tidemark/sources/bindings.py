@@ -24,21 +24,40 @@ BROWSERS = ["Chrome", "Safari", "Firefox", "IE", "Other"]
 NATION_NAMES = {"NATION_5": "NATION_0", "NATION_7": "NATION_2"}
 
 
+# Schemas of the stored tables (FIXTURES.md section 2).
+STORED = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+    " l_linestatus string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "conversations": "conv_id long, turn long, role string, text string",
+}
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return read_table(spark, folder, name, STORED[name])
+
+
 def events_plain(spark: SparkSession, folder: str) -> DataFrame:
     """Tables already stored in the logical schema."""
     return read_table(spark, folder, "events")
 
 
 def events_web(spark: SparkSession, folder: str) -> DataFrame:
-    raw = read_table(spark, folder, "events")
-    event_type = F.lit(None).cast("string")
-    for stored, logical in EVENT_TYPES.items():
-        event_type = F.when(F.col("event_type") == stored, logical).otherwise(event_type)
+    raw = stored(spark, folder, "events")
+    names = F.create_map(*[F.lit(name) for pair in EVENT_TYPES.items() for name in pair])
     browser_index = F.get_json_object("props", "$.k").cast("int") % len(BROWSERS)
     return raw.select(
         "user_id",
         F.concat_ws("-", F.col("user_id"), F.to_date("ts")).alias("session_id"),
-        event_type.alias("event_type"),
+        F.try_element_at(names, F.col("event_type")).alias("event_type"),
         F.col("ts").alias("created_at"),
         F.element_at(F.array(*map(F.lit, BROWSERS)), browser_index + 1).alias("browser"),
     )
@@ -46,7 +65,7 @@ def events_web(spark: SparkSession, folder: str) -> DataFrame:
 
 def events_orders(spark: SparkSession, folder: str) -> DataFrame:
     missing = F.lit(None).cast("string")
-    return read_table(spark, folder, "orders").select(
+    return stored(spark, folder, "orders").select(
         F.col("o_custkey").alias("user_id"),
         missing.alias("session_id"),
         missing.alias("event_type"),
@@ -62,13 +81,13 @@ def users_plain(spark: SparkSession, folder: str) -> DataFrame:
 def users_cust(spark: SparkSession, folder: str) -> DataFrame:
     """Customers, signed up with their first order."""
     first_order = (
-        read_table(spark, folder, "orders")
+        stored(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
         .agg(F.min("o_orderdate").alias("created_at"))
     )
-    nation = read_table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    nation = stored(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return (
-        read_table(spark, folder, "customer")
+        stored(spark, folder, "customer")
         .join(first_order, "c_custkey")
         .join(nation, "c_nationkey")
         .select(F.col("c_custkey").alias("id"), "created_at", F.col("n_name").alias("country"))
@@ -77,14 +96,14 @@ def users_cust(spark: SparkSession, folder: str) -> DataFrame:
 
 def users_ship(spark: SparkSession, folder: str) -> DataFrame:
     """One signup per line item, in the supplier's country."""
-    nation = read_table(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    nation = stored(spark, folder, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     supplier = (
-        read_table(spark, folder, "supplier")
+        stored(spark, folder, "supplier")
         .join(nation, "s_nationkey")
         .select(F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("country"))
     )
     return (
-        read_table(spark, folder, "lineitem")
+        stored(spark, folder, "lineitem")
         .join(supplier, "l_suppkey")
         .select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
@@ -97,7 +116,7 @@ def users_ship(spark: SparkSession, folder: str) -> DataFrame:
 def users_signup(spark: SparkSession, folder: str) -> DataFrame:
     """Users, signed up with their last stored signup event."""
     return (
-        read_table(spark, folder, "events")
+        stored(spark, folder, "events")
         .where(F.col("event_type") == "signup")
         .groupBy(F.col("user_id").alias("id"))
         .agg(F.max("ts").alias("created_at"))

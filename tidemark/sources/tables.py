@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import DAY_COLUMN, cut_days
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A source table; with its schema given, Spark need not open a file to plan a query."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_mart(spark: SparkSession, folder: str, name: str, **equals: object) -> DataFrame:
