@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from oracle_check import TESTDATA, connect, difference
+from tidemark.plans.catalog import registered
+from tidemark.plans.oracle import ORACLE_SQL
 
 FOLDER = f"{TESTDATA}/sf0.01"
-KEYS = sorted(entry_points.queries())
+KEYS = sorted(registered())
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,9 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert sorted(entry_points.oracle_sql()) == KEYS
+    assert sorted(ORACLE_SQL) == KEYS
+    assert set(KEYS) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
