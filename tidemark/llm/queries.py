@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, exact_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,13 +20,26 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "documents")
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_documents(spark, folder), digest_all=True)
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(bpe.encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN))
 
 
 QUERIES: dict[str, Query] = {
+    "op4_exact_dedup": op4_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+OP4_SQL = r"""WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS folded FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, sha256(folded) AS text_sha256
+FROM texts WINDOW same AS (PARTITION BY folded)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_dedup": OP4_SQL,
+}

@@ -54,6 +54,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever characters their names have."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
+
+
 def text_of(column: Column) -> Column:
     """Null counts as empty."""
     return F.coalesce(column, F.lit(""))
