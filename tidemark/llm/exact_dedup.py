@@ -20,24 +20,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import ASCII_SPACE, columns_of, fresh, stage, text_of
+from tidemark.llm.shared import ASCII_SPACE, bucket_of, columns_of, fresh, stage, text_of
 
 #: Characters of the beginning that is hashed first.
 BEGINNING = 256
 
-#: Bound of the numbers that are sent to every task.
-BUCKETS = 1 << 18
-
 
 def folded(text: Column) -> Column:
     """The text that is compared."""
     return F.regexp_replace(text_of(text), ASCII_SPACE, " ")
 
 
-def _bucket(length: Column, beginning: Column) -> Column:
-    return F.pmod(F.xxhash64(length, beginning), F.lit(BUCKETS)).cast("int")
-
-
 def _marks(text: Column) -> Column:
     return F.struct(
         F.octet_length(text).alias("length"), F.xxhash64(F.substring(text, 1, BEGINNING)).alias("beginning")
@@ -53,7 +46,7 @@ def _surviving(marks: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("rows"))
         .where("rows > 1")
     )
-    return stage(beginnings.select(_bucket(F.col("length"), F.col("beginning")).alias("bucket")).distinct())
+    return stage(beginnings.select(bucket_of(F.col("length"), F.col("beginning")).alias("bucket")).distinct())
 
 
 def exact_duplicates(
@@ -69,7 +62,7 @@ def exact_duplicates(
     buckets = F.broadcast(_surviving(marks))
 
     marked = texts.withColumn("marks", _marks(F.col("text")))
-    placed = marked.withColumn("bucket", _bucket(F.col("marks.length"), F.col("marks.beginning")))
+    placed = marked.withColumn("bucket", bucket_of(F.col("marks.length"), F.col("marks.beginning")))
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     members = stage(placed.join(buckets, "bucket", "left_semi").select("doc_id", "marks.length", digest))
     # Stored, so that both sides of the join below are dealt out anew and a hot group can be split.
@@ -83,7 +76,7 @@ def exact_duplicates(
         alone = placed.join(buckets, "bucket", "left_anti").select("doc_id", digest)
     else:
         missing = F.lit(None).cast("string").alias("text_sha256")
-        lone = marks.withColumn("bucket", _bucket(F.col("length"), F.col("beginning")))
+        lone = marks.withColumn("bucket", bucket_of(F.col("length"), F.col("beginning")))
         alone = lone.join(buckets, "bucket", "left_anti").select("doc_id", missing)
 
     def decided(rows: DataFrame, size: Column, keep_id: Column) -> DataFrame:
@@ -111,7 +104,7 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     text, marks, bucket, digest = (fresh(docs, f"{name}_of_text") for name in ("folded", "marks", "bucket", "digest"))
     marked = docs.withColumn(text, folded(F.col(text_col))).withColumn(marks, _marks(F.col(text)))
-    placed = marked.withColumn(bucket, _bucket(F.col(f"{marks}.length"), F.col(f"{marks}.beginning")))
+    placed = marked.withColumn(bucket, bucket_of(F.col(f"{marks}.length"), F.col(f"{marks}.beginning")))
     buckets = F.broadcast(_surviving(stage(marked.select(f"{marks}.*"))).withColumnRenamed("bucket", bucket))
 
     alone = placed.join(buckets, bucket, "left_anti").select(*columns_of(docs))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup
+from tidemark.llm import bpe, exact_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,14 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, folder), digest_all=True)
 
 
+#: Words of a shingle, and bits in which linked fingerprints may differ.
+SIMHASH = {"shingle": 3, "distance": 2}
+
+
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.digests(simhash.near_duplicates(_documents(spark, folder), **SIMHASH))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(bpe.encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN))
@@ -31,6 +39,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_simhash": op6_simhash,
     "op10_byte_bpe": op10_byte_bpe,
 }
 

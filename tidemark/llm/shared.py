@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # ASCII white space, which separates words and is folded to one space.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
+#: Bound of the bucket numbers that are sent to every task.
+BUCKETS = 1 << 18
+
 #: Rows up to which a table may be sent to every task.
 BROADCAST_ROWS = 200_000
 
@@ -46,6 +49,24 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def bucket_of(*columns: Column) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
+
+
+def without(table: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is not in `dropped` (one column, that key).
+
+    Which rows may have to go is told to all tasks as bucket numbers, of which there are never more than
+    BUCKETS; only rows in these buckets move to be compared.
+    """
+    bucket = fresh(table, "bucket")
+    placed = table.withColumn(bucket, bucket_of(F.col(key)))
+    buckets = F.broadcast(stage(dropped.select(bucket_of(F.col(key)).alias(bucket)).distinct()))
+    passed = placed.join(buckets, bucket, "left_anti")
+    compared = placed.join(buckets, bucket, "left_semi").join(dropped, key, "left_anti")
+    return passed.select(*columns_of(table)).unionByName(compared.select(*columns_of(table)))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` does not have."""
     taken = {column.lower() for column in df.columns}
