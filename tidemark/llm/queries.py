@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, simhash
+from tidemark.llm import bpe, decontamination, exact_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,11 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digests(simhash.near_duplicates(_documents(spark, folder), **SIMHASH))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = _table(spark, folder, "benchmark")
+    return decontamination.digests(decontamination.contamination(_documents(spark, folder), items))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(bpe.encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN))
@@ -40,6 +45,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
@@ -49,6 +55,32 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = min(doc_id) OVER same AS kept, sha256(folded) AS text_sha256
 FROM texts WINDOW same AS (PARTITION BY folded)"""
 
+OP9_SQL = r"""WITH word_lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+item_lists AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, words[start : start + 9] AS wanted
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS start FROM item_lists WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT len(wanted) AS size FROM windows),
+runs AS (
+  SELECT doc_id, start, words[start : start + size - 1] AS wanted, size
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS start FROM word_lists, sizes)),
+found AS (SELECT doc_id, start, size, item_id FROM runs JOIN windows USING (wanted)),
+hits AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(start, start + size)) AS place FROM found) GROUP BY doc_id),
+owners AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+  FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM word_lists LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_decontamination": OP9_SQL,
     "op4_exact_dedup": OP4_SQL,
 }
