@@ -1,12 +1,13 @@
 """Byte-level BPE with a lazily determinised transducer, and streaming decoding.
 
 Encoding. The merge of a byte string is the only sequence of tokens in which every token merges to
-itself and every two neighbours merge to themselves; a prefix of it is the encoding of a prefix of the
-bytes. A transducer can therefore read byte by byte and hold, at any time, one *guess* for each place
-where the next token may have begun: the tokens before that place and the bytes after it, which must be
-the beginning of some token. What all guesses agree on is emitted; guesses whose bytes begin no token
-are dropped, so no guess is behind by more than the longest token, and the lookahead is bounded.
-Sets of guesses become states, worked out when first met and kept in a bounded table.
+itself and every two neighbours stay apart when merged; a prefix of it is the encoding of a prefix of the
+bytes. So the last token of the encoding up to some byte is the one token that ends there and may follow
+the last token of the encoding up to its own beginning. The transducer reads byte by byte. Its states are
+the sets of token beginnings that the bytes so far end with; they are worked out when first met, and a
+state says which tokens end here. Beside the state it holds, for each byte, the token that ends there.
+A token still to come begins where one of the open beginnings does: the lookahead is never longer than
+the longest token, and tokens on which all open places agree are emitted.
 
 Decoding. Tokens may end inside a character. A state machine over bytes (how many continuation bytes
 are due and from which range) is lifted to tokens: a table says, for each token and state, the state
@@ -29,7 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Entries after which the tables that only save work are emptied.
-TABLE_ENTRIES = 100_000
+TABLE_ENTRIES = 400_000
+
+#: Bytes without an emitted token after which the transducer looks for tokens to emit.
+SPAN = 4096
 
 #: Above every rank.
 END = 1 << 60
@@ -47,14 +51,11 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], entries: int = TABLE_ENTRIES):
         self.ranks = ranks
         self.entries = entries
-        self.begins = {token[:n] for token in ranks for n in range(1, len(token))}
+        self.begins = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
         self.edges: tuple[dict, dict] = ({}, {})  # at most one entry for each token
-        self._reset()
-
-    def _reset(self) -> None:
-        self.states = [(b"", (((), b""),))]
-        self.numbers = {self.states[0]: 0}
-        self.moves: dict[int, tuple[int, tuple[bytes, ...]]] = {}
+        self.states, self.numbers, self.ending = [b""], {b"": 0}, [()]  # at most one for each beginning
+        self.moves: dict[int, int] = {}
+        self.apart: dict[tuple[int, int], bool] = {}
 
     def merge(self, data: bytes, down_to: int = 1) -> list[bytes]:
         """The merges one by one, lowest rank first and leftmost among equals, until so few parts are left."""
@@ -106,43 +107,70 @@ class Transducer:
             else:
                 j -= 1
 
-    def _step(self, number: int, byte: bytes) -> tuple[int, tuple[bytes, ...]]:
-        """Work out one move: the next state and the tokens emitted on the way."""
-        last, guesses = self.states[number]
-        after, whole = [], None
-        for tokens, rest in guesses:
-            rest += byte
-            if whole is None and rest in self.ranks and self.may_follow(tokens[-1] if tokens else last, rest):
-                whole = ((*tokens, rest), b"")
-            if rest in self.begins:
-                after.append((tokens, rest))
-        after.append(whole)  # one place always ends a token, and only one token ends there
-        emitted = after[0][0]
-        if emitted:
-            for tokens, _ in after:
-                while tokens[: len(emitted)] != emitted:
-                    emitted = emitted[:-1]
-            after = [(tokens[len(emitted) :], rest) for tokens, rest in after]
-        state = (emitted[-1] if emitted else last, tuple(after))
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
-            self.states.append(state)
-        return self.numbers[state], emitted
+    def _move(self, state: int, byte: int) -> int:
+        """Work out the state behind a byte: the longest beginning that the bytes now end with."""
+        if len(self.moves) > self.entries:
+            self.moves.clear()
+        rest = self.states[state] + bytes((byte,))
+        while rest and rest not in self.begins:
+            rest = rest[1:]
+        if rest not in self.numbers:
+            self.numbers[rest] = len(self.states)
+            self.states.append(rest)
+            ends = [rest[n:] for n in range(len(rest))]
+            whole = [(len(end), self.ranks[end]) for end in ends if end in self.ranks and self.may_follow(b"", end)]
+            self.ending.append(tuple(whole))
+        found = self.moves[state << 8 | byte] = self.numbers[rest]
+        return found
+
+    def _apart(self, last: int, token: int, data: bytes, at: int, n: int) -> bool:
+        """`may_follow` for the token of the n bytes before `at`, and `last` before it."""
+        if len(self.apart) > self.entries:
+            self.apart.clear()
+        middle = at - n
+        found = self.apart[last, token] = self.may_follow(data[middle - self.back[middle] : middle], data[middle:at])
+        return found
 
     def encode(self, data: bytes) -> list[int]:
-        if len(self.moves) > self.entries or len(self.states) > self.entries:
-            self._reset()
-        number, found, moves = 0, [], self.moves
-        for byte in data:
-            move = moves.get(number << 8 | byte)
-            if move is None:
-                move = moves[number << 8 | byte] = self._step(number, bytes((byte,)))
-            number = move[0]
-            if move[1]:
-                found += move[1]
-        # The guess without open bytes is the encoding of all that was read.
-        found += next(tokens for tokens, rest in self.states[number][1] if not rest)
-        return [self.ranks[token] for token in found]
+        emitted: list[int] = []
+        tokens, self.back = [-1], [0]  # of the token that ends at each place: its id and its length
+        state, moves, ending, apart, back = 0, self.moves, self.ending, self.apart, self.back
+        base = 0  # the place up to which tokens were emitted
+        for at, byte in enumerate(data, 1):
+            next_state = moves.get(state << 8 | byte)
+            state = self._move(state, byte) if next_state is None else next_state
+            for n, token in ending[state]:
+                if n <= at - base:
+                    last = tokens[at - n]
+                    if last < 0:
+                        break
+                    fits = apart.get((last, token))
+                    if self._apart(last, token, data, at, n) if fits is None else fits:
+                        break
+            tokens.append(token)
+            back.append(n)
+            if at - base > SPAN:
+                base = self._emit(emitted, tokens, base, at, state)
+        self._path(emitted, tokens, base, len(data))
+        return emitted
+
+    def _emit(self, emitted: list[int], tokens: list[int], base: int, at: int, state: int) -> int:
+        """Emit the tokens on which all open places agree; the place behind them."""
+        open_places = {at - n for n in range(len(self.states[state]) + 1) if at - n >= base}
+        while len(open_places) > 1:
+            last = max(open_places)
+            open_places.remove(last)
+            open_places.add(last - self.back[last] if last > base else base)
+        agreed = open_places.pop()
+        self._path(emitted, tokens, base, agreed)
+        return agreed
+
+    def _path(self, emitted: list[int], tokens: list[int], base: int, at: int) -> None:
+        found = []
+        while at > base:
+            found.append(tokens[at])
+            at -= self.back[at]
+        emitted += found[::-1]
 
 
 class PieceIds(dict):
