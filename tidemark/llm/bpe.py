@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Entries after which the tables that only save work are emptied.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 150_000
 
 #: Bytes without an emitted token after which the transducer looks for tokens to emit.
 SPAN = 4096

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import fold, text_of
 
 #: Labelled rows of either label that the model is fitted on, at most.
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_000
 
 #: Remainder of crc32(doc_id) modulo FOLDS of the rows that are not learned from.
 FOLDS, HELD_OUT = 3, 1
@@ -45,10 +45,13 @@ BEGINNINGS = (4, 5, 6, 7)
 
 #: Texts that an entry of a lexicon must be in, how often each text is to be covered, and how much more
 #: frequent (as a logarithm) an entry must be in toxic texts.
-SUPPORT, COVER, LOG_ODDS = 8, 3, 2.5
+SUPPORT, COVER, LOG_ODDS = 8, 6, 2.5
 
-#: Entries the classifier chooses from, and its penalty.
-ENTRIES, PENALTY = 2_000, 2e-3
+#: Entries with the widest cover that a lexicon is chosen from.
+CANDIDATES = 300
+
+#: Entries the classifier chooses from, and its penalty, which is higher the more words an entry fits.
+ENTRIES, PENALTY = 1_000, 2e-5
 
 #: Words after which a task's table of known words is emptied.
 TABLE_WORDS = 300_000
@@ -69,7 +72,19 @@ def entries(word: str) -> list[str]:
 
 
 def entries_of(text: str) -> set[str]:
-    return {entry for word in set(find_words(text.lower())) for entry in entries(word)}
+    """The entries of all words, and `beginning+` for beginnings of at least two different words."""
+    counts = Counter(entry for word in set(find_words(text.lower())) for entry in entries(word))
+    return set(counts) | {entry + "+" for entry, n in counts.items() if n > 1}
+
+
+def kind_of(entry: str) -> str:
+    return "words" if entry[0] == "=" else "repeated beginnings" if entry[-1] == "+" else f"beginnings of {len(entry)}"
+
+
+KINDS = ["words", "repeated beginnings", *(f"beginnings of {n}" for n in BEGINNINGS)]
+
+#: Times the penalty of a whole word.
+BREADTH = dict(zip(KINDS, (1, 4, 8, 4, 3, 2)))
 
 
 @dataclass
@@ -81,64 +96,84 @@ class Model:
     correlation: np.ndarray | None = None  # of the votes within a class
 
     def __post_init__(self) -> None:
+        self.wanted = {entry.rstrip("+") for entry in self.weights}
         self.table: dict[str, tuple[str, ...]] = {}
 
     def score(self, text: str | None) -> float:
-        found: set[str] = set()
+        found: dict[str, int] = {}
         for word in set(find_words((text or "").lower())):
             hits = self.table.get(word)
             if hits is None:
                 if len(self.table) > TABLE_WORDS:
                     self.table.clear()
-                hits = self.table[word] = tuple(entry for entry in entries(word) if entry in self.weights)
-            found.update(hits)
-        return float(sigmoid(self.bias + sum(self.weights[entry] for entry in sorted(found))))
+                hits = self.table[word] = tuple(entry for entry in entries(word) if entry in self.wanted)
+            for entry in hits:
+                found[entry] = found.get(entry, 0) + 1
+        weight = self.weights.get
+        parts = [weight(entry, 0.0) + (weight(entry + "+", 0.0) if n > 1 else 0.0) for entry, n in sorted(found.items())]
+        return float(sigmoid(self.bias + sum(parts)))
 
 
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def lexicon(positive: list[set[str]], negative: list[set[str]]) -> list[str]:
-    """Entries that together cover the positive sets, the one that most still lack first."""
-    here, there = Counter(e for s in positive for e in s), Counter(e for s in negative for e in s)
-    base = np.log(len(negative) + 1) - np.log(len(positive) + 1)
-    strong = {e for e, n in here.items() if n >= SUPPORT and np.log(n + 0.5) - np.log(there[e] + 0.5) + base > LOG_ODDS}
-    holders: dict[str, list[int]] = {}
-    for number, held in enumerate(positive):
-        for entry in held & strong:
-            holders.setdefault(entry, []).append(number)
-    lists = {entry: np.array(numbers) for entry, numbers in holders.items()}
-    lacking = np.full(len(positive), COVER)
-    chosen = []
-    while lists:
-        gain = {entry: int((lacking[numbers] > 0).sum()) for entry, numbers in lists.items()}
-        best = max(gain, key=lambda entry: (gain[entry], len(entry), entry))
-        if gain[best] < max(SUPPORT, len(positive) // 200):
-            break
-        lacking[lists.pop(best)] -= 1
-        chosen.append(best)
-        lists = {entry: numbers for entry, numbers in lists.items() if gain[entry] >= SUPPORT}
-    return chosen
-
-
-def voters(texts: list[str], sets: list[set[str]], toxic: np.ndarray) -> tuple[list[str], np.ndarray]:
+class Sample:
+    """Texts as the numbers of their entries, of those entries only that enough texts have."""
+
+    def __init__(self, texts: list[str]):
+        self.texts = texts
+        number: dict[str, int] = {}
+        held = [np.array([number.setdefault(e, len(number)) for e in entries_of(text)], np.int64) for text in texts]
+        counts = np.bincount(np.concatenate(held), minlength=len(number))
+        kept = [(e, i) for e, i in number.items() if SUPPORT <= counts[i] < len(texts)]
+        self.entries = sorted(e for e, _ in kept)
+        place = {entry: at for at, entry in enumerate(self.entries)}
+        places = np.full(len(number), -1)
+        for entry, i in kept:
+            places[i] = place[entry]
+        self.held = [np.sort(some[some >= 0]) for some in (places[numbers] for numbers in held)]
+        self.kinds = np.array([KINDS.index(kind_of(entry)) for entry in self.entries], np.int64)
+
+    def counts(self, rows: np.ndarray) -> np.ndarray:
+        """How many of the texts have each entry."""
+        some = [self.held[row] for row in rows]
+        return np.bincount(np.concatenate(some) if some else [], minlength=len(self.entries)).astype(float)
+
+    def lexicon(self, positive: np.ndarray, negative: np.ndarray, kind: int) -> list[int]:
+        """Entries of a kind that together cover the positive texts, the one that most still lack first."""
+        here, there = self.counts(positive), self.counts(negative)
+        odds = np.log(here + 0.5) - np.log(there + 0.5) + np.log(len(negative) + 1) - np.log(len(positive) + 1)
+        strong = np.flatnonzero((self.kinds == kind) & (here >= SUPPORT) & (odds > LOG_ODDS))
+        widest = sorted(strong, key=lambda e: (-here[e], -len(self.entries[e]), self.entries[e]))[:CANDIDATES]
+        place = {entry: i for i, entry in enumerate(widest)}
+        inside = np.zeros((len(positive), len(widest)), bool)
+        for i, row in enumerate(positive):
+            inside[i, [place[e] for e in self.held[row] if e in place]] = True
+        lacking, chosen, least = np.full(len(positive), COVER), [], max(SUPPORT, len(positive) // 200)
+        while widest:
+            gain = inside[lacking > 0].sum(0)
+            best = int(gain.argmax())
+            if gain[best] < least:
+                break
+            chosen.append(int(widest[best]))
+            lacking[inside[:, best]] -= 1
+            inside[:, best] = False
+        return chosen
+
+
+def voters(sample: Sample, toxic: np.ndarray) -> tuple[list[str], np.ndarray]:
     """Names, and a row of votes (1 toxic, 0 not) for each text; lexicon voters come first."""
     names, votes = [], []
     for half in (0, 1):
-        for length in (0, *BEGINNINGS):
-            def kind(entry: str, length: int = length) -> bool:
-                return entry[0] == "=" if length == 0 else entry[0] != "=" and len(entry) == length
-
-            some = range(half, len(texts), 2)
-            yes = [{e for e in sets[i] if kind(e)} for i in some if toxic[i]]
-            no = [{e for e in sets[i] if kind(e)} for i in some if not toxic[i]]
-            listed = set(lexicon(yes, no))
-            names.append(f"{'words' if length == 0 else f'beginnings of {length}'}, half {half}")
-            votes.append([not listed.isdisjoint(s) for s in sets])
+        rows = np.arange(half, len(toxic), 2)
+        for kind, name in enumerate(KINDS):
+            listed = sample.lexicon(rows[toxic[rows] == 1], rows[toxic[rows] == 0], kind)
+            names.append(f"{name}, half {half}")
+            votes.append([np.isin(held, listed).any() for held in sample.held])
     for name, pattern in PATTERNS.items():
         names.append(name)
-        votes.append([pattern(text) for text in texts])
+        votes.append([pattern(text) for text in sample.texts])
     return names, np.array(votes, float).T
 
 
@@ -164,74 +199,77 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 60) -> tuple
     return posterior, means, shrunk / np.outer(scale, scale)
 
 
-def sparse_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias by accelerated proximal gradient steps; `y` are probabilities."""
+def sparse_logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray, penalty: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, float]:
+    """Weights and bias by accelerated proximal gradient steps; `y` are probabilities, `mass` adds up to 1."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
+    mass = mass.astype(x.dtype)
     vector = np.ones(x.shape[1], x.dtype)
     for _ in range(20):  # the largest curvature, by the power method
-        vector = x.T @ (x @ vector)
+        vector = x.T @ (mass * (x @ vector))
         size = np.linalg.norm(vector)
         vector /= size
-    step = 4 * len(x) / size
-    w = ahead = np.zeros(x.shape[1])
+    step = 4 / size
+    w = ahead = np.zeros(x.shape[1], x.dtype)
     momentum = 1.0
     for _ in range(rounds):
-        moved = ahead - step * (x.T @ (sigmoid(x @ ahead) - y)) / len(x)
-        moved[:-1] = np.sign(moved[:-1]) * np.maximum(np.abs(moved[:-1]) - step * PENALTY, 0)
+        moved = ahead - step * (x.T @ (mass * (sigmoid(x @ ahead) - y)))
+        moved[:-1] = np.sign(moved[:-1]) * np.maximum(np.abs(moved[:-1]) - step * penalty, 0)
         further = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         ahead = moved + (momentum - 1) / further * (moved - w)
         w, momentum = moved, further
     return w[:-1], float(w[-1])
 
 
-def fit(texts: Iterable[str | None], toxic: Iterable[int]) -> Model:
-    """A model from labelled texts."""
+def fit(texts: Iterable[str | None], toxic: Iterable[int], share: float | None = None) -> Model:
+    """A model from labelled texts. `share` is that of toxic texts where the sample's own is not it."""
     pairs = sorted({(text or "", int(label)) for text, label in zip(texts, toxic)})
     texts, toxic = [text for text, _ in pairs], np.array([label for _, label in pairs])
     if len(set(toxic.tolist())) < 2:
         return Model(bias=50.0 if toxic.any() else -50.0)
-    sets = [entries_of(text) for text in texts]
-    names, votes = voters(texts, sets, toxic)
+    sample = Sample(texts)
+    names, votes = voters(sample, toxic)
     known = votes[:, : -len(PATTERNS)].mean(1)
     posterior, means, correlation = label_model(votes, known > 0.25)
 
-    likely = [s for s, p in zip(sets, posterior) if p > 0.5]
-    others = [s for s, p in zip(sets, posterior) if p <= 0.5]
-    here, there = Counter(e for s in likely for e in s), Counter(e for s in others for e in s)
-
-    def weight_of(entry: str) -> float:
-        share, other = here[entry] / max(1, len(likely)), there[entry] / max(1, len(others))
-        both = (here[entry] + there[entry]) / len(sets)
-        return abs(share - other) / np.sqrt(both * (1 - both) + 1e-9)
-
-    frequent = sorted(e for e in here | there if SUPPORT <= here[e] + there[e] < len(sets))
-    chosen = sorted(frequent, key=lambda e: (-weight_of(e), e))[:ENTRIES]
-    place = {entry: i for i, entry in enumerate(chosen)}
-    x = np.zeros((len(sets), len(chosen)), np.float32)
-    for row, held in enumerate(sets):
-        x[row, [place[e] for e in held if e in place]] = 1
-    weights, bias = sparse_logistic(x, posterior)
-    kept = {entry: float(w) for entry, w in zip(chosen, weights) if abs(w) > 1e-4}
+    likely, others = np.flatnonzero(posterior > 0.5), np.flatnonzero(posterior <= 0.5)
+    here, there = sample.counts(likely), sample.counts(others)
+    both = (here + there) / len(texts)
+    apart = np.abs(here / max(1, len(likely)) - there / max(1, len(others))) / np.sqrt(both * (1 - both) + 1e-9)
+    chosen = np.sort(np.argsort(-apart, kind="stable")[:ENTRIES])
+    x = np.zeros((len(texts), len(chosen)), np.float32)
+    for row, held in enumerate(sample.held):
+        x[row, np.isin(chosen, held)] = 1
+    share = toxic.mean() if share is None else share
+    mass = np.where(toxic == 1, share / max(1, toxic.sum()), (1 - share) / max(1, (1 - toxic).sum()))
+    penalty = PENALTY * np.array([BREADTH[KINDS[kind]] for kind in sample.kinds[chosen]], np.float32)
+    weights, bias = sparse_logistic(x, posterior, mass, penalty)
+    kept = {sample.entries[entry]: float(w) for entry, w in zip(chosen, weights) if abs(w) > 1e-4}
     return Model(kept, bias, names, np.stack([means[1], 1 - means[0]]), correlation)
 
 
-def training_sample(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS
-) -> DataFrame:
-    """text, toxic of at most `rows` labelled training rows of each label: the smallest hashes of ids."""
+def training_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic (0 or 1) of the rows that may be learned from."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    usable = known.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    usable = known.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
+    return usable.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+
+
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS
+) -> Model:
+    """Fit on at most `rows` texts of each label, those with the smallest hashes of their ids.
+
+    The driver gets this bounded sample and the number of labels of either kind, nothing else.
+    """
+    usable = training_labels(labels)
+    counts = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
     order = [F.xxhash64(F.col("doc_id")), F.col("doc_id")]
     picked = [usable.where(F.col("toxic") == label).orderBy(*order).limit(rows) for label in (0, 1)]
-    chosen = picked[0].unionByName(picked[1])
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """The driver gets the bounded sample, nothing else."""
-    sample = training_sample(docs, labels, id_col, text_col).limit(4 * SAMPLE_ROWS).collect()
-    return fit((row["text"] for row in sample), (row["toxic"] for row in sample))
+    sample = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("text", "toxic").distinct()
+    found = sample.limit(2 * rows).collect()
+    share = counts.get(1, 0) / max(1, sum(counts.values()))
+    return fit([row["text"] for row in found], [row["toxic"] for row in found], share)
 
 
 def scores(text: Column, model: Model) -> Column:
