@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import bucket_of, small, stage, text_of
+from tidemark.llm.shared import bucket_of, columns_of, fresh, small, stage, text_of, without
 
 WINDOW = 10
 
@@ -171,6 +171,36 @@ def covered(places: DataFrame, plan: DataFrame) -> DataFrame:
     return spans.withColumn("added", added).groupBy("row").agg(F.sum("added").alias("n_hit"))
 
 
+def _search(
+    docs: DataFrame, items: DataFrame, window: int, id_col: str, text_col: str, item_col: str, item_text_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The index, the plan of the windows, the places found, and (window, item_id)."""
+    listed, terms, vocabulary = number_windows(item_windows(items, window, item_col, item_text_col))
+    index = build_index(docs, vocabulary, id_col, text_col)
+    plan = ranked(terms, index)
+    return index, plan, exact_places(index, plan), listed
+
+
+def clean(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs` in which no window occurs, with all their columns.
+
+    The rows are stored once with the numbers they go by in the index.
+    """
+    number = fresh(docs, "number_of_row")
+    numbered = stage(docs.withColumn(number, F.monotonically_increasing_id()))
+    index, _, places, _ = _search(numbered, items, window, number, text_col, item_col, item_text_col)
+    lengths = index.where(F.col("term") == LENGTH_TERM).select("row", F.col("doc_id").alias(number))
+    found = stage(lengths.join(places.select("row").distinct(), "row", "left_semi").select(number))
+    return without(numbered, found, number).select(*columns_of(docs))
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -181,10 +211,7 @@ def contamination(
     item_text_col: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted ids of the items found), contaminated, row: one per row of `docs`."""
-    listed, terms, vocabulary = number_windows(item_windows(items, window, item_col, item_text_col))
-    index = build_index(docs, vocabulary, id_col, text_col)
-    plan = ranked(terms, index)
-    places = exact_places(index, plan)
+    index, plan, places, listed = _search(docs, items, window, id_col, text_col, item_col, item_text_col)
     hits = covered(places, plan)
     owners = places.select("row", "window").distinct().join(small(listed), "window")
     found = owners.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontamination, exact_dedup, simhash
+from tidemark.llm import bpe, decontamination, exact_dedup, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "documents")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, folder), _table(spark, folder, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, folder), digest_all=True)
 
@@ -43,6 +47,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
     "op9_decontamination": op9_decontamination,

@@ -13,8 +13,8 @@ id) is the only thing the model learns from.
   posterior labels with an L1 penalty, so that few entries have a weight.
 
 Labels, lang, source and doc_id are never inputs of a score. A doc_id that is labelled more than once is
-toxic if one label says so; null labels and labels of missing documents are not used. Without labels of
-both kinds every score is the share of toxic labels, or zero. Null text counts as empty. Every row has
+toxic if one label says so; null labels and labels of missing documents are not used. With labels of
+one kind only every score is (all but) that label, without labels zero. Null text counts as empty. Every row has
 its own score, also with a missing or repeated id; further columns are not looked at.
 """
 
@@ -47,6 +47,9 @@ BEGINNINGS = (4, 5, 6, 7)
 #: frequent (as a logarithm) an entry must be in toxic texts.
 SUPPORT, COVER, LOG_ODDS = 8, 6, 2.5
 
+#: Share that the toxic texts have in the fit of the classifier, whatever their share in the sample.
+TOXIC_MASS = 0.3
+
 #: Entries with the widest cover that a lexicon is chosen from.
 CANDIDATES = 300
 
@@ -199,7 +202,7 @@ def label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 60) -> tuple
     return posterior, means, shrunk / np.outer(scale, scale)
 
 
-def sparse_logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray, penalty: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, float]:
+def sparse_logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray, penalty: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Weights and bias by accelerated proximal gradient steps; `y` are probabilities, `mass` adds up to 1."""
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     mass = mass.astype(x.dtype)
@@ -220,8 +223,8 @@ def sparse_logistic(x: np.ndarray, y: np.ndarray, mass: np.ndarray, penalty: np.
     return w[:-1], float(w[-1])
 
 
-def fit(texts: Iterable[str | None], toxic: Iterable[int], share: float | None = None) -> Model:
-    """A model from labelled texts. `share` is that of toxic texts where the sample's own is not it."""
+def fit(texts: Iterable[str | None], toxic: Iterable[int]) -> Model:
+    """A model from labelled texts."""
     pairs = sorted({(text or "", int(label)) for text, label in zip(texts, toxic)})
     texts, toxic = [text for text, _ in pairs], np.array([label for _, label in pairs])
     if len(set(toxic.tolist())) < 2:
@@ -239,8 +242,7 @@ def fit(texts: Iterable[str | None], toxic: Iterable[int], share: float | None =
     x = np.zeros((len(texts), len(chosen)), np.float32)
     for row, held in enumerate(sample.held):
         x[row, np.isin(chosen, held)] = 1
-    share = toxic.mean() if share is None else share
-    mass = np.where(toxic == 1, share / max(1, toxic.sum()), (1 - share) / max(1, (1 - toxic).sum()))
+    mass = np.where(toxic == 1, TOXIC_MASS / toxic.sum(), (1 - TOXIC_MASS) / (1 - toxic).sum())
     penalty = PENALTY * np.array([BREADTH[KINDS[kind]] for kind in sample.kinds[chosen]], np.float32)
     weights, bias = sparse_logistic(x, posterior, mass, penalty)
     kept = {sample.entries[entry]: float(w) for entry, w in zip(chosen, weights) if abs(w) > 1e-4}
@@ -259,17 +261,15 @@ def train(
 ) -> Model:
     """Fit on at most `rows` texts of each label, those with the smallest hashes of their ids.
 
-    The driver gets this bounded sample and the number of labels of either kind, nothing else.
+    The driver gets this bounded sample and nothing else.
     """
     usable = training_labels(labels)
-    counts = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
     order = [F.xxhash64(F.col("doc_id")), F.col("doc_id")]
     picked = [usable.where(F.col("toxic") == label).orderBy(*order).limit(rows) for label in (0, 1)]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
     sample = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("text", "toxic").distinct()
     found = sample.limit(2 * rows).collect()
-    share = counts.get(1, 0) / max(1, sum(counts.values()))
-    return fit([row["text"] for row in found], [row["toxic"] for row in found], share)
+    return fit([row["text"] for row in found], [row["toxic"] for row in found])
 
 
 def scores(text: Column, model: Model) -> Column:
