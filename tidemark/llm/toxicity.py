@@ -43,9 +43,9 @@ THRESHOLD = 0.7
 #: Lengths of the word beginnings that are looked at beside whole words.
 BEGINNINGS = (4, 5, 6, 7)
 
-#: Texts that an entry of a lexicon must be in, how often each text is to be covered, and how much more
-#: frequent (as a logarithm) an entry must be in toxic texts.
-SUPPORT, COVER, LOG_ODDS = 8, 6, 2.5
+#: How often a lexicon is to cover each text, and how much more frequent (as a logarithm) an entry must
+#: be in toxic texts.
+COVER, LOG_ODDS = 6, 2.5
 
 #: Share that the toxic texts have in the fit of the classifier, whatever their share in the sample.
 TOXIC_MASS = 0.3
@@ -69,6 +69,11 @@ PATTERNS = {
 }
 
 
+def support(texts: int) -> int:
+    """In how many of so many toxic texts an entry must be."""
+    return max(4, min(8, texts // 50))
+
+
 def entries(word: str) -> list[str]:
     """A word as `=word` and its proper beginnings as they are."""
     return ["=" + word, *(word[:n] for n in BEGINNINGS if n < len(word))]
@@ -129,7 +134,7 @@ class Sample:
         number: dict[str, int] = {}
         held = [np.array([number.setdefault(e, len(number)) for e in entries_of(text)], np.int64) for text in texts]
         counts = np.bincount(np.concatenate(held), minlength=len(number))
-        kept = [(e, i) for e, i in number.items() if SUPPORT <= counts[i] < len(texts)]
+        kept = [(e, i) for e, i in number.items() if support(0) <= counts[i] < len(texts)]
         self.entries = sorted(e for e, _ in kept)
         place = {entry: at for at, entry in enumerate(self.entries)}
         places = np.full(len(number), -1)
@@ -147,13 +152,13 @@ class Sample:
         """Entries of a kind that together cover the positive texts, the one that most still lack first."""
         here, there = self.counts(positive), self.counts(negative)
         odds = np.log(here + 0.5) - np.log(there + 0.5) + np.log(len(negative) + 1) - np.log(len(positive) + 1)
-        strong = np.flatnonzero((self.kinds == kind) & (here >= SUPPORT) & (odds > LOG_ODDS))
+        strong = np.flatnonzero((self.kinds == kind) & (here >= support(len(positive))) & (odds > LOG_ODDS))
         widest = sorted(strong, key=lambda e: (-here[e], -len(self.entries[e]), self.entries[e]))[:CANDIDATES]
         place = {entry: i for i, entry in enumerate(widest)}
         inside = np.zeros((len(positive), len(widest)), bool)
         for i, row in enumerate(positive):
             inside[i, [place[e] for e in self.held[row] if e in place]] = True
-        lacking, chosen, least = np.full(len(positive), COVER), [], max(SUPPORT, len(positive) // 200)
+        lacking, chosen, least = np.full(len(positive), COVER), [], max(support(len(positive)), len(positive) // 200)
         while widest:
             gain = inside[lacking > 0].sum(0)
             best = int(gain.argmax())
