@@ -275,11 +275,11 @@ def digests(found: DataFrame) -> DataFrame:
         line = F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
         return F.array_join(line, ",")
 
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
-        for kind in KINDS
-    ]
+    counts = [count(kind) for kind in KINDS]
     added = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added")
     return found.select(
         "doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), added

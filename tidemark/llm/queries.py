@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontamination, exact_dedup, simhash, toxicity
+from tidemark.llm import bpe, decontamination, exact_dedup, language_id, pii, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,14 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.digests(simhash.near_duplicates(_documents(spark, folder), **SIMHASH))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(pii.personal_data(_documents(spark, folder)))
+
+
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     items = _table(spark, folder, "benchmark")
     return decontamination.digests(decontamination.contamination(_documents(spark, folder), items))
@@ -50,6 +58,8 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
+    "op7_pii": op7_pii,
+    "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
