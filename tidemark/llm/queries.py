@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontamination, exact_dedup, language_id, pii, simhash, toxicity
+from tidemark.llm import bpe, decontamination, exact_dedup, language_id, pii, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,11 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, folder), _table(spark, folder, "labels"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, folder), digest_all=True)
 
@@ -56,6 +61,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc": op2_warc,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
@@ -95,7 +101,18 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM word_lists LEFT JOIN hits USING (doc_id) LEFT JOIN owners USING (doc_id)"""
 
+OP2_SQL = """WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+hashed AS (SELECT *, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+         ((CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31) AS BIGINT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc": OP2_SQL,
     "op9_decontamination": OP9_SQL,
     "op4_exact_dedup": OP4_SQL,
 }
