@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontamination, exact_dedup, language_id, pii, simhash, toxicity, warc
+from tidemark.llm import bpe, decontamination, exact_dedup, language_id, pii, quality, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(_documents(spark, folder))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, folder), digest_all=True)
 
@@ -62,6 +66,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
+    "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
