@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontamination, exact_dedup, language_id, pii, quality, simhash, toxicity, warc
+from tidemark.llm import bpe, decontamination, exact_dedup, language_id, language_model, pii, quality, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_documents(spark, folder), digest_all=True)
 
 
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_documents(_documents(spark, folder))
+
+
 #: Words of a shingle, and bits in which linked fingerprints may differ.
 SIMHASH = {"shingle": 3, "distance": 2}
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_language_model": op5_language_model,
     "op6_simhash": op6_simhash,
     "op7_pii": op7_pii,
     "op8_language_id": op8_language_id,
