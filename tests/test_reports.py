@@ -67,7 +67,7 @@ def test_profile(marts):
             ("mau", "peak_mau", "25"),
             ("retention", "cohorts", "2"),
             ("retention", "min_rate", "0.25"),
-            ("retention", "max_rate", "1.0"),
+            ("retention", "max_rate", "1"),
             ("users_by_country", "countries", "3"),
             ("users_by_country", "total_users", "11"),
             ("users_by_country", "largest_country", "7"),
@@ -99,20 +99,47 @@ def test_views_are_ordered(marts):
 
 def _payload(df) -> dict[str, list[dict]]:
     sections: dict[str, list[dict]] = {}
-    for section, row in rows(df):
+    for section, _, row in sorted(rows(df.select("section", "position", "row_json")), key=lambda row: row[1]):
         sections.setdefault(section, []).append(json.loads(row))
     return sections
 
 
 def test_summary_payload(marts):
     payload = _payload(reporting.mart_rows_json(marts, AS_OF))
-    assert list(payload) == ["mau", "retention", "platform", "funnel", "kpi_metrics", "data_end_date"]
+    assert sorted(payload) == sorted(["mau", "retention", "platform", "funnel", "kpi_metrics", "data_end_date"])
+    assert [(row["cohort_label"], row["age_month"]) for row in payload["retention"]] == [
+        ("2024-01", 2), ("2024-02", 0), ("2024-02", 1)
+    ]
+    assert [row["platform"] for row in payload["platform"]] == ["Android", "iOS", "Web"]
     assert payload["mau"][0] == {"month": "2024-03-01", "mau": 25}
     assert payload["kpi_metrics"] == [
         {"last_updated_date": "2024-04-02", "mau_30_days": 9, "purchase_conversion_rate": None}
     ]
     assert payload["data_end_date"] == [{"data_end_date": "2024-04-02"}]
-    assert payload["funnel"][0] == {"step": 2, "step_name": "Add to Cart", "sessions": 1}
+    assert payload["funnel"][1] == {"step": 2, "step_name": "Add to Cart", "sessions": 1}
+
+
+def test_small_fractions_are_plain_decimals(spark, marts):
+    marts["platform_share"] = spark.createDataFrame(
+        [("iOS", 1, 0.0004), ("Web", 2, 1e-9), ("A", 3, 1.0), ("B", 0, None)], "platform string, users long, share double"
+    )
+    found = reporting.mart_rows_json(marts, AS_OF).where("section = 'platform'").orderBy("position")
+    assert [row.row_json[-20:].split(":")[-1] for row in found.collect()] == ["1}", "0.000000001}", "0.0004}", "null}"]
+    values = {row.value for row in quality.dq_mart_profile(marts).where("metric LIKE 'share %'").collect()}
+    assert values == {"1", "0.000000001", "0.0004", None}
+
+
+def test_payload_without_tables(spark):
+    empty = reporting.chat_rows_json({})
+    assert empty.columns == ["section", "position", "row_json"] and empty.collect() == []
+
+
+def test_growth_over_a_gap_is_none(spark, marts):
+    gap = spark.createDataFrame(
+        [(date(2024, 1, 1), 10), (date(2024, 2, 1), 20), (date(2024, 5, 1), 45)], "month date, mau long"
+    )
+    facts = reporting.headline_facts(gap, marts["platform_share"], marts["kpi_metrics"], marts["retention"])
+    assert rows(facts.select("current_mau", "growth_trend")) == [(45, None)]
 
 
 def test_chat_payload(spark, marts):

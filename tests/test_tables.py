@@ -69,6 +69,13 @@ def test_update_sets_nulls_but_skips_empty_changes(spark, target):
     )
 
 
+def test_unknown_columns_are_an_error(spark, target):
+    with pytest.raises(ValueError, match="no column extra"):
+        tb.upsert_by_key(target, spark.createDataFrame([(3, "c")], "id long, extra string"), "id")
+    with pytest.raises(ValueError, match="no column typo"):
+        tb.update_by_key(target, spark.createDataFrame([(3, "c")], "id long, typo string"), "id")
+
+
 def test_update_rejects_repeated_keys(spark, target):
     changes = spark.createDataFrame([(1, "p"), (1, "q")], "id long, text string")
     with pytest.raises(FAILURES, match="several times"):

@@ -95,6 +95,36 @@ def test_facts(spark):
     ]
 
 
+def test_facts_are_kept_as_written(spark):
+    big, number = "x" * 20_000_100, "1234567890123456789012345678901234567890123"
+    blocks = [
+        '{"a": 1.0, "b": %s, "c": 1e400, "A" : "\\u00e9"}' % number,
+        '{"a": "%s", "b": [%s]}' % (big, ", ".join(["1"] * 100_000)),
+        '{"a": %s.5}' % ("9" * 5_000),
+    ]
+    assert facts_of(spark, *[f"facts_json {block}" for block in blocks]) == blocks
+
+
+def test_broken_facts_are_told_from_none(spark):
+    broken = [
+        '{"a": 1,}', "{'a': 1}", '{"a": "tab\there"}', '{"a": \\"b"}', '{"a": 01}', '{"a": 1},{"b": 2}', '{"a": 1}]}',
+        '{"a": NaN}', '{"a": "\\x"}', '{"a": "\\u12"}', '{"a" "b"}', '{"a": 1} {"b": 2}', '{"a": "x" "y"}', "{a: 1}",
+        '{"a": 0%s}' % ("1" * 40), '{"a": tru\\u0065}',
+    ]
+    df = texts(spark, *[f"facts_json {block}" for block in broken], "nothing", "facts_json", None, "facts_json {}")
+    found = sorted(extract_facts(df, fields={}).collect(), key=lambda row: row.id)
+    assert [row.facts_state for row in found] == ["unreadable"] * len(broken) + ["none", "none", "none", "read"]
+    assert {row.facts_json for row in found} == {"{}"}
+
+
+def test_repeated_fields_do_not_depend_on_settings(spark):
+    df = texts(spark, 'facts_json {"current_mau": 1, "current_mau": 2}')
+    for setting in ("true", "false"):
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", setting)
+        assert extract_facts(df).first().current_mau == "2"
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+
+
 def test_fact_fields(spark):
     df = texts(spark, 'facts_json {"current_mau": 1200, "platform_share": "49.8%"}', "nothing")
     found = sorted(extract_facts(df).collect(), key=lambda row: row.id)

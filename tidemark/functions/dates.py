@@ -49,14 +49,18 @@ def months_apart(later: Column, earlier: Column) -> Column:
 
 
 def cut_days(
-    df: DataFrame, start: date | None = None, end: date | None = None, ts_col: str = "created_at"
+    df: DataFrame,
+    start: date | None = None,
+    end: date | None = None,
+    ts_col: str = "created_at",
+    undated: bool = False,
 ) -> DataFrame:
-    """Rows with `start <= day < end`; a bound may be left out."""
+    """Rows with `start <= day < end`; a bound may be left out. `undated` keeps rows without a time too."""
     time = F.col(DAY_COLUMN if _stored_by_day(df) else ts_col)
-    if start is not None:
-        df = df.where(time >= F.lit(start))
-    if end is not None:
-        df = df.where(time < F.lit(end))
+    bounds = [time >= F.lit(start)] if start is not None else []
+    bounds += [time < F.lit(end)] if end is not None else []
+    for bound in bounds:
+        df = df.where(bound | time.isNull() if undated else bound)
     return df
 
 

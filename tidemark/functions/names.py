@@ -36,5 +36,11 @@ def platform_code(browser: Column) -> Column:
     return F.coalesce(F.try_element_at(codes, F.lower(browser)), F.lit(PLATFORMS.index(OTHER_PLATFORM)))
 
 
+def platform_browser(code: Column) -> Column:
+    """A browser that counts as the platform; any other name counts as OTHER_PLATFORM."""
+    browsers = {platform: name for name, platform in BROWSER_PLATFORMS.items()}
+    return F.element_at(F.array(*[F.lit(browsers.get(name, "other")) for name in PLATFORMS]), code + 1)
+
+
 def platform_name(code: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in PLATFORMS]), code + 1)

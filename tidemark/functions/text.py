@@ -31,21 +31,34 @@ def facts_block(text: Column) -> Column:
     ).otherwise("")
 
 
-def json_value(block: Column) -> Column:
-    """The block as a variant, NULL unless it is one JSON value from end to end.
-
-    The parser stops after the first value, so the block goes in as the head of a list whose second
-    item is the block's own digest: only if nothing in the block ended the list or added to it does
-    the digest come out in second place.
+def is_json(block: Column) -> Column:
+    """Whether the block is one JSON value from end to end, however long it is.
+
+    The parser refuses very long strings and numbers and is lax about quotes, so it gets the block's
+    skeleton: escapes and then whole strings replaced, the digits of long numbers shortened. What is
+    left of a quote, apostrophe or backslash was not part of a proper string. The parser stops behind
+    the first value, so the skeleton goes in as the head of a list whose second item is its own digest:
+    only if nothing ended the list or added to it does the digest come out in second place.
     """
-    digest = F.sha2(block, 256)
-    pair = F.try_parse_json(F.concat(F.lit("["), block, F.lit(',"'), digest, F.lit('"]')))
-    complete = F.try_variant_get(pair, "$[1]", "string") == digest
-    return F.when(complete, F.try_variant_get(pair, "$[0]", "variant"))
+    plain = F.regexp_replace(block, r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})', "x")
+    strings = F.regexp_replace(plain, r'"[^"\x00-\x1f\\]*+"', '"s"')
+    skeleton = F.regexp_replace(strings, r"([0-9]{2})[0-9]{30,}+", "$1")
+    digest = F.sha2(skeleton, 256)
+    pair = F.concat(F.lit("["), skeleton, F.lit(',"'), digest, F.lit('"]'))
+    stray = F.rlike(F.replace(skeleton, F.lit('"s"'), F.lit("")), F.lit(r"""["'\\]"""))
+    return F.coalesce((F.get_json_object(pair, "$[1]") == digest) & ~stray, F.lit(False))
+
+
+def plain_decimal(value: Column) -> Column:
+    """A fraction's shortest digits without an exponent or closing zeros: `0.0004`, `1`."""
+    digits = value.cast("string").cast("decimal(38,20)").cast("string")
+    return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
 
 
 def without_facts_section(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?isu){FACTS_MARKER}.*", "")
+    """Up to the marker in any spelling. The case-blind search runs only where the marker may be."""
+    marked = F.contains(F.lower(text), F.lit(FACTS_MARKER)) | F.rlike(text, F.lit("[\u017f\u212a]"))
+    return F.when(marked, F.regexp_replace(text, rf"(?isu){FACTS_MARKER}.*", "")).otherwise(text)
 
 
 def without_json_fences(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import cut_days, day_of, days_before, first_of_month, month_of
-from tidemark.functions.names import PLATFORMS, platform_code, platform_name
+from tidemark.functions.names import PLATFORMS, SHOPPING_STEPS, platform_browser, platform_code, platform_name
 from tidemark.sources.tables import as_of_snapshot
 
 
@@ -63,10 +63,60 @@ def session_conversion_trailing(events: DataFrame, as_of: date, days: int = 30)
     )
 
 
-def kpi_metrics(events: DataFrame, as_of: date) -> DataFrame:
-    """One row: the `as_of` day, active users and purchase conversion of the 30 days before it."""
+def session_days(events: DataFrame, as_of: date) -> DataFrame:
+    """Which sessions had which kind of shopping event on which day of the last month and a half, as events.
+
+    The days are those any session metric as of that day looks at.
+    """
+    start = min(first_of_month(as_of, -1), days_before(as_of, 30))
+    return (
+        cut_days(events, start, as_of)
+        .where(F.col("event_type").isin(list(SHOPPING_STEPS)))
+        .groupBy("session_id", "event_type", day_of(events).alias("day"))
+        .agg(F.count("*").alias("events"))
+        .select(
+            F.lit(None).cast("long").alias("user_id"),
+            "session_id",
+            "event_type",
+            F.col("day").cast("timestamp_ntz").alias("created_at"),
+            F.lit(None).cast("string").alias("browser"),
+        )
+    )
+
+
+def _placed(events: DataFrame) -> Column:
+    """Time and platform as one number, later and then greater by name being greater."""
+    instant = F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(-(2**60)))
+    return instant * len(PLATFORMS) + platform_code(F.col("browser"))
+
+
+def user_days(events: DataFrame, as_of: date) -> DataFrame:
+    """One event for each user and day, the day's latest by time and platform, as events.
+
+    A user with a third of all events is combined on the map side to one row for each day and task.
+    """
+    cut = as_of_snapshot(events, as_of)
+    placed = _placed(events)
+    return (
+        cut.groupBy("user_id", day_of(events).alias("day"))
+        .agg(F.max("created_at").alias("created_at"), F.max(placed).alias("latest"))
+        .select(
+            "user_id",
+            F.lit(None).cast("string").alias("session_id"),
+            F.lit(None).cast("string").alias("event_type"),
+            "created_at",
+            platform_browser(F.pmod("latest", F.lit(len(PLATFORMS))).cast("int")).alias("browser"),
+        )
+    )
+
+
+def kpi_metrics(events: DataFrame, as_of: date, sessions: DataFrame | None = None) -> DataFrame:
+    """One row: the `as_of` day, active users and purchase conversion of the 30 days before it.
+
+    The sessions can come from a table of their own.
+    """
     active_users = active_users_trailing(events, as_of)
-    return session_conversion_trailing(events, as_of).select(
+    return session_conversion_trailing(events if sessions is None else sessions, as_of).select(
         F.lit(as_of.isoformat()).alias("last_updated_date"),
         active_users.scalar().alias("mau_30_days"),
         "purchase_conversion_rate",
@@ -82,12 +132,7 @@ def platform_share(events: DataFrame, as_of: date | None = None) -> DataFrame:
     together.
     """
     per_instant = len(PLATFORMS)
-    instant = F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(-(2**60)))
-    latest = (
-        as_of_snapshot(events, as_of)
-        .groupBy("user_id")
-        .agg(F.max(instant * per_instant + platform_code(F.col("browser"))).alias("latest"))
-    )
+    latest = as_of_snapshot(events, as_of).groupBy("user_id").agg(F.max(_placed(events)).alias("latest"))
     users = latest.groupBy(F.pmod("latest", F.lit(per_instant)).cast("int").alias("code")).agg(
         F.count("*").alias("users")
     )

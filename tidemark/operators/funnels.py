@@ -81,6 +81,14 @@ def _step_events(events: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+def _of_registrants(events: DataFrame, registrants: DataFrame) -> DataFrame:
+    """Events of users who registered: the others' are dropped before anything is shuffled by user.
+
+    Spark sends out the ids whole when they are few, or filters the events by a digest of them.
+    """
+    return events.join(registrants.select("user_id").distinct(), "user_id", "left_semi")
+
+
 def _when_step(step: str, value: Column) -> Column:
     return F.when(F.col("event_type") == step, value)
 
@@ -91,9 +99,10 @@ def registration_funnel_unordered(users: DataFrame, events: DataFrame, as_of: da
     A user has such an event exactly when the last day with one is not before the signup day, so
     events shrink to one row per user before they meet the users, however busy one user is.
     """
-    registered = _registrants(users, as_of).groupBy("user_id").agg(F.min(day_of(users)).alias("signup_day"))
+    registrants = _registrants(users, as_of)
+    registered = registrants.groupBy("user_id").agg(F.min(day_of(users)).alias("signup_day"))
     last_days = (
-        _step_events(events, as_of)
+        _of_registrants(_step_events(events, as_of), registrants)
         .groupBy("user_id")
         .agg(*[F.max(_when_step(step, day_of(events))).alias(step) for step in STEPS])
     )
@@ -110,12 +119,13 @@ def _first_events(users: DataFrame, events: DataFrame, as_of: date, how: str) ->
 
     Events shrink to one row per user and day first, so the join sees at most 61 rows of any user.
     """
+    signed_up = _registrants(users, as_of)
     daily = (
-        _step_events(events, as_of)
+        _of_registrants(_step_events(events, as_of), signed_up)
         .groupBy("user_id", day_of(events).alias("day"))
         .agg(*[F.min(_when_step(step, F.col("created_at"))).alias(step) for step in STEPS])
     )
-    registrants = _registrants(users, as_of).select(
+    registrants = signed_up.select(
         "user_id", F.col("created_at").alias("registration_date"), day_of(users).alias("signup_day")
     )
     registrants, daily = registrants.alias("r"), daily.alias("d")

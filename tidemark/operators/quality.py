@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.text import plain_decimal
 
 # The columns that must never be NULL.
 REQUIRED_COLUMNS = {"mau": ["month", "mau"], "users_by_country": ["country"]}
@@ -42,10 +45,16 @@ def dq_not_null(
 
 def _long_form(profile: DataFrame, mart: str) -> DataFrame:
     """The columns of a profile as rows (mart, metric, value), values as text."""
-    cells = ", ".join(f"'{column}', CAST(`{column}` AS STRING)" for column in profile.columns)
-    return profile.selectExpr(
-        f"'{mart}' AS mart", f"stack({len(profile.columns)}, {cells}) AS (metric, value)"
+    texts = profile.select(
+        *[
+            (plain_decimal(F.col(field.name)) if isinstance(field.dataType, T.DoubleType) else F.col(field.name))
+            .cast("string")
+            .alias(field.name)
+            for field in profile.schema
+        ]
     )
+    cells = ", ".join(f"'{column}', `{column}`" for column in texts.columns)
+    return texts.selectExpr(f"'{mart}' AS mart", f"stack({len(texts.columns)}, {cells}) AS (metric, value)")
 
 
 def dq_mart_profile(marts: dict[str, DataFrame]) -> DataFrame:
@@ -71,13 +80,13 @@ def dq_mart_profile(marts: dict[str, DataFrame]) -> DataFrame:
         marts["platform_share"]
         .rollup("platform")
         .agg(F.grouping("platform").alias("total"), F.count("*").alias("n"), F.sum("users").alias("users"),
-             F.max("share").alias("share"))
+             plain_decimal(F.max("share")).alias("share"))
         .selectExpr(
             "'platform_share' AS mart",
             "stack(2,"
             " if(total = 1, 'platforms', concat('users ', platform)), CAST(if(total = 1, n, users) AS STRING),"
             " if(total = 1, 'total_users', concat('share ', platform)),"
-            " if(total = 1, CAST(users AS STRING), CAST(share AS STRING))) AS (metric, value)",
+            " if(total = 1, CAST(users AS STRING), share)) AS (metric, value)",
         )
     )
     end_date = marts["data_end_date"].select("data_end_date")

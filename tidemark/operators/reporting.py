@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidemark.functions.text import plain_decimal
 from tidemark.operators.events import mau_recent
 from tidemark.operators.tables import latest_record
 
@@ -40,34 +41,66 @@ VIEWS = {
 }
 
 
+def _order(keys: list[str]) -> list[Column]:
+    return [F.desc_nulls_last(key[1:]) if key.startswith("-") else F.asc_nulls_last(key) for key in keys]
+
+
 def read_view(marts: dict[str, DataFrame], name: str) -> DataFrame:
     """A result table with its columns and rows in the order readers expect."""
     columns, order = VIEWS[name]
-    keys = [F.desc_nulls_last(key[1:]) if key.startswith("-") else F.asc_nulls_last(key) for key in order]
+    keys = _order(order)
     view = marts[name].select(*columns)
     return view.orderBy(*keys) if keys else view
 
 
 def latest_summary(summaries: DataFrame) -> DataFrame:
+    """The newest summary, of the table itself or of its published form with times as text."""
+    if isinstance(summaries.schema["run_ts"].dataType, T.StringType):
+        time = F.col("run_ts").cast("timestamp_ntz")
+        newest = latest_record(summaries.withColumn("_run_ts", time), "_run_ts", tie_break="run_id")
+        return newest.drop("_run_ts")
     return latest_record(summaries, "run_ts", tie_break="run_id")
 
 
-def _json_rows(section: str, df: DataFrame) -> DataFrame:
-    """Each row as one JSON object; dates become ISO text, NULLs stay."""
-    columns = []
-    for field in df.schema:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        columns.append(column.alias(field.name))
-    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return df.select(F.lit(section).alias("section"), row.alias("row_json"))
+def _json_cell(field: T.StructField) -> Column:
+    """A column as `"name":value`; dates become ISO text, fractions plain decimals, NULLs stay."""
+    column = F.col(field.name)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return F.concat(F.lit(f'"{field.name}":'), F.coalesce(plain_decimal(column), F.lit("null")))
+    if isinstance(field.dataType, T.DateType):
+        column = F.date_format(column, "yyyy-MM-dd")
+    elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        column = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    row = F.to_json(F.struct(column.alias(field.name)), {"ignoreNullFields": "false"})
+    return F.substr(row, F.lit(2), F.length(row) - 2)
+
+
+def _json_rows(section: str, df: DataFrame, order: list[Column]) -> DataFrame:
+    """Each row as one JSON object with its place in the section, counted from 1."""
+    cells = F.concat_ws(",", *[_json_cell(field) for field in df.schema])
+    # A section is a small result table: its numbering may take one task.
+    position = F.row_number().over(Window.orderBy(*order)) if order else F.lit(1)
+    return df.select(
+        F.lit(section).alias("section"),
+        position.cast("int").alias("position"),
+        F.concat(F.lit("{"), cells, F.lit("}")).alias("row_json"),
+    )
+
+
+# The order of the rows inside each section.
+SECTION_ORDER = {
+    "mau": ["-month"],
+    "retention": ["cohort_month", "age_month"],
+    "platform": ["-users", "platform"],
+    "funnel": ["step"],
+}
 
 
 def _sections(sections: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [_json_rows(name, df) for name, df in sections.items()])
+    parts = [_json_rows(name, df, _order(SECTION_ORDER.get(name, []))) for name, df in sections.items()]
+    if not parts:
+        return SparkSession.active().createDataFrame([], "section string, position int, row_json string")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def mart_rows_json(marts: dict[str, DataFrame], as_of: date) -> DataFrame:
@@ -114,10 +147,13 @@ def headline_facts(
 
     Retention is that of the newest cohort at its greatest age. The growth trend compares the last
     month-on-month change with the one before: greater is `accelerating`, equal `stable`, less
-    `declining`; with under three months it is NULL.
+    `declining`. Without three calendar months in a row it is NULL: a month without events has no row,
+    and a change over a gap is none from month to month.
     """
     by_month = Window.orderBy("month")
-    recent = mau_recent(mau, 3).withColumn("change", F.col("mau") - F.lag("mau").over(by_month))
+    follows = F.add_months(F.lag("month").over(by_month), 1) == F.col("month")
+    change = F.when(follows, F.col("mau") - F.lag("mau").over(by_month))
+    recent = mau_recent(mau, 3).withColumn("change", change)
     recent = recent.withColumn("step", F.col("change") - F.lag("change").over(by_month))
     current = recent.agg(F.max_by(F.struct("mau", "step"), "month")).scalar()
     top = (

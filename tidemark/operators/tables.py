@@ -21,6 +21,13 @@ def require_unique_key(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.assert_true(unfit == 0, message).isNull())
 
 
+def _require_known(incoming: DataFrame, target: DataFrame) -> None:
+    """A column that the target lacks would be lost: fail while the query is planned."""
+    unknown = [column for column in incoming.columns if column not in target.columns]
+    if unknown:
+        raise ValueError(f"the target has no column {', '.join(unknown)}; it has {', '.join(target.columns)}")
+
+
 def _overwrite(target: DataFrame, changes: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """`target` with `columns` taken from the row of `changes` with the same key, where there is one.
 
@@ -44,13 +51,15 @@ def upsert_by_key(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Merge `source`, which has each key once, into `target`.
 
     Rows with a matching key get the source's other columns and keep the rest; source rows without a
-    match are added, with NULL in columns the source does not have.
+    match are added, with NULL in columns the source does not have. A source column that the target
+    does not have is an error.
 
     The additions are found through the target's key column alone. Both joins with the target have it
     on the left, so a small source never makes it move. The two full uses of the source share one
     shuffle, behind which it is computed once; an anti join would be moved before the shuffle and end
     that, hence the mark.
     """
+    _require_known(source, target)
     source = require_unique_key(source, key).where(F.col(key).isNotNull()).repartition(key)
     updated = _overwrite(target, source, key, [column for column in source.columns if column != key])
     known = target.select(key).join(source.select(key), key, "left_semi").distinct()
@@ -70,8 +79,10 @@ def update_by_key(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Set the columns of `changes` in the target rows with the same key.
 
     A change whose values are all missing (NULL or empty) does nothing. Otherwise every value is set,
-    a NULL too. Changes for no key, or for one the target does not have, are ignored.
+    a NULL too. Changes for no key, or for one the target does not have, are ignored; a column that
+    the target does not have is an error.
     """
+    _require_known(changes, target)
     columns = [column for column in changes.columns if column != key]
     given = F.lit(False)
     for column in columns:

@@ -21,17 +21,23 @@ FACT_FIELDS = {
 def extract_facts(
     df: DataFrame, text_col: str = "text", fields: dict[str, str] = FACT_FIELDS
 ) -> DataFrame:
-    """Add the text's fact record as JSON (`{}` when there is none or it is broken) and its fields.
+    """Add the text's fact record as JSON, as it was written, what became of it, and its fields.
 
-    The JSON comes back in normal form: no spaces, keys sorted. A field that is absent or does not
-    fit its type is NULL.
+    `facts_state` is `read`, `unreadable` for a block that is not JSON from end to end, or `none`; the
+    record of the latter two is `{}`. A field that is absent or does not fit its type is NULL; of a
+    repeated field the last one counts, whatever the session's settings.
     """
     blocks = df.withColumn("_block", rules.facts_block(F.col(text_col)))
-    parsed = blocks.withColumn("_facts", rules.json_value(F.col("_block")))
-    return parsed.select(
+    readable = (F.col("_block") != "") & rules.is_json(F.col("_block"))
+    judged = blocks.withColumn("_facts", F.when(readable, F.col("_block")))
+    state = F.when(F.col("_facts").isNotNull(), "read").when(F.col("_block") != "", "unreadable").otherwise("none")
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
+    taken = judged.withColumn("_fields", F.from_json("_facts", schema)) if fields else judged
+    return taken.select(
         *df.columns,
-        F.coalesce(F.to_json("_facts"), F.lit("{}")).alias("facts_json"),
-        *[F.try_variant_get("_facts", f"$.{name}", kind).alias(name) for name, kind in fields.items()],
+        F.coalesce("_facts", F.lit("{}")).alias("facts_json"),
+        state.alias("facts_state"),
+        *[F.col(f"_fields.{name}").alias(name) for name in fields],
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import (
@@ -25,13 +25,34 @@ def standard_countries(users: DataFrame, names: dict[str, str] = COUNTRY_NAMES)
     return users.where(F.col("country").isNotNull()).replace(names, subset=["country"])
 
 
+#: Column of tables that hold a row for each country and day instead of each user.
+SIGNUPS = "signups"
+
+
+def _users(users: DataFrame) -> Column:
+    """How many users a row stands for."""
+    return F.col(SIGNUPS) if SIGNUPS in users.columns else F.lit(1)
+
+
+def country_days(users: DataFrame, as_of: date) -> DataFrame:
+    """Signups for each country and day, as a users table without ids; users without a country too."""
+    return (
+        as_of_snapshot(users, as_of)
+        .groupBy("country", day_of(users).alias("day"))
+        .agg(F.count("*").alias(SIGNUPS))
+        .select(
+            F.lit(None).cast("long").alias("id"), F.col("day").cast("timestamp_ntz").alias("created_at"), "country", SIGNUPS
+        )
+    )
+
+
 def users_by_country(
     users: DataFrame, as_of: date | None = None, names: dict[str, str] = COUNTRY_NAMES
 ) -> DataFrame:
     return (
         standard_countries(as_of_snapshot(users, as_of), names)
         .groupBy("country")
-        .agg(F.count("*").alias("users"))
+        .agg(F.sum(_users(users)).alias("users"))
         .orderBy(F.desc("users"), "country")
     )
 
@@ -42,14 +63,18 @@ def _country_periods(users: DataFrame, as_of: date, days: int, names: dict[str,
     The current period runs up to the end of the `as_of` day, the previous one lies just before it.
     """
     current_start, previous_start = days_before(as_of, days), days_before(as_of, 2 * days)
-    day = day_of(users)
+    day, count = day_of(users), _users(users)
+
+    def counted(when: Column) -> Column:
+        return F.sum(F.when(when, count).otherwise(0))
+
     return (
         standard_countries(as_of_snapshot(users, as_of), names)
         .groupBy("country")
         .agg(
-            F.count("*").alias("base"),
-            F.count_if(day >= current_start).alias("current_users"),
-            F.count_if((day >= previous_start) & (day < current_start)).alias("previous_users"),
+            F.sum(count).alias("base"),
+            counted(day >= current_start).alias("current_users"),
+            counted((day >= previous_start) & (day < current_start)).alias("previous_users"),
         )
         .where(F.col("previous_users") > 0)
     )

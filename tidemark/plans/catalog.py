@@ -15,7 +15,6 @@ from tidemark.plans import summaries
 from tidemark.schemas import SUMMARIES, conform
 from tidemark.session import configure
 from tidemark.sources import bindings as b
-from tidemark.sources.tables import as_of_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +26,7 @@ COHORT_DAY = date(1995, 10, 15)
 CUSTOMERS_DAY = date(2001, 12, 31)
 SHIP_DAY = date(1998, 6, 30)
 SUMMARY_START = datetime(2024, 1, 1)
+REFRESH_TIME = datetime(2030, 1, 1)
 
 
 class Inputs:
@@ -53,7 +53,7 @@ class Inputs:
 
     @cached_property
     def signups(self) -> DataFrame:
-        return as_of_snapshot(b.load_users(*self._at, b.users_signup), SIGNUP_DAY)
+        return b.load_users(*self._at, lambda spark, folder: b.users_signup(spark, folder, SIGNUP_DAY))
 
 
 # The result tables, each on the tables and day of its own key.
@@ -86,13 +86,18 @@ def _on(operator: Callable[[Inputs], DataFrame]) -> Query:
 
 def texts_with_tails(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with a fact section behind it: some broken, some after a fenced block, some
-    after a line break that was written out as a backslash and an n."""
+    after a line break that was written out as a backslash and an n. The records have decimals, text,
+    nested values, fields out of order, missing ones, and some repeat a field."""
     doc = F.col("doc_id")
     line_break = F.when(doc % 4 == 0, F.lit("\\n\\nnext\\nline")).otherwise("")
     fence = F.when(doc % 5 == 0, F.lit('\n```json\n{"a": 1}\n```\n')).otherwise("")
-    facts = F.when(doc % 7 == 0, F.format_string('{"doc": %d, "n": ,}', doc)).otherwise(
-        F.format_string('{"doc": %d, "n": %d}', doc, F.col("n_chars"))
-    )
+    again = F.when(doc % 11 == 0, F.lit('"current_mau": -1, ')).otherwise("")
+    whole = F.format_string(
+        '{"retention_rate": 0.%d5, %s"extra": {"list": [1.0, null, "}"]}, "current_mau": %d,'
+        ' "platform_share": "12.%d%%", "dominant_platform": "i\\"OS"}',
+        doc % 89 + 1, again, F.col("n_chars"), doc % 10,
+    )
+    facts = F.when(doc % 7 == 0, F.format_string('{"current_mau": %d, "retention_rate": ,}', doc)).otherwise(whole)
     return b.stored(spark, folder, "documents").select(
         "doc_id", F.concat("text", line_break, fence, F.lit("\n\nfacts_json:\n"), facts).alias("text")
     )
@@ -143,7 +148,7 @@ def refresh_summaries(spark: SparkSession, folder: str) -> DataFrame:
     texts = texts_with_tails(spark, folder).select(
         (F.col("doc_id") * 2).cast("string").alias("run_id"), "text"
     )
-    return summaries.refresh_summaries(document_summaries(spark, folder), texts, WEB_DAY)
+    return summaries.refresh_summaries(document_summaries(spark, folder), texts, WEB_DAY, REFRESH_TIME)
 
 
 def headline_facts(spark: SparkSession, folder: str) -> DataFrame:
@@ -188,9 +193,7 @@ QUERIES: dict[str, Query] = {
     ),
     "latest_summary": lambda spark, folder: reporting.latest_summary(document_summaries(spark, folder)),
     "refresh_summaries": refresh_summaries,
-    "extract_facts": lambda spark, folder: text.extract_facts(
-        texts_with_tails(spark, folder), fields={"doc": "bigint", "n": "bigint"}
-    ).drop("text"),
+    "extract_facts": lambda spark, folder: text.extract_facts(texts_with_tails(spark, folder)).drop("text"),
     "clean_text": lambda spark, folder: text.clean_text(texts_with_tails(spark, folder)),
     "mart_rows_json": lambda spark, folder: reporting.mart_rows_json(marts(spark, folder), WEB_DAY),
     "chat_rows_json": lambda spark, folder: reporting.chat_rows_json(

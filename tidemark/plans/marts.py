@@ -27,27 +27,81 @@ MARTS = [
 ]
 
 
+# Tables that the marts share, each one pass over a raw table, kept beside the marts.
+SHARED = ["shared_user_days", "shared_session_days", "shared_country_days"]
+
+
+def shared_tables(user_table: DataFrame, event_table: DataFrame, as_of: date) -> dict[str, DataFrame]:
+    """The raw tables, reduced to what the marts can tell apart, not yet computed.
+
+    Users and their days, with the browser of the day's latest event; session and day and kind of event;
+    country and signup day with a count. They have the raw tables' columns, so that every mart is the
+    same operator on a smaller table.
+    """
+    return {
+        "shared_user_days": ev.user_days(event_table, as_of),
+        "shared_session_days": ev.session_days(event_table, as_of),
+        "shared_country_days": users.country_days(user_table, as_of),
+    }
+
+
 def build_marts(
     user_table: DataFrame,
     event_table: DataFrame,
     as_of: date,
     names: dict[str, str] = COUNTRY_NAMES,
+    shared: dict[str, DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """All result tables as of one day, not yet computed; from the shared tables where they are given.
+
+    Retention then needs the ids of the few newest cohorts, and so reads the users once more.
+    """
+    if shared is not None:
+        days, sessions, countries = (shared[name] for name in SHARED)
+        return _build(user_table, days, sessions, countries, as_of, names)
+    return _build(user_table, event_table, event_table, user_table, as_of, names)
+
+
+def _build(
+    user_table: DataFrame,
+    event_table: DataFrame,
+    sessions: DataFrame,
+    countries: DataFrame,
+    as_of: date,
+    names: dict[str, str],
 ) -> dict[str, DataFrame]:
-    """All result tables as of one day, not yet computed."""
     return {
         "mau": ev.mau_monthly(event_table, as_of),
         "retention": users.retention_cohorts(user_table, event_table, as_of),
-        "users_by_country": users.users_by_country(user_table, as_of, names),
+        "users_by_country": users.users_by_country(countries, as_of, names),
         "platform_share": ev.platform_share(event_table, as_of),
-        "funnel": funnels.session_funnel(event_table, as_of),
+        "funnel": funnels.session_funnel(sessions, as_of),
         "data_end_date": ev.data_end_date(event_table, as_of),
-        "country_trends": users.country_trends(user_table, as_of, names=names),
-        "country_increases": users.country_increases(user_table, as_of, names=names),
-        "country_decreases": users.country_decreases(user_table, as_of, names=names),
-        "kpi_metrics": ev.kpi_metrics(event_table, as_of),
+        "country_trends": users.country_trends(countries, as_of, names=names),
+        "country_increases": users.country_increases(countries, as_of, names=names),
+        "country_decreases": users.country_decreases(countries, as_of, names=names),
+        "kpi_metrics": ev.kpi_metrics(event_table, as_of, sessions),
     }
 
 
+def refresh_marts(
+    user_table: DataFrame,
+    event_table: DataFrame,
+    as_of: date,
+    folder: str,
+    names: dict[str, str] = COUNTRY_NAMES,
+) -> None:
+    """Build and store all result tables with one pass over the raw events for each shared table.
+
+    The shared tables are written to the folder of the marts first; that folder is on storage that all
+    executors share, so a lost executor costs its tasks only.
+    """
+    spark = event_table.sparkSession
+    store_marts(shared_tables(user_table, event_table, as_of), folder)
+    shared = stored_marts(spark, folder, SHARED)
+    store_marts(build_marts(user_table, event_table, as_of, names, shared), folder)
+
+
 def store_marts(marts: dict[str, DataFrame], folder: str) -> None:
     """Compute each table once and replace its stored form."""
     for name, mart in marts.items():

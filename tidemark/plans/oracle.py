@@ -6,12 +6,12 @@ from __future__ import annotations
 EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'product' WHEN 'click' THEN 'cart'
   WHEN 'purchase' THEN 'purchase' WHEN 'signup' THEN 'home' WHEN 'error' THEN 'department' END"""
 
-BROWSER = """CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 WHEN 0 THEN 'Chrome'
+BROWSER = """CASE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 WHEN 0 THEN 'Chrome'
   WHEN 1 THEN 'Safari' WHEN 2 THEN 'Firefox' WHEN 3 THEN 'IE' ELSE 'Other' END"""
 
 
 def _until(ts: str, as_of: str) -> str:
-    return f"CAST({ts} AS DATE) <= DATE '{as_of}'"
+    return f"({ts} IS NULL OR CAST({ts} AS DATE) <= DATE '{as_of}')"
 
 
 def _web(as_of: str) -> str:
@@ -175,7 +175,7 @@ FROM pairs"""
 REGISTERED = f"""{_web('2024-02-28')},
 signed AS (
   SELECT user_id AS id, max(ts) AS created_at FROM events
-  WHERE event_type = 'signup' AND {_until('ts', '2024-02-28')} GROUP BY user_id),
+  WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-02-29' GROUP BY user_id),
 fresh AS (
   SELECT * FROM signed
   WHERE CAST(created_at AS DATE) BETWEEN DATE '2023-12-30' AND DATE '2024-01-29'),
@@ -194,36 +194,30 @@ SELECT 3, 'Add to Cart', count(DISTINCT id) FROM followed WHERE event_type = 'ca
 UNION ALL
 SELECT 4, 'Purchase', count(DISTINCT id) FROM followed WHERE event_type = 'purchase'"""
 
-PIVOT = f"""{REGISTERED},
-numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY id, event_type ORDER BY happened) AS nth FROM followed),
-pivoted AS (
-  SELECT id AS user_id, registered AS registration_date,
-         max(happened) FILTER (WHERE event_type = 'product') AS first_product_view,
-         max(happened) FILTER (WHERE event_type = 'cart') AS first_add_to_cart,
-         max(happened) FILTER (WHERE event_type = 'purchase') AS first_purchase
-  FROM numbered WHERE nth = 1 GROUP BY id, registered)"""
+FIRST_TIMES = """SELECT {person}, {signup},
+         min(CASE event_type WHEN 'product' THEN happened END) AS first_product_view,
+         min(CASE event_type WHEN 'cart' THEN happened END) AS first_add_to_cart,
+         min(CASE event_type WHEN 'purchase' THEN happened END) AS first_purchase
+  FROM {rows} GROUP BY ALL"""
 
-FIRST_EVENT_PIVOT = f"WITH {PIVOT} SELECT * FROM pivoted"
+FIRST_EVENT_PIVOT = f"""WITH {REGISTERED}
+{FIRST_TIMES.format(person="id AS user_id", signup="registered AS registration_date", rows="followed")}"""
 
 REGISTRATION_ORDERED = f"""
-WITH {PIVOT},
-marked AS (
-  SELECT fresh.id, pivoted.user_id,
-         first_product_view IS NOT NULL AS viewed,
-         coalesce(first_add_to_cart >= first_product_view, false) AS carted,
-         coalesce(first_purchase >= first_add_to_cart AND first_add_to_cart >= first_product_view, false)
-           AS bought
-  FROM fresh LEFT JOIN pivoted ON pivoted.user_id = fresh.id),
-counts AS (
-  SELECT count(*) AS s1, sum(CASE WHEN user_id IS NOT NULL THEN CAST(viewed AS INTEGER) END) AS s2,
-         sum(CASE WHEN user_id IS NOT NULL THEN CAST(carted AS INTEGER) END) AS s3,
-         sum(CASE WHEN user_id IS NOT NULL THEN CAST(bought AS INTEGER) END) AS s4
-  FROM marked)
-SELECT 1 AS step, 'New User Registration' AS step_name, CAST(s1 AS BIGINT) AS users FROM counts
-UNION ALL SELECT 2, 'Product View', CAST(s2 AS BIGINT) FROM counts
-UNION ALL SELECT 3, 'Add to Cart', CAST(s3 AS BIGINT) FROM counts
-UNION ALL SELECT 4, 'Purchase', CAST(s4 AS BIGINT) FROM counts"""
+WITH {REGISTERED},
+firsts AS (
+  {FIRST_TIMES.format(person="id", signup="created_at", rows="fresh LEFT JOIN followed USING (id)")}),
+reached AS (
+  SELECT id, CASE WHEN first_product_view IS NULL AND first_add_to_cart IS NULL AND first_purchase IS NULL THEN NULL
+                  WHEN first_product_view IS NULL THEN 0
+                  WHEN first_add_to_cart IS NULL OR first_add_to_cart < first_product_view THEN 1
+                  WHEN first_purchase IS NULL OR first_purchase < first_add_to_cart THEN 2 ELSE 3 END AS depth
+  FROM firsts)
+SELECT n + 1 AS step,
+       ['New User Registration', 'Product View', 'Add to Cart', 'Purchase'][n + 1] AS step_name,
+       CAST(CASE n WHEN 0 THEN count(id) ELSE sum(CASE WHEN depth >= n THEN 1 WHEN depth < n THEN 0 END) END AS BIGINT)
+         AS users
+FROM (VALUES (0), (1), (2), (3)) AS steps(n) LEFT JOIN reached ON true GROUP BY n"""
 
 EXPORT_EVENTS = """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props FROM events"""
@@ -269,24 +263,32 @@ BLANK_CLASS = "[" + "".join(rf"\x{{{code:x}}}" for code in BLANKS) + "]"
 BLANK_TEXT = " || ".join(f"chr({code})" for code in BLANKS)
 
 TAILED = """tailed AS (
-  SELECT doc_id, text
+  SELECT doc_id, n_chars, text
     || CASE WHEN doc_id % 4 = 0 THEN '\\n\\nnext\\nline' ELSE '' END
     || CASE WHEN doc_id % 5 = 0 THEN chr(10) || '```json' || chr(10) || '{"a": 1}' || chr(10) || '```' || chr(10)
        ELSE '' END
     || chr(10) || chr(10) || 'facts_json:' || chr(10)
-    || CASE WHEN doc_id % 7 = 0 THEN '{"doc": ' || doc_id || ', "n": ,}'
-       ELSE '{"doc": ' || doc_id || ', "n": ' || n_chars || '}' END AS text
+    || CASE WHEN doc_id % 7 = 0 THEN '{"current_mau": ' || doc_id || ', "retention_rate": ,}'
+       ELSE '{"retention_rate": 0.' || (doc_id % 89 + 1) || '5, '
+         || CASE WHEN doc_id % 11 = 0 THEN '"current_mau": -1, ' ELSE '' END
+         || '"extra": {"list": [1.0, null, "}"]}, "current_mau": ' || n_chars
+         || ', "platform_share": "12.' || (doc_id % 10) || '%", "dominant_platform": "i\\"OS"}' END AS text
   FROM documents)"""
 
 FACTS = f"""{TAILED},
-found AS (SELECT doc_id, regexp_extract(text, 'facts_json.*?(\\{{.*\\}})', 1, 's') AS block FROM tailed),
-facts AS (SELECT doc_id, CASE WHEN json_valid(block) THEN CAST(json(block) AS VARCHAR) END AS facts FROM found)"""
+found AS (SELECT *, regexp_extract(text, 'facts_json.*?(\\{{.*\\}})', 1, 's') AS block FROM tailed),
+facts AS (SELECT *, CASE WHEN json_valid(block) THEN block END AS facts FROM found)"""
 
 EXTRACT_FACTS = f"""
 WITH {FACTS}
 SELECT doc_id, coalesce(facts, '{{}}') AS facts_json,
-       TRY_CAST(json_extract_string(facts, '$.doc') AS BIGINT) AS doc,
-       TRY_CAST(json_extract_string(facts, '$.n') AS BIGINT) AS n
+       CASE WHEN facts IS NOT NULL THEN 'read' WHEN block <> '' THEN 'unreadable' ELSE 'none' END AS facts_state,
+       CASE WHEN facts IS NOT NULL THEN CAST(n_chars AS VARCHAR) END AS current_mau,
+       json_extract_string(facts, '$.dominant_platform') AS dominant_platform,
+       json_extract_string(facts, '$.platform_share') AS platform_share,
+       json_extract_string(facts, '$.conversion_rate') AS conversion_rate,
+       regexp_extract(facts, '"retention_rate": ([0-9.]+)', 1) AS retention_rate,
+       json_extract_string(facts, '$.growth_trend') AS growth_trend
 FROM facts"""
 
 
@@ -309,8 +311,9 @@ WITH {DOCUMENT_SUMMARIES}, {FACTS},
 fresh AS (
   SELECT CAST(doc_id * 2 AS VARCHAR) AS run_id, DATE '2024-02-15' AS data_end_date,
          {_cleaned('text')} AS text, coalesce(facts, '{{}}') AS facts_json
-  FROM tailed JOIN facts USING (doc_id))
-SELECT coalesce(t.run_id, s.run_id) AS run_id, t.run_ts,
+  FROM facts)
+SELECT coalesce(t.run_id, s.run_id) AS run_id,
+       CASE WHEN s.run_id IS NULL THEN t.run_ts ELSE TIMESTAMP '2030-01-01' END AS run_ts,
        CASE WHEN s.run_id IS NULL THEN t.data_end_date ELSE s.data_end_date END AS data_end_date,
        CASE WHEN s.run_id IS NULL THEN t.text ELSE s.text END AS text,
        CASE WHEN s.run_id IS NULL THEN t.facts_json ELSE s.facts_json END AS facts_json,
@@ -331,19 +334,40 @@ MARTS = {
 }
 
 
-def _json_section(section: str, columns: list[str], rows: str) -> str:
-    cells = ", ".join(f"{column} := {column}" for column in columns)
-    return f"SELECT '{section}' AS section, CAST(to_json(struct_pack({cells})) AS VARCHAR) AS row_json FROM ({rows})"
+def _plain(value: str) -> str:
+    """A fraction without an exponent or closing zeros."""
+    return f"rtrim(rtrim(CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 20)) AS VARCHAR), '0'), '.')"
+
+
+FRACTIONS = ["retention_rate", "share", "purchase_conversion_rate"]
+
+
+def _json_cell(column: str) -> str:
+    if column in FRACTIONS:
+        return f"""'"{column}":' || coalesce({_plain(column)}, 'null')"""
+    return f"trim(CAST(to_json(struct_pack({column} := {column})) AS VARCHAR)[2:-2])"
+
+
+def _json_section(section: str, columns: list[str], rows: str, order: str = "") -> str:
+    cells = " || ',' || ".join(map(_json_cell, columns))
+    position = f"row_number() OVER (ORDER BY {order})" if order else "1"
+    return f"""SELECT '{section}' AS section, CAST({position} AS INTEGER) AS position,
+      '{{' || {cells} || '}}' AS row_json FROM ({rows})"""
 
 
 def _payload(months: int, end_date: str) -> list[str]:
     mau = f"SELECT CAST(month AS VARCHAR) AS month, mau FROM ({MAU}) ORDER BY month DESC LIMIT {months}"
     retention = f"SELECT * REPLACE (CAST(cohort_month AS VARCHAR) AS cohort_month) FROM ({RETENTION})"
     return [
-        _json_section("mau", ["month", "mau"], mau),
-        _json_section("retention", ["cohort_month", "cohort_label", "age_month", "retention_rate"], retention),
-        _json_section("platform", ["platform", "users", "share"], PLATFORM),
-        _json_section("funnel", ["step", "step_name", "sessions"], FUNNEL),
+        _json_section("mau", ["month", "mau"], mau, "month DESC"),
+        _json_section(
+            "retention",
+            ["cohort_month", "cohort_label", "age_month", "retention_rate"],
+            retention,
+            "cohort_month, age_month",
+        ),
+        _json_section("platform", ["platform", "users", "share"], PLATFORM, "users DESC, platform"),
+        _json_section("funnel", ["step", "step_name", "sessions"], FUNNEL, "step"),
         _json_section("kpi_metrics", ["last_updated_date", "mau_30_days", "purchase_conversion_rate"], KPI),
         _json_section("data_end_date", ["data_end_date"], end_date),
     ]
@@ -376,22 +400,23 @@ DQ_MART_PROFILE = " UNION ALL ".join(
         ("mau", "'last_month'", "max(month)"),
         ("mau", "'peak_mau'", "max(mau)"),
         ("retention", "'cohorts'", "count(DISTINCT cohort_month)"),
-        ("retention", "'min_rate'", "min(retention_rate)"),
-        ("retention", "'max_rate'", "max(retention_rate)"),
+        ("retention", "'min_rate'", _plain("min(retention_rate)")),
+        ("retention", "'max_rate'", _plain("max(retention_rate)")),
         ("users_by_country", "'countries'", "count(*)"),
         ("users_by_country", "'total_users'", "sum(users)"),
         ("users_by_country", "'largest_country'", "max(users)"),
         ("platform_share", "'platforms'", "count(*)"),
         ("platform_share", "'total_users'", "sum(users)"),
         ("platform_share", "'users ' || platform", "users"),
-        ("platform_share", "'share ' || platform", "share"),
+        ("platform_share", "'share ' || platform", _plain("share")),
         ("data_end_date", "'data_end_date'", "data_end_date"),
     ]
 )
 
 HEADLINE_FACTS = f"""
 WITH months AS (
-  SELECT month, mau, mau - lag(mau) OVER (ORDER BY month) AS change FROM ({MAU})),
+  SELECT month, mau, CASE WHEN datediff('month', lag(month) OVER (ORDER BY month), month) = 1
+                     THEN mau - lag(mau) OVER (ORDER BY month) END AS change FROM ({MAU})),
 steps AS (SELECT month, mau, change - lag(change) OVER (ORDER BY month) AS step FROM months),
 current AS (SELECT mau, step FROM steps ORDER BY month DESC LIMIT 1),
 top AS (SELECT platform, share FROM ({PLATFORM}) ORDER BY users DESC, platform LIMIT 1),

@@ -9,8 +9,6 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # JSON objects with a repeated key keep the last value.
-    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

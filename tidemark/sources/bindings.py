@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import EVENTS, USERS, conform
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import as_of_snapshot, read_table
 
 # Stored event types and browsers, and the names they are read as.
 EVENT_TYPES = {
@@ -53,13 +54,16 @@ def events_plain(spark: SparkSession, folder: str) -> DataFrame:
 def events_web(spark: SparkSession, folder: str) -> DataFrame:
     raw = stored(spark, folder, "events")
     names = F.create_map(*[F.lit(name) for pair in EVENT_TYPES.items() for name in pair])
-    browser_index = F.get_json_object("props", "$.k").cast("int") % len(BROWSERS)
+    # Integer division keeps the sign: what is no place in the list is read as the last one.
+    browser_index = F.get_json_object("props", "$.k").try_cast("int") % len(BROWSERS)
+    listed = F.when(browser_index >= 0, F.get(F.array(*map(F.lit, BROWSERS)), browser_index))
     return raw.select(
         "user_id",
-        F.concat_ws("-", F.col("user_id"), F.to_date("ts")).alias("session_id"),
+        # Events without a user or time have no session id, and so one session together.
+        F.concat(F.col("user_id").cast("string"), F.lit("-"), F.to_date("ts").cast("string")).alias("session_id"),
         F.try_element_at(names, F.col("event_type")).alias("event_type"),
         F.col("ts").alias("created_at"),
-        F.element_at(F.array(*map(F.lit, BROWSERS)), browser_index + 1).alias("browser"),
+        F.coalesce(listed, F.lit(BROWSERS[-1])).alias("browser"),
     )
 
 
@@ -113,10 +117,10 @@ def users_ship(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def users_signup(spark: SparkSession, folder: str) -> DataFrame:
-    """Users, signed up with their last stored signup event."""
+def users_signup(spark: SparkSession, folder: str, as_of: date | None = None) -> DataFrame:
+    """Users, signed up with their last signup event up to the `as_of` day: later ones are not known yet."""
     return (
-        stored(spark, folder, "events")
+        as_of_snapshot(stored(spark, folder, "events"), as_of, ts_col="ts")
         .where(F.col("event_type") == "signup")
         .groupBy(F.col("user_id").alias("id"))
         .agg(F.max("ts").alias("created_at"))

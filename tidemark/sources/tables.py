@@ -40,7 +40,7 @@ def store_by_day(df: DataFrame, folder: str, name: str, ts_col: str = "created_a
 
 
 def as_of_snapshot(df: DataFrame, as_of: date | None, ts_col: str = "created_at") -> DataFrame:
-    """Rows up to and including the `as_of` day; `None` keeps the table as it is."""
+    """Rows up to and including the `as_of` day, and those without a time; `None` keeps all rows."""
     if as_of is None:
         return df
-    return cut_days(df, end=as_of + timedelta(days=1), ts_col=ts_col)
+    return cut_days(df, end=as_of + timedelta(days=1), ts_col=ts_col, undated=True)
