@@ -75,8 +75,8 @@ def support(texts: int) -> int:
 
 
 def entries(word: str) -> list[str]:
-    """A word as `=word` and its proper beginnings as they are."""
-    return ["=" + word, *(word[:n] for n in BEGINNINGS if n < len(word))]
+    """A word as `=word` and its beginnings, up to the whole of it, as they are."""
+    return ["=" + word, *(word[:n] for n in BEGINNINGS if n <= len(word))]
 
 
 def entries_of(text: str) -> set[str]:
