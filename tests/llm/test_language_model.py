@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tidemark.llm import language_model as m
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), b""]
+
+
+def brute(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        if zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 != 2:
+            counts.update(tokens(text))
+    total = sum(counts.values())
+    found = []
+    for doc_id, text in rows:
+        words = tokens(text)
+        base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in words)
+        found.append((doc_id, len(words), sum(counts[w] > 0 for w in words), total, base))
+    return counts, found
+
+
+def some_rows():
+    draw = random.Random(1)
+    rows = []
+    for i in range(150):
+        vocabulary = [f"{'ab'[i % 2]}{n}{draw.choice(['', ',', '.'])}" for n in range(30)]
+        rows.append((i, " ".join(draw.choices(vocabulary, k=draw.randint(0, 60))) + f" Rare{i}É"))
+    return rows + [(None, "a1 b1"), (3, None), (3, ""), (500, "a1 " * 50_000), (501, " \n")]
+
+
+@pytest.mark.parametrize("hot", [5, 100_000])
+def test_base_scores_equal_brute_force(documents, monkeypatch, hot):
+    monkeypatch.setattr(m, "HOT_WORDS", hot)
+    monkeypatch.setattr(m, "TABLE_WORDS", 40)
+    monkeypatch.setattr(m, "STEPS", 100)
+    rows = some_rows()
+    _, expected = brute(rows)
+    found = m.score_documents(documents(*rows)).collect()
+    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in found), key=str)
+    for one, two in zip(got, sorted(expected, key=str), strict=True):
+        assert one[:4] == two[:4] and one[4] == pytest.approx(two[4], rel=1e-9)
+    assert all(r.score < 0 for r in found)
+
+
+def test_probabilities_add_up_to_one(documents, monkeypatch):
+    monkeypatch.setattr(m, "HOT_WORDS", 40)
+    monkeypatch.setattr(m, "WORD_CLASSES", 10)
+    monkeypatch.setattr(m, "ENDING_CLASSES", 6)
+    model, counts = m.train(documents(*some_rows()))
+    assert np.abs((10.0 ** model.table.astype(float)).sum(1) - 1).max() < 1e-5
+    known, share = {bytes(r["word"]): r["count"] for r in counts.collect()}, Counter()
+    for word, count in known.items():
+        share[model.words.class_of(word)] += (count + 1) / 10 ** model.spread[model.words.class_of(word)]
+    for number, total in share.items():
+        unseen = 0 if number < model.words.own else 1 / 10 ** model.spread[number]
+        assert total + unseen == pytest.approx(1)
+
+
+def test_the_model_beats_the_base_on_held_out_texts(documents):
+    found = [r for r in m.score_documents(documents(*some_rows())).collect() if r.held_out and r.n_tokens > 20]
+    assert len(found) > 10 and sum(r.score for r in found) > sum(r.base_score for r in found)
+
+
+def test_training_learns_what_follows():
+    draw = np.random.default_rng(2)
+    classes, n = 6, 40_000
+    after = draw.dirichlet(np.full(classes, 0.3), size=classes)
+    chain = [0]
+    for _ in range(n):
+        chain.append(draw.choice(classes, p=after[chain[-1]]))
+    chain = np.array(chain)
+    runs = Counter(zip(m.contexts(chain, classes).tolist(), chain.tolist()))
+    context, following, counts = (np.array(x) for x in zip(*[(c, f, k) for (c, f), k in sorted(runs.items())]))
+    network = m.LogBilinear(classes)
+    network.fit(context, following, counts)
+    held = network.table()[m.contexts(chain, classes), chain].mean()
+    unigram = np.log10(np.bincount(chain, minlength=classes) / len(chain))[chain].mean()
+    true = np.log10(after[chain[:-1], chain[1:]]).mean()
+    assert held > unigram + 0.8 * (true - unigram)
+
+
+def test_nothing_to_learn_from(documents):
+    assert m.score_documents(documents()).collect() == []
+    held_out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    row = m.score_documents(documents((held_out, "a b"))).first()
+    assert (row.train_tokens, row.n_known, row.n_tokens, row.base_score) == (0, 0, 3, 0.0)

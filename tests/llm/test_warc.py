@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import pytest
+import zstandard
+
+from tidemark.llm import warc
+
+
+def digest(data):
+    return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def packed(dictionary):
+    return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True).compress
+
+
+@pytest.fixture(scope="module")
+def archive():
+    dictionary = warc.record(0, "http://", b"<html></html>", 0, True, "")
+    records = [
+        warc.record(1, "http://a/é b\r\nx: y", b"hello\r\n\r\n" * 1000, None, False, "d"),
+        warc.record(-2, None, b"", None, False, "d"),
+        warc.record(None, "u", b"hello", 1, True, "d"),
+    ]
+    return dictionary, records, warc.dictionary_frame(dictionary) + b"".join(map(packed(dictionary), records))
+
+
+def test_round_trip(archive):
+    rows = list(warc.read_archive(archive[2]))
+    assert [row["record_type"] for row in rows] == ["response", "response", "revisit"]
+    assert [(row["page_id"], row["refers_to"]) for row in rows] == [(1, None), (-2, None), (None, 1)]
+    assert rows[0]["payload"] == b"hello\r\n\r\n" * 1000 and rows[1]["payload"] == b"" and "payload" not in rows[2]
+    assert [row["payload_digest"] for row in rows] == [digest(b"hello\r\n\r\n" * 1000), digest(b""), digest(b"hello")]
+    assert rows[0]["offset"] + rows[0]["length"] == rows[1]["offset"]
+
+
+def test_dictionaries_may_be_plain_or_missing(archive):
+    dictionary, records, _ = archive
+    plain = warc.struct.pack("<II", warc.SKIPPABLE, len(dictionary)) + dictionary
+    assert len(list(warc.read_archive(plain + packed(dictionary)(records[0])))) == 1
+    assert [r["page_id"] for r in warc.read_archive(zstandard.ZstdCompressor().compress(records[0]))] == [1]
+    other = warc.struct.pack("<II", 0x184D2A50, 3) + b"abc"
+    assert [r["page_id"] for r in warc.read_archive(other + zstandard.ZstdCompressor().compress(records[0]))] == [1]
+
+
+def test_every_truncation_is_noticed(archive):
+    whole = archive[2]
+    rows = list(warc.read_archive(whole))
+    ends = {0, rows[0]["offset"], *(row["offset"] + row["length"] for row in rows)}
+    for size in range(len(whole)):
+        found = list(warc.read_archive(whole[:size]))
+        assert ("problem" in found[-1] if found else False) == (size not in ends), size
+
+
+def test_damage_is_reported_and_reading_goes_on(archive):
+    dictionary, records, _ = archive
+    bad = [
+        records[0].replace(b"hello", b"hellO", 1),
+        records[0] + records[1],
+        records[0][:-4] + b"\r\nxx",
+        records[0].replace(b"WARC/1.1", b"WARC/9.9"),
+        records[0].replace(b"WARC-Date", b"WARC-Dote"),
+        records[0].replace(b"WARC-Type: response", b"WARC-Type: metadata"),
+        b"",
+        b"junk",
+    ]
+    pack = packed(dictionary)
+    data = warc.dictionary_frame(dictionary) + b"".join(pack(one) + pack(records[1]) for one in bad)
+    rows = list(warc.read_archive(data))
+    assert [bool(row.get("problem")) for row in rows] == [True, False] * len(bad)
+
+
+def test_pages(spark, documents):
+    rows = [
+        (5, "http://x", "<p>same</p>"), (3, None, "<p>same</p>"), (9, "http://x", "<p>same</p>"), (1, "é", None), (2, "b", ""),
+        (7, "c", "ünï" * 40_000), (None, "n", "<p>same</p>"), (None, "n", "alone"), (8, "r", "twice"), (8, "r", "twice"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS payload", "2 AS key")
+    found = warc.archived(pages).collect()
+    got = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found), key=str)
+    first = {"<p>same</p>": 3, "": 1, "twice": 8}
+    expected = []
+    for page_id, _, html in rows:
+        data, keep = (html or "").encode(), first.get(html or "", page_id)
+        same = page_id == keep
+        expected.append((page_id, len(data), digest(data), "response" if same else "revisit", None if same else keep))
+    assert got == sorted(expected, key=str)
+    short = {r.page_id: r.record_type for r in warc.archived(pages, min_bytes=6).collect()}
+    assert short[2] == "response" and short[5] == "revisit" and short[8] == "response"
+
+
+def test_empty_table(spark):
+    assert warc.archived(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_unlisted_archives_are_not_read_and_problems_fail(spark, tmp_path, archive):
+    pages = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    listed = warc.write_archives(pages, str(tmp_path))
+    (tmp_path / f"left{warc.SUFFIX}").write_bytes(archive[2][:-1])
+    assert [r.payload for r in warc.read_archives(spark, str(tmp_path), listed).collect()] == [b"x"]
+    everything = warc.read_archives(spark, str(tmp_path), strict=False)
+    assert everything.where("problem IS NOT NULL").count() == 1 and everything.count() == 4
+    with pytest.raises(Exception, match="truncated frame"):
+        warc.read_archives(spark, str(tmp_path)).collect()
