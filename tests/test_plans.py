@@ -12,6 +12,7 @@ from oracle_check import TESTDATA
 from tidemark.operators import events as ev
 from tidemark.operators import funnels, tables, users
 from tidemark.plans.catalog import QUERIES
+from tidemark.plans.marts import SHARED, build_marts, shared_tables, store_marts, stored_marts
 from tidemark.session import configure
 from tidemark.sources import bindings as b
 from tidemark.sources.tables import store_by_day
@@ -175,3 +176,47 @@ def test_a_hot_user_is_reduced_before_the_shuffle(spark, name):
         if found == "ShuffleExchangeExec"
     ]
     assert 0 < sum(written) <= 8 * 31 * 2
+
+
+def _raw_scans(df, folder: str) -> list[str]:
+    return [
+        name
+        for name, _, node in plan_nodes.nodes(df)
+        if name == "FileSourceScanExec" and folder in node.relation().location().rootPaths().toString()
+    ]
+
+
+def test_shared_tables_take_one_pass_each_and_marts_none(spark, tmp_path):
+    raw, folder = str(tmp_path / "raw"), str(tmp_path / "marts")
+    b.load_events(spark, FOLDER, b.events_web).write.parquet(f"{raw}/events.parquet")
+    b.load_users(spark, FOLDER, b.users_signup).write.parquet(f"{raw}/users.parquet")
+    events, people = b.load_events(spark, raw), b.load_users(spark, raw)
+    shared = shared_tables(people, events, AS_OF)
+    assert {name: len(_raw_scans(df, f"{raw}/events")) for name, df in shared.items()} == {
+        "shared_user_days": 1, "shared_session_days": 1, "shared_country_days": 0
+    }
+    assert len(_raw_scans(shared["shared_country_days"], f"{raw}/users")) == 1
+    store_marts(shared, folder)
+    built = build_marts(people, events, AS_OF, shared=stored_marts(spark, folder, SHARED))
+    assert not any(_raw_scans(df, f"{raw}/events") for df in built.values())
+    assert {name for name, df in built.items() if _raw_scans(df, f"{raw}/users")} <= {"retention"}
+
+
+@pytest.mark.parametrize("name", ["unordered", "ordered"])
+def test_events_of_others_are_dropped_before_the_shuffle(spark, name):
+    """10 registrants among 5,000 users, without any broadcast by size."""
+    events = spark.range(0, 100_000, 1, 8).selectExpr(
+        "id % 5000 AS user_id", "'s' AS session_id", "element_at(array('product', 'cart'), int(id % 2) + 1) AS event_type",
+        "timestampadd(MINUTE, int(id * 37 % 43000), timestamp_ntz'2024-03-01') AS created_at", "'Chrome' AS browser",
+    )
+    signed = spark.range(10).selectExpr("id * 500 AS id", "timestamp_ntz'2024-02-15' AS created_at", "'A' AS country")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        written = [
+            node.metrics().apply("shuffleRecordsWritten").value()
+            for found, _, node in plan_nodes.nodes(HOT_OPERATORS[name](signed, events))
+            if found == "ShuffleExchangeExec"
+        ]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < sum(written) < 100_000 * 0.02

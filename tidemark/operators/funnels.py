@@ -81,12 +81,19 @@ def _step_events(events: DataFrame, as_of: date) -> DataFrame:
     )
 
 
+#: Bound of the bucket numbers that tell tasks whose events to keep.
+REGISTRANT_BUCKETS = 1 << 20
+
+
 def _of_registrants(events: DataFrame, registrants: DataFrame) -> DataFrame:
-    """Events of users who registered: the others' are dropped before anything is shuffled by user.
+    """Events of users who may have registered: most others' are dropped before anything is shuffled.
 
-    Spark sends out the ids whole when they are few, or filters the events by a digest of them.
+    Tasks get bucket numbers of the registrants' ids, never more than REGISTRANT_BUCKETS, hence the
+    broadcast; a user who only shares a bucket is sorted out by the join that follows the aggregation.
     """
-    return events.join(registrants.select("user_id").distinct(), "user_id", "left_semi")
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(REGISTRANT_BUCKETS)).cast("int")
+    buckets = registrants.select(bucket.alias("_bucket")).distinct()
+    return events.withColumn("_bucket", bucket).join(F.broadcast(buckets), "_bucket", "left_semi")
 
 
 def _when_step(step: str, value: Column) -> Column:
