@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fold
+from tidemark.llm.shared import fold, small, thinned
 
 SAMPLE_ROWS = 200
 FOLDS, HELD_OUT = 3, 1
@@ -167,17 +167,20 @@ class Scorer:
         return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def _samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, text) to learn from, and (lang, documents): all training rows counted."""
+def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> tuple[DataFrame, dict[str, int]]:
+    """(lang, text) to learn from, and how many training rows each language has."""
     usable = docs.select(
         F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+    counted = usable.groupBy("lang").agg(F.count("*").alias("documents"))
+    counts = {row["lang"]: row["documents"] for row in counted.collect()}
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang")
+    ids = usable.select("doc_id", "lang").join(small(counted), "lang")
+    ids = ids.where(thinned(F.col("doc_id"), rows, F.col("documents")))
     picked = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows).select("doc_id", "lang")
     same = picked.withColumnsRenamed({"doc_id": "picked", "lang": "language"}).distinct()
     sample = usable.join(F.broadcast(same), usable.doc_id.eqNullSafe(F.col("picked")) & (usable.lang == F.col("language")))
-    return sample.select("lang", "text"), ids.groupBy("lang").agg(F.count("*").alias("documents"))
+    return sample.select("lang", "text"), counts
 
 
 def train(
@@ -191,7 +194,7 @@ def train(
     """Pieces, languages, probabilities (piece x language) and the languages' shares of training rows."""
     spark, pieces = docs.sparkSession, read_pieces(vocabulary_path)
     shared = spark.sparkContext.broadcast(pieces)
-    sample, counted = _samples(docs, id_col, text_col, lang_col, rows)
+    sample, counts = _sample(docs, id_col, text_col, lang_col, rows)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         words = Counter(word for text in sorted(set(group["text"]))[:rows] for word in find_words(text.lower()))
@@ -199,7 +202,6 @@ def train(
 
     fitted = sample.groupBy("lang").applyInPandas(fit, "lang string, table array<double>")
     tables = {row["lang"]: row["table"] for row in fitted.collect()}
-    counts = {row["lang"]: row["documents"] for row in counted.collect()}
     languages = sorted(tables)
     numbers = np.array([tables[lang] for lang in languages]).T.reshape(len(pieces) + 2, len(languages))
     shares = np.array([counts[lang] for lang in languages], float)

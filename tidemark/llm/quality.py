@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import text_of
+from tidemark.llm.shared import text_of, thinned
 
 SAMPLE_ROWS = 3_000
 FEATURES = 1 << 14
@@ -190,6 +190,7 @@ class Scorer:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
     """The driver gets the bounded sample, nothing else."""
     ids = docs.select(F.col(id_col).alias("doc_id"))
+    ids = ids.where(thinned(F.col("doc_id"), SAMPLE_ROWS, ids.count()))
     picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).distinct().withColumnRenamed("doc_id", "picked")
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
     sample = texts.join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi")

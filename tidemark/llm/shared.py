@@ -67,6 +67,16 @@ def without(table: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     return passed.select(*columns_of(table)).unionByName(compared.select(*columns_of(table)))
 
 
+def thinned(key: Column, rows: int, of: Column | int) -> Column:
+    """Whether a row may belong to a sample of `rows` by the smallest hashes of its key, out of `of` rows.
+
+    It lets about eight times as many through, so that picking the smallest, which is done by one task,
+    does not get a share of every task of a large table.
+    """
+    span = 1 << 24
+    return F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(span)) * of <= F.lit(8 * rows * span)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that `df` does not have."""
     taken = {column.lower() for column in df.columns}

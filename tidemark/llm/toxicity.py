@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fold, text_of
+from tidemark.llm.shared import fold, text_of, thinned
 
 #: Labelled rows of either label that the model is fitted on, at most.
 SAMPLE_ROWS = 2_000
@@ -266,11 +266,17 @@ def train(
 ) -> Model:
     """Fit on at most `rows` texts of each label, those with the smallest hashes of their ids.
 
-    The driver gets this bounded sample and nothing else.
+    The driver gets this bounded sample and the number of labels of either kind, nothing else.
     """
     usable = training_labels(labels)
     order = [F.xxhash64(F.col("doc_id")), F.col("doc_id")]
-    picked = [usable.where(F.col("toxic") == label).orderBy(*order).limit(rows) for label in (0, 1)]
+    counts = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
+    picked = [
+        usable.where((F.col("toxic") == label) & thinned(F.col("doc_id"), rows, counts.get(label, 0)))
+        .orderBy(*order)
+        .limit(rows)
+        for label in (0, 1)
+    ]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
     sample = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("text", "toxic").distinct()
     found = sample.limit(2 * rows).collect()
