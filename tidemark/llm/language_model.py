@@ -119,15 +119,30 @@ class Words:
 
 
 def know_words(counts: DataFrame) -> Words:
-    """The bounded list of frequent words comes to the driver, the end first."""
-    listed = counts.where(F.octet_length("word") > 0).orderBy(F.col("count").desc(), "word").limit(HOT_WORDS).collect()
+    """The bounded list of frequent words comes to the driver, the end first.
+
+    How many words have which count, in steps of a twelfth, says from which count on there are at most
+    HOT_WORDS; only these words leave their tasks.
+    """
+    words = counts.where(F.octet_length("word") > 0)
+    steps = words.groupBy(F.floor(F.log2("count") * 8).alias("step")).agg(
+        F.count("*").alias("words"), F.min("count").alias("least")
+    )
+    least, found = None, 0
+    for row in sorted(steps.collect(), key=lambda row: -row["step"]):
+        found += row["words"]
+        if found > HOT_WORDS:
+            break
+        least = row["least"]
+    frequent = words.where(F.col("count") >= least).collect() if least is not None else []
+    listed = sorted(frequent, key=lambda row: (-row["count"], bytes(row["word"])))
     ends = [row["count"] for row in counts.where(F.octet_length("word") == 0).collect()]
     found = [(END, count) for count in ends] + [(bytes(row["word"]), row["count"]) for row in listed]
     own = min(len(found), WORD_CLASSES)
-    frequent: Counter[bytes] = Counter()
+    endings: Counter[bytes] = Counter()
     for word, count in found[own:]:
-        frequent[ending(word)] += count
-    chosen = sorted(frequent, key=lambda e: (-frequent[e], e))[:ENDING_CLASSES]
+        endings[ending(word)] += count
+    chosen = sorted(endings, key=lambda e: (-endings[e], e))[:ENDING_CLASSES]
     numbers = np.array([count for _, count in found], np.int64)
     return Words({word: i for i, (word, _) in enumerate(found)}, numbers, own, {e: own + i for i, e in enumerate(chosen)})
 
