@@ -191,12 +191,11 @@ def read_archive(content: bytes, with_payload: bool = True) -> Iterator[dict]:
 
 
 def train_dictionary(pages: DataFrame) -> bytes:
-    """From a bounded sample of pages; where that is too little, the headers that all records share."""
-    order = [F.xxhash64("page_id"), F.col("page_id")]
+    """From the first few pages that Spark comes upon, which decide about nothing but the compression;
+    where that is too little, the headers that all records share."""
     some = pages.select("page_id", F.substring(text_of(F.col("html")), 1, SAMPLE_CHARS).alias("text"))
     samples = [
-        record(row["page_id"], "", row["text"].encode(), None, False, "")
-        for row in some.orderBy(*order).limit(SAMPLE_PAGES).collect()
+        record(row["page_id"], "", row["text"].encode(), None, False, "") for row in some.limit(SAMPLE_PAGES).collect()
     ]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
