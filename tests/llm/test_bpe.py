@@ -51,11 +51,19 @@ def test_emptied_tables_change_nothing(ranks, reference, monkeypatch):
     monkeypatch.setattr(bpe, "TABLE_ENTRIES", 50)
     monkeypatch.setattr(bpe, "SPAN", 30)
     encode = bpe.Encoder(ranks, public_tokenizers.PATTERN)
-    encode.ids.transducer.entries = 50
+    encode.transducer.entries = 50
     for text in some_texts()[:200] + ["weiterhin" * 50]:
         assert encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def test_texts_encoded_together(ranks, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "CHARS_AT_ONCE", 500)
+    encode, texts = bpe.Encoder(ranks, public_tokenizers.PATTERN), [*some_texts(), None]
+    encode.transducer.entries = 2_000
+    found = [ids.tolist() for ids in encode.batches(texts)]
+    assert found == [reference.encode_ordinary(text or "") for text in texts]
+
+
 def test_stream_decoder_equals_the_codec():
     draw = random.Random(8)
     for _ in range(3_000):

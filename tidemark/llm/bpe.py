@@ -18,6 +18,7 @@ goes through the machine piece by piece, holding back an unfinished character.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,6 +36,9 @@ TABLE_ENTRIES = 150_000
 #: Bytes without an emitted token after which the transducer looks for tokens to emit.
 SPAN = 4096
 
+#: Characters of texts whose new pieces are encoded together.
+CHARS_AT_ONCE = 1 << 21
+
 #: Above every rank.
 END = 1 << 60
 
@@ -55,7 +59,8 @@ class Transducer:
         self.edges: tuple[dict, dict] = ({}, {})  # at most one entry for each token
         self.states, self.numbers, self.ending = [b""], {b"": 0}, [()]  # at most one for each beginning
         self.moves: dict[int, int] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
+        self._begin()
 
     def merge(self, data: bytes, down_to: int = 1) -> list[bytes]:
         """The merges one by one, lowest rank first and leftmost among equals, until so few parts are left."""
@@ -128,15 +133,16 @@ class Transducer:
         if len(self.apart) > self.entries:
             self.apart.clear()
         middle = at - n
-        found = self.apart[last, token] = self.may_follow(data[middle - self.back[middle] : middle], data[middle:at])
+        found = self.may_follow(data[middle - self.back[middle] : middle], data[middle:at])
+        self.apart[last << 32 | token] = found
         return found
 
-    def encode(self, data: bytes) -> list[int]:
-        emitted: list[int] = []
-        tokens, self.back = [-1], [0]  # of the token that ends at each place: its id and its length
-        state, moves, ending, apart, back = 0, self.moves, self.ending, self.apart, self.back
-        base = 0  # the place up to which tokens were emitted
-        for at, byte in enumerate(data, 1):
+    def _read(self, data: bytes, start: int, base: int, emitted: list[int] | None) -> int:
+        """Read on from the place `start`; the place up to which tokens were emitted, if they are to be."""
+        tokens, back, states = self.tokens, self.back, self.passed
+        state, moves, ending, apart = states[-1], self.moves, self.ending, self.apart
+        for at in range(start + 1, len(data) + 1):
+            byte = data[at - 1]
             next_state = moves.get(state << 8 | byte)
             state = self._move(state, byte) if next_state is None else next_state
             for n, token in ending[state]:
@@ -144,16 +150,45 @@ class Transducer:
                     last = tokens[at - n]
                     if last < 0:
                         break
-                    fits = apart.get((last, token))
+                    fits = apart.get(last << 32 | token)
                     if self._apart(last, token, data, at, n) if fits is None else fits:
                         break
             tokens.append(token)
             back.append(n)
-            if at - base > SPAN:
+            states.append(state)
+            if emitted is not None and at - base > SPAN:
                 base = self._emit(emitted, tokens, base, at, state)
-        self._path(emitted, tokens, base, len(data))
+        return base
+
+    def _begin(self) -> None:
+        # Of the token that ends at each place: its id and its length; and the state there.
+        self.tokens, self.back, self.passed = [-1], [0], [0]
+
+    def encode(self, data: bytes) -> list[int]:
+        """Emit tokens as soon as they are certain."""
+        emitted: list[int] = []
+        self._begin()
+        base = self._read(data, 0, 0, emitted)
+        self._path(emitted, self.tokens, base, len(data))
         return emitted
 
+    def encode_sorted(self, pieces: list[bytes]) -> Iterator[list[int]]:
+        """Encode many short pieces; one that begins like the one before it goes on from there."""
+        self._begin()
+        before = b""
+        for data in pieces:
+            same = 0
+            for one, two in zip(before, data):
+                if one != two:
+                    break
+                same += 1
+            del self.tokens[same + 1 :], self.back[same + 1 :], self.passed[same + 1 :]
+            self._read(data, same, 0, None)
+            found: list[int] = []
+            self._path(found, self.tokens, 0, len(data))
+            yield found
+            before = data
+
     def _emit(self, emitted: list[int], tokens: list[int], base: int, at: int, state: int) -> int:
         """Emit the tokens on which all open places agree; the place behind them."""
         open_places = {at - n for n in range(len(self.states[state]) + 1) if at - n >= base}
@@ -173,29 +208,50 @@ class Transducer:
         emitted += found[::-1]
 
 
-class PieceIds(dict):
-    """Piece of text to its ids as bytes; emptied when it has grown to its bound."""
-
-    def __init__(self, transducer: Transducer):
-        super().__init__()
-        self.transducer = transducer
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.transducer.entries:
-            self.clear()
-        ids = self[piece] = np.array(self.transducer.encode(piece.encode()), np.int32).tobytes()
-        return ids
-
-
 class Encoder:
-    """Text to ids: each match of the pattern goes through the transducer on its own."""
+    """Texts to ids: each match of the pattern goes through the transducer on its own.
+
+    Pieces that were met keep their ids in a table, which is emptied when it has grown to its bound.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pieces = regex.compile(pattern).findall
-        self.ids = PieceIds(Transducer(ranks))
+        self.transducer = Transducer(ranks)
+        self.ids: dict[str, bytes] = {}
+
+    def _learn(self, pieces: set[str]) -> None:
+        short = {piece.encode(): piece for piece in pieces if len(piece) <= SPAN}
+        ordered = sorted(short)
+        for data, found in zip(ordered, self.transducer.encode_sorted(ordered)):
+            self.ids[short[data]] = array("i", found).tobytes()
+        for piece in pieces:
+            if len(piece) > SPAN:
+                self.ids[piece] = array("i", self.transducer.encode(piece.encode())).tobytes()
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of a few texts, whose new pieces are encoded together."""
+        cut = list(map(self.pieces, texts))
+        met = set().union(*cut)
+        new = met.difference(self.ids)
+        if len(self.ids) + len(new) > self.transducer.entries:
+            self.ids.clear()
+            new = met
+        self._learn(new)
+        return [np.frombuffer(b"".join(map(self.ids.__getitem__, pieces)), np.int32) for pieces in cut]
 
     def __call__(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.ids.__getitem__, self.pieces(text))), np.int32)
+        return self.encode([text])[0]
+
+    def batches(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text, some characters' worth of texts at a time."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text or "")
+            size += len(some[-1])
+            if size > CHARS_AT_ONCE:
+                yield from self.encode(some)
+                some, size = [], 0
+        yield from self.encode(some)
 
 
 # Fixed values (UTF-8): first and last lead byte, the range of the byte behind it, and the state that
@@ -327,7 +383,7 @@ def encode(text: Column, ranks: Broadcast, pattern: str) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = _encoder(ranks, pattern)
         for batch in batches:
-            found = [run(one) if one else np.empty(0, np.int32) for one in batch.to_pylist()]
+            found = list(run.batches(batch.to_pylist()))
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
