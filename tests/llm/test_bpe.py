@@ -89,3 +89,13 @@ def test_documents(documents, reference):
         expected.append((doc_id, len(ids), *digests))
     assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
     assert bpe.encode_documents(documents(), PATH, public_tokenizers.PATTERN).collect() == []
+
+
+def test_columns_of_ids(spark, documents, ranks, reference, monkeypatch):
+    monkeypatch.setattr(bpe, "ROWS_AT_ONCE", 2)
+    shared = spark.sparkContext.broadcast(ranks)
+    docs = documents(*enumerate(["one é", None, "", "漢字 two", "x"]))
+    coded = docs.select("doc_id", bpe.encode(docs.text, shared, public_tokenizers.PATTERN).alias("ids"))
+    back = coded.select("doc_id", "ids", bpe.decode(coded.ids, shared).alias("text")).orderBy("doc_id").collect()
+    assert [row.ids for row in back] == [reference.encode_ordinary(text) for text in ("one é", "", "", "漢字 two", "x")]
+    assert [row.text for row in back] == ["one é", "", "", "漢字 two", "x"]

@@ -39,6 +39,9 @@ SPAN = 4096
 #: Characters of texts whose new pieces are encoded together.
 CHARS_AT_ONCE = 1 << 21
 
+#: Rows that a task holds at a time.
+ROWS_AT_ONCE = 500
+
 #: Above every rank.
 END = 1 << 60
 
@@ -373,6 +376,18 @@ def _decoder(ranks: Broadcast) -> Decoder:
     return Decoder(ranks.value)
 
 
+def _id_lists(found: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
+
+
+def _portions(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """A few rows at a time: what a task holds does not grow with the batches it is handed."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def encode(text: Column, ranks: Broadcast, pattern: str) -> Column:
     """The ids of each text as array<int>, without special tokens; none for null and empty text.
 
@@ -382,11 +397,8 @@ def encode(text: Column, ranks: Broadcast, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = _encoder(ranks, pattern)
-        for batch in batches:
-            found = list(run.batches(batch.to_pylist()))
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        for batch in _portions(batches):
+            yield _id_lists(list(run.batches(batch.to_pylist())))
 
     return ids(text)
 
@@ -397,7 +409,7 @@ def decode(ids: Column, ranks: Broadcast) -> Column:
     @F.arrow_udf("string")
     def text(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = _decoder(ranks)
-        for batch in batches:
+        for batch in _portions(batches):
             flat = batch.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False))
             starts = np.concatenate([[0], ends[:-1]]) if len(ends) else []
@@ -406,6 +418,20 @@ def decode(ids: Column, ranks: Broadcast) -> Column:
     return text(ids)
 
 
+def round_trip(text: Column, ranks: Broadcast, pattern: str) -> Column:
+    """struct<ids, decoded>: `encode`, and `decode` of the same ids, in one pass through Python."""
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: string>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        run, back = _encoder(ranks, pattern), _decoder(ranks)
+        for batch in _portions(batches):
+            found = list(run.batches(batch.to_pylist()))
+            texts = pa.array([back(ids).decode() for ids in found], pa.string())
+            yield pa.StructArray.from_arrays([_id_lists(found), texts], ["ids", "decoded"])
+
+    return both(text)
+
+
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"):
     """doc_id, ids, decoded: every row encoded, and the ids decoded again.
 
@@ -413,8 +439,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str
     columns are not looked at, whatever their names. `ranks_path` is read by the driver alone.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    coded = docs.select(F.col(id_col).alias("doc_id"), encode(F.col(text_col), ranks, pattern).alias("ids"))
-    return coded.select("doc_id", "ids", decode(F.col("ids"), ranks).alias("decoded"))
+    coded = docs.select(F.col(id_col).alias("doc_id"), round_trip(F.col(text_col), ranks, pattern).alias("found"))
+    return coded.select("doc_id", "found.ids", "found.decoded")
 
 
 def digests(coded: DataFrame) -> DataFrame:
