@@ -43,7 +43,10 @@ SMOOTHING = 1e-3
 RUN = 40
 
 #: Words after which a task's table of scored words is emptied.
-TABLE_WORDS = 150_000
+TABLE_WORDS = 400_000
+
+#: Texts whose new words are scored together.
+TEXTS_AT_ONCE = 200
 
 UNKNOWN = "und"
 MARK = "▁"  # beginning of a word in the vocabulary
@@ -222,8 +225,8 @@ def predictions(text: Column, model: Broadcast) -> Column:
         for batch in batches:
             found = []
             texts = batch.to_pylist()
-            for at in range(0, len(texts), 500):
-                words = [find_words((one or "").lower()) for one in texts[at : at + 500]]
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                words = [find_words((one or "").lower()) for one in texts[at : at + TEXTS_AT_ONCE]]
                 scorer.learn(set().union(*words))
                 found += [scorer.predict(some) for some in words]
             names, scores = zip(*found) if found else ((), ())
