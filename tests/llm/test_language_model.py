@@ -94,3 +94,40 @@ def test_nothing_to_learn_from(documents):
     held_out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     row = m.score_documents(documents((held_out, "a b"))).first()
     assert (row.train_tokens, row.n_known, row.n_tokens, row.base_score) == (0, 0, 3, 0.0)
+
+
+def test_words_of_one_class_are_told_apart_by_the_words_before(documents, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 16, raising=False)
+    draw = random.Random(5)
+    following = draw.sample(range(120), 120)
+    rows = []
+    for i in range(300):
+        word, words = draw.randrange(120), []
+        for _ in range(60):
+            words.append(f"{word}x")
+            word = following[word] if draw.random() < 0.9 else draw.randrange(120)
+        rows.append((i, " ".join(words)))
+    found = [r for r in m.score_documents(documents(*rows)).collect() if r.held_out]
+    # By their classes alone, words of one ending differ by their counts only: -1.06.
+    assert sum(r.score for r in found) / sum(r.n_tokens for r in found) > -0.7
+
+
+def test_words_after_two_words_add_up_to_one(documents, monkeypatch):
+    monkeypatch.setattr(m, "HOT_WORDS", 40)
+    monkeypatch.setattr(m, "WORD_CLASSES", 10)
+    monkeypatch.setattr(m, "ENDING_CLASSES", 6)
+    monkeypatch.setattr(m, "BLOCK", 4)
+    model, counts = m.train(documents(*some_rows()))
+    known = {bytes(r["word"]): r["count"] for r in counts.collect()}
+    for before in ([b"a1", b"b2,"], [b"Rare1", b"a3"], [b"unknown"]):
+        total = 0.0
+        for word, fits in zip(known, model.log10s([[*before, word] for word in known])):
+            total += 10 ** fits[-1] * (1 if word in model.words.ids else known[word] + 1)
+        # One more for the words never seen, in each class that has them.
+        classes = np.arange(model.words.own, model.words.classes)
+        one, two = model.network.before(np.append(m.placed(before, model.words, model.network)[4], 0))
+        context = m.contexts(np.array([*map(model.words.class_of, before), 0]), model.words.classes)
+        columns = [np.full(len(classes), column[-1]) for column in (one, two, context)]
+        logs = model.network.logs(*columns, classes, model.network.symbols.hot + classes) / m.LN10
+        total += (10 ** (logs - model.others[classes])).sum()
+        assert total == pytest.approx(1, abs=1e-4)

@@ -8,11 +8,16 @@ Tokens are ASCII-lower-cased runs of anything but ASCII white space, and one end
 * Classes. The most frequent words are classes of their own; other words belong to the class of their
   ending (its last letters and sign), if that is among the most frequent endings, or to the rest. All
   training texts are counted as runs of three classes, of which there are CLASSES ** 3 at most.
-* Model. The two classes before a token are embedded, each through a matrix for its place; the sum is
-  compared with an embedding of every class. It is trained in numpy by noise-contrastive estimation on
-  those counts. Batched matrix products and a sum over all classes then give log-probabilities that are
-  normalised; a word's probability is its class's, times its share of the class with one count added to
-  every word, and one for all words never seen.
+* Classes' model. The two classes before a token are embedded, each through a matrix for its place; the sum
+  is compared with an embedding of every class. It is trained in numpy by noise-contrastive estimation on
+  those counts and gives the table of log-probabilities that the words' model starts from.
+* Words' model. Every frequent word has embeddings of its own, as a word before and as a word that follows;
+  the other words of a class share one. The words of a class are dealt out in blocks of at most BLOCK. A
+  token's probability is its class's, times its block's in the class, times its own in the block, each
+  normalised by a matrix product over all classes, blocks or words there are; a word that is not frequent
+  has its share of the others of its class, with one count added to every word, and one for all never
+  seen. It is trained by noise-contrastive estimation on every training token: tasks train on their texts,
+  and the mean of their moves, weighted by how often each row moved, is the start of the next round.
 
 Scores of a text need the count of each of its words: frequent words are known to the task, the others
 are joined with the stored counts, by word and then by text. A word of these is never a frequent one and
@@ -49,6 +54,11 @@ WORD_CLASSES, ENDING_CLASSES = 48, 48
 #: Embedding, noise words for each batch, batch, steps and step length of the training.
 WIDTH, NOISE, BATCH, STEPS, RATE = 24, 64, 1024, 1500, 0.05
 
+#: Words that are normalised together; rounds of the words' training, each on its part of the texts; noise of
+#: each of its batches; tokens taken at a time; rows of a matrix that tasks hand on together. Training draws
+#: every token once, and small inputs several times, until there are STEPS batches.
+BLOCK, ROUNDS, WORD_NOISE, PIECE, ROWS = 256, 2, 32, 1 << 16, 512
+
 END = b""  # no word is empty
 LN10 = np.log(10)
 
@@ -257,6 +267,225 @@ class LogBilinear:
         return ((scores - top - np.log(np.exp(scores - top).sum(1, keepdims=True))) / LN10).astype(np.float32)
 
 
+class Symbols:
+    """Frequent words, and for each class its other words as one: by class, in blocks of at most BLOCK.
+
+    Classes of one word have no blocks.
+    """
+
+    def __init__(self, words: Words, sizes: np.ndarray):
+        self.classes, self.hot = words.classes, len(words.ids)
+        of_class = np.concatenate([words.class_of_hot, np.arange(words.classes)])
+        counted = np.bincount(words.class_of_hot, words.counts + 1.0, words.classes)
+        self.others = np.maximum(sizes.sum(1) + 1.0 - counted, 1.0)
+        mass = np.concatenate([words.counts + 1.0, self.others])
+        blocked = np.flatnonzero(of_class >= words.own)
+        order = blocked[np.lexsort((-mass[blocked], of_class[blocked]))]
+        first = np.searchsorted(of_class[order], of_class[order])
+        starts = (np.arange(len(order)) - first) % BLOCK == 0
+        self.row = np.full(len(mass), -1)
+        self.row[order] = np.arange(len(order))
+        self.block = np.cumsum(starts) - 1  # of a row
+        self.rows = np.append(np.flatnonzero(starts), len(order))  # bounds of the blocks
+        self.mass = mass[order]
+        self.block_mass = np.add.reduceat(self.mass, self.rows[:-1])
+        self.blocks = np.searchsorted(of_class[order][starts], np.arange(words.classes + 1))  # bounds of the classes
+        self.class_mass = np.bincount(of_class, mass, words.classes)
+
+    def of(self, numbers: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        return np.where(numbers >= 0, numbers, self.hot + classes)
+
+
+def added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows, and the sum of the values of each."""
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    return rows[starts], np.add.reduceat(values[order], starts)
+
+
+def log_softmax_of(scores: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Log-probability of one column of each row."""
+    scores -= scores.max(1, keepdims=True)
+    chosen = scores[np.arange(len(scores)), picked]
+    return chosen - np.log(np.exp(scores, out=scores).sum(1))
+
+
+class WordNetwork:
+    """Words from the two words before, beside the table of classes."""
+
+    def __init__(self, symbols: Symbols, table: np.ndarray, seed: int = 7):
+        draw = np.random.default_rng(seed)
+        self.symbols, self.table = symbols, table * np.float32(LN10)
+        start = symbols.hot + symbols.classes
+        self.at_block = symbols.classes
+        self.at_row = self.at_block + len(symbols.block_mass)
+        self.weights = {
+            "before": draw.normal(0, 0.3, (start + 1, WIDTH)).astype(np.float32),
+            "places": np.concatenate([np.eye(WIDTH) * 0.5, np.eye(WIDTH)]).astype(np.float32),
+            "after": np.zeros((self.at_row + len(symbols.mass), WIDTH + 1), np.float32),  # the last is the bias
+        }
+
+    def before(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The two symbols before each token of a text."""
+        start = self.symbols.hot + self.symbols.classes
+        padded = np.concatenate([[start, start], symbols[:-1]])
+        return padded[:-1], padded[1:]
+
+    def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """With a last column of ones."""
+        before, places = self.weights["before"], self.weights["places"]
+        found = np.ones((len(one), WIDTH + 1), np.float32)
+        found[:, :-1] = before[one] @ places[:WIDTH] + before[two] @ places[WIDTH:]
+        return found
+
+    def logs(self, one, two, context, classes, symbols) -> np.ndarray:
+        """Natural log-probabilities of classes in their contexts plus those of symbols in their classes."""
+        known, after = self.symbols, self.weights["after"]
+        hidden = self.hidden(one, two)
+        found = log_softmax_of(hidden @ after[: known.classes].T + self.table[context], classes).astype(np.float64)
+        block_logs, row_logs = (np.log(mass).astype(np.float32) for mass in (known.block_mass, known.mass))
+        row = known.row[symbols]
+        order = np.argsort(row, kind="stable")
+        order = order[np.searchsorted(row[order], 0) :]
+        for of_tokens, bounds, base, at, of in (
+            (classes[order], known.blocks, block_logs, self.at_block, known.block[row[order]]),
+            (known.block[row[order]], known.rows, row_logs, self.at_row, row[order]),
+        ):
+            ends = np.flatnonzero(np.append(of_tokens[1:] != of_tokens[:-1], True)) + 1 if len(order) else []
+            begin = 0
+            for end in ends:
+                low, high = bounds[of_tokens[begin]], bounds[of_tokens[begin] + 1]
+                if high - low > 1:
+                    some = order[begin:end]
+                    scores = hidden[some] @ after[at + low : at + high].T + base[low:high]
+                    found[some] += log_softmax_of(scores, of[begin:end] - low)
+                begin = end
+        return found
+
+    def learn(self, pieces: Iterator[tuple[np.ndarray, ...]], passes: int, seed: int = 7) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """Train on (one, two, context, class, symbol) of tokens; matrix, first row, how often rows moved, moves."""
+        draw = np.random.default_rng(seed)
+        known, begun = self.symbols, self.weights
+        self.weights = {name: matrix.copy() for name, matrix in begun.items()}
+        self.squares = {name: np.full(len(matrix), 0.1, np.float32) for name, matrix in begun.items()}
+        moved = {name: np.zeros(len(matrix), np.float32) for name, matrix in begun.items()}
+        noises = [np.cumsum(mass / mass.sum()) for mass in (known.class_mass, known.block_mass, known.mass)]
+        usual = np.log(WORD_NOISE * known.class_mass / known.class_mass.sum()).astype(np.float32)
+        for piece in pieces:
+            for _ in range(passes):
+                mixed = draw.permutation(len(piece[0]))
+                for at in range(0, len(mixed), BATCH):
+                    wrong = [
+                        np.minimum(np.searchsorted(noise, draw.random(WORD_NOISE)), len(noise) - 1) for noise in noises
+                    ]
+                    self.step(*(column[mixed[at : at + BATCH]] for column in piece), wrong, usual, moved)
+        for number, name in enumerate(begun):
+            change = self.weights[name] - begun[name]
+            for at in range(0, len(change), ROWS):
+                times = moved[name][at : at + ROWS]
+                if times.any():
+                    yield number, at, times.tobytes(), change[at : at + ROWS].astype(np.float16).tobytes()
+        self.weights = begun
+
+    def step(self, one, two, context, classes, symbols, wrong, usual, moved) -> None:
+        known, weights = self.symbols, self.weights
+        hidden, after = self.hidden(one, two), weights["after"]
+        row = known.row[symbols]
+        inside = np.flatnonzero(row >= 0)
+        slope = np.zeros_like(hidden)
+        rows, moves = [], []
+        heads = [(0, slice(None), classes, wrong[0])]
+        if len(inside):
+            heads += [(self.at_block, inside, known.block[row[inside]], wrong[1]), (self.at_row, inside, row[inside], wrong[2])]
+        for at, some, right, noise in heads:
+            here, good, bad = hidden[some], after[at + right], after[at + noise]
+            true, false = (here * good).sum(1), here @ bad.T
+            if at == 0:  # noise is drawn by how frequent classes are; blocks and words start from just that
+                true += self.table[context, right] - usual[right]
+                false += self.table[context[:, None], noise[None, :]] - usual[noise]
+            else:
+                true -= np.float32(np.log(WORD_NOISE))
+                false -= np.float32(np.log(WORD_NOISE))
+            true = 1 / (1 + np.exp(np.clip(true, -30, 30)))
+            false = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
+            slope[some] += true[:, None] * good + false @ bad
+            rows += [at + right, at + noise]
+            moves += [true[:, None] * here, false.T @ here]
+        slope = slope[:, :-1]
+        places = weights["places"]
+        gradients = {
+            "after": added(np.concatenate(rows), np.concatenate(moves)),
+            "before": added(np.concatenate([one, two]), np.concatenate([slope @ places[:WIDTH].T, slope @ places[WIDTH:].T])),
+            "places": (np.arange(2 * WIDTH), np.concatenate([weights["before"][one].T @ slope, weights["before"][two].T @ slope])),
+        }
+        for name, (changed, move) in gradients.items():
+            self.squares[name][changed] += (move**2).mean(1)
+            weights[name][changed] += RATE * move / np.sqrt(self.squares[name][changed])[:, None]
+            moved[name][changed] += 1
+
+
+def train_words(texts: DataFrame, words: Broadcast, network: WordNetwork, total: int) -> None:
+    """Each round, tasks train on their part of the texts, and the blocks of rows are averaged, each in one task."""
+    session = texts.sparkSession
+    passes = max(1, -(-STEPS * BATCH // max(1, total)))
+
+    def rounds(of_round: DataFrame) -> None:
+        begun = session.sparkContext.broadcast(network)
+
+        def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, model = _known(words), begun.value
+
+            def pieces() -> Iterator[tuple[np.ndarray, ...]]:
+                held, size = [], 0
+                for batch in batches:
+                    for text in batch.column(0).to_pylist():
+                        held.append(placed(tokens(text), known, model))
+                        size += len(held[-1][0])
+                        if size > PIECE:
+                            yield tuple(map(np.concatenate, zip(*held)))
+                            held, size = [], 0
+                if held:
+                    yield tuple(map(np.concatenate, zip(*held)))
+
+            for number, at, times, moves in model.learn(pieces(), passes):
+                columns = [pa.array([number]), pa.array([at]), pa.array([times]), pa.array([moves])]
+                yield pa.RecordBatch.from_arrays(columns, ["matrix", "at", "times", "moves"])
+
+        def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[tuple[int, int], list[np.ndarray]] = {}
+            for batch in batches:
+                for number, at, times, moves in zip(*(column.to_pylist() for column in batch.columns)):
+                    often = np.frombuffer(times, np.float32).astype(np.float64)
+                    move = np.frombuffer(moves, np.float16).reshape(len(often), -1) * often[:, None]
+                    if (number, at) in sums:
+                        sums[number, at][0] += often
+                        sums[number, at][1] += move
+                    else:
+                        sums[number, at] = [often, move]
+            for (number, at), (often, move) in sums.items():
+                mean = (move / np.maximum(often, 1)[:, None]).astype(np.float32).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([at]), pa.array([mean])], ["matrix", "at", "moves"])
+
+        parts = of_round.mapInArrow(learned, "matrix long, at long, times binary, moves binary")
+        means = parts.repartition("matrix", "at").mapInArrow(averaged, "matrix long, at long, moves binary").collect()
+        names = list(network.weights)
+        for found in means:
+            matrix = network.weights[names[found["matrix"]]]
+            move = np.frombuffer(found["moves"], np.float32).reshape(-1, matrix.shape[1])
+            matrix[found["at"] : found["at"] + len(move)] += move
+
+    for number in range(ROUNDS):
+        rounds(texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == number))
+
+
+def placed(found: list[bytes], words: Words, network: WordNetwork) -> tuple[np.ndarray, ...]:
+    """one, two, context, class and symbol of each token of a text."""
+    numbers, classes = words.classify(found)
+    symbols = network.symbols.of(numbers, classes)
+    return *network.before(symbols), contexts(classes, words.classes), classes, symbols
+
+
 @dataclass
 class Model:
     words: Words
@@ -264,12 +493,25 @@ class Model:
     sizes: np.ndarray  # class x (tokens, words)
     n: int
     v: int
+    network: WordNetwork
 
     def __post_init__(self) -> None:
         both = self.sizes.sum(1) + 1.0
         own = np.arange(len(both)) < self.words.own
         # A class of one word has no words never seen: the word's share is one.
         self.spread = np.log10(np.where(own, self.sizes[:, 0] + 1.0, both))
+        self.others = np.log10(self.network.symbols.others)
+
+    def log10s(self, found: list[list[bytes]]) -> list[np.ndarray]:
+        """For each text the log-probabilities of its tokens, those of rare words without log10(count + 1)."""
+        texts = [placed(one, self.words, self.network) for one in found]
+        ends, logs, begin = np.cumsum([len(one[0]) for one in texts]), [], 0
+        columns = tuple(map(np.concatenate, zip(*texts))) if texts else ()
+        for begin in range(0, ends[-1] if texts else 0, PIECE):
+            some = tuple(column[begin : begin + PIECE] for column in columns)
+            hot = some[4] < self.network.symbols.hot
+            logs.append(self.network.logs(*some) / LN10 - np.where(hot, 0.0, self.others[some[3]]))
+        return np.split(np.concatenate(logs), ends[:-1]) if texts else []
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
@@ -285,7 +527,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     if runs.num_rows:
         order = np.lexsort((runs["class"].to_numpy(), runs["context"].to_numpy()))
         network.fit(*(runs[name].to_numpy()[order] for name in ("context", "class", "n")))
-    return Model(words, network.table(), sizes, total["n"] or 0, total["v"]), counts
+    table = network.table()
+    of_words = WordNetwork(Symbols(words, sizes), table)
+    if total["n"]:
+        train_words(texts, shared, of_words, total["n"])
+    return Model(words, table, sizes, total["n"] or 0, total["v"], of_words), counts
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -298,18 +544,27 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.binary(), pa.int64()]
     names = [field.split()[0] for field in schema.split(", ")]
 
+    def in_portions(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        held, size = [], 0
+        for batch in batches:
+            for row, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
+                held.append((row, doc_id, tokens(text)))
+                size += len(held[-1][2])
+                if size > PIECE:
+                    yield held
+                    held, size = [], 0
+        yield held
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(shared)
-        classes = known.words.classes
-        for batch in batches:
+        get = known.words.ids.get
+        for portion in in_portions(batches):
             columns: list[list] = [[] for _ in names]
-            for row, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
-                found = tokens(text)
-                numbers, of_class = known.words.classify(found)
-                hot = numbers[numbers >= 0]
-                fits = known.table[contexts(of_class, classes), of_class].sum(dtype=np.float64)
-                whole = [doc_id, len(found), len(hot), known.words.logs[hot].sum(), fits - known.spread[of_class].sum()]
-                rare = Counter(found[i] for i in np.flatnonzero(numbers < 0).tolist())
+            for (row, doc_id, found), fits in zip(portion, known.log10s([found for _, _, found in portion])):
+                hot = np.array([number for word in found if (number := get(word)) is not None], np.int64)
+                logs = known.words.logs[hot].sum()
+                whole = [doc_id, len(found), len(hot), logs, fits.sum() - logs]
+                rare = Counter(word for word in found if word not in known.words.ids)
                 # A key that no word has, another one for each row.
                 columns[6].append(b" %d" % row)
                 columns[6].extend(rare.keys())
