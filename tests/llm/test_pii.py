@@ -88,3 +88,33 @@ def test_documents(documents):
     texts = sorted(str(r.text)[-20:] for r in pii.masked(documents(*rows)).collect())
     assert texts.count("[email] [ip]") == 2 and "None" in texts and "[email]" in texts
     assert pii.personal_data(documents()).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [
+        *(
+            (f"write to {one} now", "email", one)
+            for one in (
+                "jane@example[.]com", "jane at example.com", "jane@example(punkt)de", "info@firma [punkt] de", "jane @ example.com",
+                *(f"jane at example dot {last}" for last in "nl it pl ru se us ca museum".split()),
+            )
+        ),
+        *(
+            (f"call {one} ok", "phone", one)
+            for one in ("plus 4 9 1 5 1 two 3 4 5 6 7", "plus" + " five" * 11, "plus 49 151 two 345 six 7", "+49 151 two 345 6 seven")
+        ),
+        ("pay 4539 1488 zero 343 6467.", "card", "4539 1488 zero 343 6467"),
+        ("pay 4 5 3 9 1 4 8 8 0 3 4 3 6 4 6 seven.", "card", "4 5 3 9 1 4 8 8 0 3 4 3 6 4 6 seven"),
+    ],
+)
+def test_the_gates_let_every_known_disguise_through(text, kind, found):
+    assert (kind, found) in [(k, text[a:b]) for k, a, b in pii.all_spans(text)[1]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["look at the dot matrix", "we met at noon.Then it rained", "ask us at example.com", "at 5 @ home", "one 12 and 3", "see you at 10.30 in room two"],
+)
+def test_sentences_stay_clean(text):
+    assert pii.all_spans(text) == ([], [])

@@ -6,8 +6,9 @@ dropped. These base spans always stay.
 
 Texts that show a trace of disguise also go through transducers that write normalised characters, each
 with the source characters it stands for: look-alike letters and digits of other scripts become ASCII and
-invisible characters nothing; spelled digits ("five", "plus", "point" in runs of at least seven) become
-digits; "(at)", "[dot]" and plain " at ", " dot " become "@" and "." where together they make an address.
+invisible characters nothing; spelled digits ("five", "plus", "point"), alone or between written ones, become
+digits in runs of at least seven signs; "(at)", "[dot]", "[.]" and plain " at ", " dot " become "@" and "." where
+together they make an address.
 The same four kinds are then looked for in the normalised text, and what is found is mapped back to
 source characters; it is added unless a base span already covers it.
 
@@ -63,18 +64,36 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 WORD = "|".join(sorted(SAID, key=len, reverse=True))
-SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:{WORD}|[0-9])[\s,-]+){{6,}}(?:{WORD}|[0-9])(?!\w)", re.I)
+SPELLED_RUN = re.compile(rf"(?<!\w)(?:(?:{WORD}|[0-9]++)[\s,-]++)+(?:{WORD}|[0-9]++)(?!\w)", re.I)
+SPELLED_LEAST = 7
 SPELLED_SIGN = re.compile(rf"{WORD}|[0-9]", re.I)
 AT = r"(?:\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+at\s+|\s*@\s*)"
 DOT = r"(?:\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*|\s+(?:dot|punkt|point|punto)\s+|\.)"
 NAME = r"[A-Za-z0-9_%+-]{1,64}"
-ADDRESS = re.compile(rf"(?<![\w.%+-])({NAME}(?:{DOT}{NAME}){{0,4}}){AT}({NAME}(?:{DOT}{NAME}){{1,6}})(?!\w)", re.I)
-PLAIN_AT = re.compile(r"\sat\s", re.I)
-# Last labels that make plain words around "at" and "dot" an address.
-ENDINGS = set("com org net edu gov info biz io co de fr es uk eu at ch example test invalid".split())
+ADDRESS = re.compile(rf"(?<![\w.%+-])({NAME}(?:{DOT}{NAME}){{0,4}})({AT})({NAME}(?:{DOT}{NAME}){{1,6}})(?!\w)", re.I)
+# Last labels that make words around a plain "at" an address when its dots are plain too: the
+# countries' and some others.
+ENDINGS = set(
+    """com org net edu gov mil int info biz name pro io app dev tech online shop site cloud email xyz example test invalid
+    ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bv bw by bz ca cc cd
+    cf cg ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gb gd ge
+    gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki
+    km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my
+    mz na nc ne nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se
+    sg sh si sj sk sl sm sn so sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz
+    va vc ve vg vi vn vu wf ws ye yt za zm zw""".split()
+)
+# Words that stand around a plain "at" in sentences, and are no names.
+FUNCTION_WORDS = set(
+    """a an and any are be but by each every for from he her his i in into is it its my no not of on one or our out she so
+    some that the their them then there these they this those to up us was we were what which who with you your""".split()
+)
 AT_OR_DOT = re.compile(rf"(?P<at>{AT})|(?P<dot>{DOT})", re.I)
-#: A trace of a disguised address: the sign for "at" in brackets, or "dot" as a word or in brackets.
-TRACE = re.compile(r"[\[({<]\s*(?:at|@|dot)\s*[\])}>]|\s(?:dot|punkt|point|punto)\s", re.I)
+#: A trace of a disguised address: any sign for "at" or "dot" but "@" and "." without space or brackets.
+TRACE = re.compile(
+    r"[\[({<]\s*(?:at|@|dot|punkt|point|punto|\.)\s*[\])}>]|\s(?:at|dot|punkt|point|punto)\s|\s@|@\s", re.I
+)
+DISGUISED_DOT = re.compile(r"[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]|\s(?:dot|punkt|point|punto)\s", re.I)
 
 Span = tuple[str, int, int]
 
@@ -172,7 +191,7 @@ def fold_spelled(text: Normalised) -> None:
     edits = []
     for run in SPELLED_RUN.finditer(text.text):
         signs = list(SPELLED_SIGN.finditer(text.text, run.start(), run.end()))
-        if not any(m.group().lower() in DIGIT_WORDS for m in signs):
+        if len(signs) < SPELLED_LEAST or not any(m.group().lower() in DIGIT_WORDS for m in signs):
             continue
         done = run.start()
         for m in signs:
@@ -183,27 +202,46 @@ def fold_spelled(text: Normalised) -> None:
     text.rewrite(edits)
 
 
-def fold_addresses(text: Normalised) -> None:
+def is_address(local: str, at: str, domain: str) -> bool:
+    """Whether what ADDRESS found is one in disguise; a plain "at" is a word of sentences too."""
+    if re.search(r"[\[({<]", at):
+        return True
+    if at == "@":
+        return DISGUISED_DOT.search(local) is not None or DISGUISED_DOT.search(domain) is not None
+    names = [name.lower() for name in re.split(DOT, domain, flags=re.I)]
+    last = domain[-len(names[-1]) :]
+    if not last.isalpha() or len(last) < 2 or names[0] in FUNCTION_WORDS:
+        return False
+    if DISGUISED_DOT.search(domain):
+        return last.lower() in ENDINGS or last.lower() not in FUNCTION_WORDS
+    return last.lower() in ENDINGS and (last.islower() or last.isupper()) and local.lower() not in FUNCTION_WORDS
+
+
+def address_edits(text: str) -> list[tuple[int, int, str]]:
     edits = []
-    for m in ADDRESS.finditer(text.text):
-        plain = PLAIN_AT.search(m.group()) is not None
-        if not TRACE.search(m.group()) or plain and re.split(r"\W+", m.group())[-1].lower() not in ENDINGS:
-            continue
-        for sign in AT_OR_DOT.finditer(text.text, m.start(), m.end()):
-            edits.append((sign.start(), sign.end(), "@" if sign.lastgroup == "at" else "."))
-    text.rewrite(edits)
+    if TRACE.search(text) is None:
+        return edits
+    for m in ADDRESS.finditer(text):
+        if is_address(*m.groups()) and not text[m.end() : m.end() + 1] == "@":
+            for sign in AT_OR_DOT.finditer(text, m.start(), m.end()):
+                edits.append((sign.start(), sign.end(), "@" if sign.lastgroup == "at" else "."))
+    return edits
+
+
+def fold_addresses(text: Normalised) -> None:
+    text.rewrite(address_edits(text.text))
 
 
 def disguised(text: str) -> bool:
-    """Whether a text shows a trace of what the transducers undo."""
+    """Whether a text shows what the transducers undo."""
     if not text.isascii() and any(ascii_of(char) != char for char in set(text)):
         return True
-    return TRACE.search(text) is not None or _spelled(text)
+    return _spelled(text) or bool(address_edits(text))
 
 
 def _spelled(text: str) -> bool:
-    words = set(re.split(r"[\s,-]+", text.lower()))
-    return len(DIGIT_WORDS & words) > 1 and SPELLED_RUN.search(text) is not None
+    words = set(re.split(r"\W+", text.lower()))
+    return bool(DIGIT_WORDS & words) and SPELLED_RUN.search(text) is not None
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
