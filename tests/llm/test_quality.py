@@ -61,3 +61,24 @@ def test_rows(documents):
     kept = {row.doc_id: row.kept for row in found}
     assert sum(kept[i] == bool(i % 4) for i in range(6, 200)) >= 185
     assert q.quality(documents()).collect() == []
+
+
+def test_a_rare_kind_of_bad_text_is_learned_whatever_the_sample(documents, monkeypatch):
+    monkeypatch.setattr(q, "SAMPLE_ROWS", 40)
+    draw = random.Random(4)
+    rows = [(i, prose(draw) if i % 4 else junk(draw, i // 4 % 3)) for i in range(2_000)] + [(2_000 + i, junk(draw, 3)) for i in range(4)]
+    found = {row.doc_id: row.score for row in q.quality(documents(*rows)).collect()}
+    assert max(found[2_000 + i] for i in range(4)) < 0.5 < min(found[i] for i in range(2_000) if i % 4)
+
+
+def test_patterns_stand_for_their_documents():
+    draw = random.Random(5)
+    votes = np.array([q.votes_of(prose(draw) if i % 3 else junk(draw, i % 4)) for i in range(300)])
+    numbers = np.array([q.pattern_of(row) for row in votes.tolist()])
+    patterns, at, counts = np.unique(numbers, return_inverse=True, return_counts=True)
+    assert (q.votes_in(patterns)[at] == votes).all()
+    one, two = q.label_model(votes), q.label_model(q.votes_in(patterns), counts=counts)
+    assert np.abs(one[0] - two[0][at]).max() < 1e-6 and np.abs(one[1] - two[1]).max() < 1e-6
+    for rows in (5, 40, 1_000):
+        wanted = q.quotas(counts, rows)
+        assert (wanted <= counts).all() and wanted.sum() <= rows and (rows < len(counts) or (wanted > 0).all())

@@ -1,13 +1,16 @@
 """Text quality from weak labels: heuristic labellers, expectation-maximisation, a hashed linear scorer.
 
 Labellers look at one property each (signs, capitals, repetition, tables, length, lines, digits) and say
-good, bad or nothing. On a bounded sample of documents (at most `SAMPLE_ROWS`, chosen by a hash of the id)
-expectation-maximisation estimates, for good and bad texts, how often each labeller says what, and so its
-accuracy; no label table is read. The posterior labels train a logistic regression on hashed features,
-which then scores every whole text: shares of word shapes and of pairs of neighbouring shapes, a shape
-being a word with runs of letters, digits or other signs written once.
-
-Null text counts as empty. An empty sample gives a score of one half to every text. Every row has its own
+good, bad or nothing. Tasks do so for every document; the votes of a document are its pattern, of which
+there are at most 3 ** 11, and the counts of all patterns come to the driver. On these expectation-
+maximisation estimates, for good and bad texts, how often each labeller says what, and so its accuracy; no
+label table is read. The posterior of a pattern is the label of its texts. At most `SAMPLE_ROWS` texts train
+a logistic regression on hashed features, which then scores every whole text: shares of word shapes and of
+pairs of neighbouring shapes, a shape being a word with runs of letters, digits or other signs written
+once. Half of them are dealt out to the patterns by their size, half so that small patterns come first;
+which ones is chosen by a hash of the text, and only their features come to the driver.
+
+Null text counts as empty. An empty table gives a score of one half to every text. Every row has its own
 score, also with a missing or repeated id; other columns are not looked at.
 """
 
@@ -22,10 +25,10 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import text_of, thinned
+from tidemark.llm.shared import stage, text_of, thinned
 
 SAMPLE_ROWS = 3_000
 FEATURES = 1 << 14
@@ -82,15 +85,29 @@ def votes_of(text: str) -> list[int]:
     return [labeller(found) for labeller in LABELLERS.values()]
 
 
-def label_model(votes: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+def pattern_of(votes: list[int]) -> int:
+    number = 0
+    for vote in votes:
+        number = number * 3 + vote + 1
+    return number
+
+
+def votes_in(patterns: np.ndarray) -> np.ndarray:
+    """Rows of votes from the numbers of their patterns."""
+    return patterns[:, None] // 3 ** np.arange(len(LABELLERS))[::-1] % 3 - 1
+
+
+def label_model(votes: np.ndarray, rounds: int = 100, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of a good text for each row of votes, and class x labeller x said (bad, nothing, good).
 
+    `counts` says how many documents each row stands for, one if not given.
+
     It starts from the opinion that one "bad" outweighs "good", which only says which class is which.
     """
     said = np.stack([votes == value for value in (BAD, NOTHING, GOOD)], axis=2).astype(float)
     posterior = np.where((votes == BAD).any(1), 0.1, 0.9)
     for _ in range(rounds):
-        weight = np.stack([1 - posterior, posterior])
+        weight = np.stack([1 - posterior, posterior]) * (1 if counts is None else counts)
         table = np.einsum("cn,nls->cls", weight, said) + 0.5
         table /= table.sum(2, keepdims=True)
         odds = np.log(weight[1].sum() + 1) - np.log(weight[0].sum() + 1)
@@ -157,14 +174,20 @@ def features(text: str, shapes: Shapes) -> tuple[np.ndarray, np.ndarray]:
     return held, counts[held]
 
 
-def fit(texts: list[str], rounds: int = 400, rate: float = 0.5, penalty: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias from the posterior labels, by gradient steps of adapted length."""
-    weights, bias = np.zeros(FEATURES), 0.0
+def fit(texts: list[str]) -> tuple[np.ndarray, float]:
+    """Weights and bias from the texts alone."""
     if not texts:
-        return weights, bias
+        return np.zeros(FEATURES), 0.0
     posterior, _ = label_model(np.array([votes_of(text) for text in texts]))
     shapes = Shapes()
-    rows = [features(text, shapes) for text in texts]
+    return fit_scorer([features(text, shapes) for text in texts], posterior)
+
+
+def fit_scorer(
+    rows: list[tuple[np.ndarray, np.ndarray]], posterior: np.ndarray, rounds: int = 400, rate: float = 0.5, penalty: float = 1e-4
+) -> tuple[np.ndarray, float]:
+    """Weights and bias from the posterior labels, by gradient steps of adapted length."""
+    weights, bias = np.zeros(FEATURES), 0.0
     places, values = (np.concatenate(parts) for parts in zip(*rows))
     row = np.repeat(np.arange(len(rows)), [len(held) for held, _ in rows])
     mass = np.where(posterior > 0.5, 0.5 / max(1, (posterior > 0.5).sum()), 0.5 / max(1, (posterior <= 0.5).sum()))
@@ -187,14 +210,67 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.weights[places] @ values + self.bias, -30, 30))))
 
 
+def vote_patterns(texts: DataFrame) -> DataFrame:
+    """pattern, key of each row of a table with the column text; key is a hash of the text; stored."""
+
+    @F.arrow_udf("int")
+    def pattern(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([pattern_of(votes_of(one)) for one in batch.to_pylist()], pa.int32())
+
+    return stage(texts.select(pattern(F.col("text")).alias("pattern"), F.xxhash64("text").alias("key")))
+
+
+def quotas(counts: np.ndarray, rows: int) -> np.ndarray:
+    """How many texts each pattern gives: half of the rows by size, half from the smallest patterns on."""
+    found = np.minimum(counts, counts * (rows // 2) // max(1, counts.sum()))
+    left = rows - found.sum()
+    order = np.argsort(counts - found, kind="stable")
+    for place, number in enumerate(order):
+        more = min(counts[number] - found[number], left // (len(order) - place))
+        found[number] += more
+        left -= more
+    return found
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
-    """The driver gets the bounded sample, nothing else."""
-    ids = docs.select(F.col(id_col).alias("doc_id"))
-    ids = ids.where(thinned(F.col("doc_id"), SAMPLE_ROWS, ids.count()))
-    picked = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).distinct().withColumnRenamed("doc_id", "picked")
-    texts = docs.select(F.col(id_col).alias("doc_id"), text_of(F.col(text_col)).alias("text"))
-    sample = texts.join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi")
-    return fit(sorted({row["text"] for row in sample.select("text").limit(SAMPLE_ROWS).collect()}))
+    """The driver gets the counts of the patterns and the features of the bounded sample, nothing else."""
+    texts = docs.select(text_of(F.col(text_col)).alias("text"))
+    voted = vote_patterns(texts)
+    rows = voted.groupBy("pattern").agg(F.count("*").alias("n")).collect()
+    if not rows:
+        return np.zeros(FEATURES), 0.0
+    patterns, counts = (np.array(column, np.int64) for column in zip(*sorted((row["pattern"], row["n"]) for row in rows)))
+    posterior, _ = label_model(votes_in(patterns), counts=counts)
+    wanted = quotas(counts, SAMPLE_ROWS)
+    listed = [(p, n, w) for p, n, w in zip(patterns.tolist(), counts.tolist(), wanted.tolist()) if w]
+    quota = docs.sparkSession.createDataFrame(listed, "pattern int, n long, wanted long")
+    # Equal texts are one row before the smallest hashes of a pattern are picked.
+    near = voted.join(F.broadcast(quota), "pattern").where(thinned(F.col("key"), F.col("wanted"), F.col("n")))
+    ranked = near.groupBy("pattern", "key").agg(F.first("wanted").alias("wanted")).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("pattern").orderBy(F.xxhash64("key"), "key"))
+    )
+    picked = ranked.where(F.col("rank") <= F.col("wanted")).select("pattern", "key")
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shapes, seen = Shapes(), set()
+        for batch in batches:
+            for pattern, key, text in zip(*(column.to_pylist() for column in batch.columns)):
+                if key in seen:
+                    continue
+                seen.add(key)  # one of SAMPLE_ROWS at most
+                places, values = features(text, shapes)
+                columns = [[pattern], [key], [places.astype(np.int32).tobytes()], [values.tobytes()]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["pattern", "key", "places", "values"])
+
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    sampled = texts.withColumn("key", F.xxhash64("text")).join(F.broadcast(picked), "key").select("pattern", "key", "text")
+    found = sampled.mapInArrow(featured, "pattern int, key long, places binary, values binary")
+    one = found.groupBy("pattern", "key").agg(F.min(F.struct("places", "values")).alias("held")).collect()
+    one.sort(key=lambda row: (row["pattern"], row["key"]))
+    labels = posterior[np.searchsorted(patterns, [row["pattern"] for row in one])]
+    held = [row["held"] for row in one]
+    return fit_scorer([(np.frombuffer(h["places"], np.int32), np.frombuffer(h["values"])) for h in held], labels)
 
 
 @lru_cache(maxsize=2)
