@@ -105,3 +105,17 @@ def test_unlisted_archives_are_not_read_and_problems_fail(spark, tmp_path, archi
     assert everything.where("problem IS NOT NULL").count() == 1 and everything.count() == 4
     with pytest.raises(Exception, match="truncated frame"):
         warc.read_archives(spark, str(tmp_path)).collect()
+
+
+def test_archives_are_whole(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"page {i}") for i in range(3)], "page_id long, url string, html string")
+    listed = warc.write_archives(pages.coalesce(1), str(tmp_path))
+    assert warc.read_archives(spark, str(tmp_path), listed).count() == 3
+    [path] = tmp_path.glob("*" + warc.SUFFIX)
+    with pytest.raises(ValueError, match="gone"):
+        warc.read_archives(spark, str(tmp_path), listed.union(listed.selectExpr("concat('gone-', archive)", "records")))
+    content = path.read_bytes()
+    path.write_bytes(content[: content.rindex(b"\x28\xb5\x2f\xfd")])  # without the last frame
+    with pytest.raises(Exception, match="2 records, 3 listed"):
+        warc.read_archives(spark, str(tmp_path), listed).collect()
+    assert warc.read_archives(spark, str(tmp_path), listed, strict=False).count() == 2

@@ -268,26 +268,37 @@ def write_archives(
 def read_archives(
     spark: SparkSession, folder: str, listed: DataFrame | None = None, with_payload: bool = True, strict: bool = True
 ) -> DataFrame:
-    """All records of the archives of a folder, or of those in `listed`. With `strict` a problem fails the query."""
+    """All records of the archives of a folder, or of those in `listed`.
+
+    With `strict` a problem fails the query, and so does a listed archive that is gone or has not the listed records.
+    """
     name = F.element_at(F.split("path", "/"), -1).alias("archive")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*" + SUFFIX).load(folder).select(name, "content")
     if listed is not None:
-        files = files.join(small(listed.select("archive")), "archive", "left_semi")
+        gone = listed.join(files.select("archive"), "archive", "left_anti").limit(5).collect() if strict else []
+        if gone:
+            raise ValueError(f"archives listed but not there: {', '.join(row['archive'] for row in gone)}")
+        files = files.join(small(listed.select("archive", "records")), "archive")
+    else:
+        files = files.withColumn("records", F.lit(None).cast("long"))
     fields = [field.strip().split(" ") for field in SCHEMA.split(",")]
     types = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for archive, content in zip(batch.column("archive"), batch.column("content")):
-                rows, size = [], 0
+            for archive, content, records in zip(*(batch.column(name) for name in ("archive", "content", "records"))):
+                rows, size, count = [], 0, 0
                 for row in read_archive(content.as_py(), with_payload):
                     if strict and "problem" in row:
                         raise ValueError(f"{archive.as_py()} at {row['offset']}: {row['problem']}")
+                    count += 1
                     rows.append({"archive": archive.as_py(), **row})
                     size += len(row.get("payload") or b"") + 200
                     if size > 4 << 20:
                         yield _batch(rows, fields, types)
                         rows, size = [], 0
+                if strict and records.as_py() not in (None, count):
+                    raise ValueError(f"{archive.as_py()}: {count} records, {records.as_py()} listed")
                 yield _batch(rows, fields, types)
 
     return files.mapInArrow(read, SCHEMA)
