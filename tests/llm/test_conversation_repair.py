@@ -1,0 +1,211 @@
+"""Repairs against all possible edits, and against a backward recurrence for long conversations."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from functools import cache
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import conversation_repair as cr
+from tidemark.llm.queries import op13_conversation_repair
+
+SPACE = " \t\n\r\x0b\x0c"
+
+
+def marked(rows):
+    """(role, text) as (initial, has to go, breaks off)."""
+    out, seen = [], set()
+    for role, text in rows:
+        bare = text.strip(SPACE)
+        blank, again = not bare, (role, text) in seen
+        seen.add((role, text))
+        out.append((role[:1], blank or again, bool(bare) and not again and bare[-1] not in ".!?"))
+    return out
+
+
+def by_enumeration(rows):
+    """Every list of edits with at most two new rows at a place, checked at its end."""
+    best = None
+    fills = ["", "u", "a", "uu", "ua", "au", "aa"]
+
+    def walk(place, initials, edits, cost):
+        nonlocal best
+        for fill in fills:
+            here, spent, made = initials + fill, cost + 2 * len(fill), edits + "I" * len(fill)
+            if best and spent > best[0]:
+                continue
+            if place == len(rows):
+                if re.fullmatch("(s?(ua)+)?", here) and (best is None or (spent, made) < best):
+                    best = (spent, made)
+                continue
+            initial, doomed, off = rows[place]
+            walk(place + 1, here, made + "D", spent + 3)
+            if not doomed:
+                walk(place + 1, here + (initial or "?"), made + "K", spent + off)
+                for role in "ua":
+                    walk(place + 1, here + role, made + "R", spent + 2 + off)
+
+    walk(0, "", "", 0)
+    return best
+
+
+def by_recurrence(rows):
+    """The best rest from each row and state on; the states are named by what has been written last."""
+    step = {"": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    @cache
+    def rest(place, state, inserts):
+        options = []
+        if place == len(rows):
+            options += [(0, "")] if state in ("", "a") else []
+        else:
+            initial, doomed, off = rows[place]
+            moves = [("D", 3, state)]
+            if not doomed:
+                moves += [("K", off, step[state][initial])] if initial in step[state] else []
+                moves += [("R", 2 + off, step[state][role]) for role in "ua" if role in step[state]]
+            options += [(cost + price, edit + edits) for edit, price, then in moves for cost, edits in [rest(place + 1, then, 2)] if cost is not None]
+        if inserts:
+            for role in "ua":
+                if role in step[state]:
+                    cost, edits = rest(place, step[state][role], inserts - 1)
+                    options += [(2 + cost, "I" + edits)] if cost is not None else []
+        return min(options, default=(None, ""))
+
+    for place in range(len(rows), -1, -50):
+        for state in step:
+            rest(place, state, 2)
+    return rest(0, "", 2)
+
+
+def searched(rows):
+    found = cr.search([cr.Row(*row) for row in rows], {cr.EMPTY: cr.Prefix(0, "", cr.EMPTY)}, cr.FINAL)
+    return min(p[:2] for p in found.values())
+
+
+def made(chance, length, roles=("user", "assistant", "system", "tool", "", "union")):
+    texts = ["Yes.", "No", "Why?", " ", "", "So!", "and"]
+    return [(chance.choice(roles), chance.choice([*texts, f"{i}.", f"{i}", f"{i}?"])) for i in range(length)]
+
+
+def test_all_edits_of_short_conversations():
+    chance = random.Random(1)
+    for _ in range(250):
+        rows = marked(made(chance, chance.randrange(5)))
+        assert searched(rows) == by_enumeration(rows), rows
+
+
+@pytest.mark.parametrize("roles", [("user", "assistant"), ("user",), ("assistant",), ("system", "user"), ("x",), ("user", "assistant", "system", "tool")])
+def test_longer_conversations(roles):
+    chance = random.Random(2)
+    for _ in range(25):
+        rows = marked(made(chance, chance.randrange(60), roles))
+        assert searched(rows) == by_recurrence(rows), rows
+
+
+def test_bounds_never_pass_the_rest():
+    chance = random.Random(6)
+    for _ in range(200):
+        rows = marked(made(chance, chance.randrange(12)))
+        assert cr.bounds([cr.Row(*row) for row in rows], True)[0] <= by_recurrence(rows)[0]
+
+
+def expected(conv_id, rows):
+    """rows: (turn, role, text) in order."""
+    faults = marked([row[1:] for row in rows])
+    blanks = [not row[2].strip(SPACE) for row in rows]
+    turns = sorted({row[0] for row in rows if row[0] is not None})
+    gaps = turns[-1] - turns[0] + 1 - len(turns) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    cost, audit = by_recurrence(faults)
+    state, lines, given = "", [], iter(rows)
+    for edit in audit:
+        role, text = ("", "") if edit == "I" else next(given)[1:]
+        if edit in "IR":
+            role = "assistant" if state == "u" else "user"
+        if edit != "D":
+            lines.append(f"{role}:{text}")
+            state = role[:1]
+    duplicates = sum(f[1] for f in faults) - sum(blanks)
+    counts = (gaps, sum(blanks), duplicates, sum(f[2] for f in faults), illegal, cost)
+    return (conv_id, *counts, audit, "\n".join(lines))
+
+
+def damage(rows):
+    """(conv_id, turn, role, text) to {conv_id: rows in order}."""
+    out = {}
+    for conv_id, turn, role, text in rows:
+        kept = out.setdefault(conv_id, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        name = ":".join(" " if part is None else str(part) for part in (conv_id, turn))
+        lot = zlib.crc32(name.encode()) % 20
+        text = "" if lot == 1 else re.sub("[.!?]", "", text) if lot == 2 else text
+        role = "user" if lot == 4 else role
+        kept += [(turn, role, text)] * (0 if lot == 0 else 2 if lot == 3 else 1)
+    for kept in out.values():
+        kept.sort(key=lambda row: (row[0] is not None, row[0] or 0, row[1].encode(), row[2].encode()))
+    return out
+
+
+def as_table(spark, rows):
+    schema = "conv_id long, turn long, role string, text string, repeated int, absent string, `a.b` int"
+    return spark.createDataFrame([(*row, 1, "x", 2) for row in rows], schema)
+
+
+def odd_rows():
+    chance = random.Random(9)
+    rows = [(conv, turn, *row) for conv in range(120) for turn, row in enumerate(made(chance, chance.randrange(1, 9)))]
+    rows += [(None, None, None, None), (None, 1, "user", "Hi."), (200, None, "user", "Hi."), (200, None, "assistant", "Ho.")]
+    rows += [(201, 5, "user", "A."), (201, 5, "assistant", "B."), (201, 5, "user", "A."), (201, 9, "user", None), (201, -3, None, "C")]
+    return rows + [(202, turn, "user", "long " * 40_000 + str(turn)) for turn in range(6)] + [(203, 0, "user", " "), (204, 2**62, "user", "x.")]
+
+
+@pytest.mark.parametrize("segment", [2, 5, 256])
+def test_damaged_conversations(spark, monkeypatch, tmp_path, segment):
+    rows = odd_rows()
+    as_table(spark, rows).write.parquet(f"{tmp_path}/conversations.parquet")
+    wanted = [expected(conv_id, kept) for conv_id, kept in damage(rows).items()]
+    monkeypatch.setattr(cr, "SEGMENT", segment)
+    damaged = cr.damaged(spark.read.parquet(f"{tmp_path}/conversations.parquet"))
+    # The functions travel with the module's name: workers read the constant anew, so it is searched here as well.
+    found = cr.repair(damaged, absent=F.col("absent")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(wanted, key=str)
+    for conv_id, kept in damage(rows).items():
+        for output in (cr.Lines, cr.Digest):
+            conversation, seen = cr.Conversation(conv_id, output), set()
+            for turn, role, text in kept:
+                conversation.read(turn, role, text, (role, text) in seen)
+                seen.add((role, text))
+            result, whole = conversation.result(), expected(conv_id, kept)
+            assert result[:-1] == whole[:-1]
+            assert result[-1] == (whole[-1] if output is cr.Lines else hashlib.sha256(whole[-1].encode()).hexdigest())
+    digests = {row.conv_id: row.repaired_sha256 for row in op13_conversation_repair(spark, str(tmp_path)).collect()}
+    assert digests == {row[0]: hashlib.sha256(row[-1].encode()).hexdigest() for row in wanted}
+
+
+def test_a_long_conversation():
+    """Work grows with the rows, the result is that of the recurrence."""
+    chance = random.Random(12)
+    rows = made(chance, 3_000, ("user", "assistant"))
+    conversation, seen = cr.Conversation(1, cr.Digest), set()
+    for turn, (role, text) in enumerate(rows):
+        conversation.read(turn, role, text, (role, text) in seen)
+        seen.add((role, text))
+        assert len(conversation.pending) <= cr.SEGMENT
+    assert (result := conversation.result())[6:8] == by_recurrence(marked(rows))
+    assert result[1] == 0
+
+
+def test_empty_table(spark):
+    assert cr.repair(cr.damaged(as_table(spark, []))).collect() == []
+
+
+def test_string_ids(spark):
+    table = spark.createDataFrame([("k", 1, "user", "Hi.")], "c string, t int, r string, x string")
+    found = cr.repair(table, id_col="c", turn_col="t", role_col="r", text_col="x").collect()
+    assert [(r.conv_id, r.cost, r.audit, r.repaired) for r in found] == [("k", 2, "KI", "user:Hi.\nassistant:")]

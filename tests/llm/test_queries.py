@@ -15,7 +15,7 @@ FOLDER = f"{TESTDATA}/sf0.001"
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry_points.queries())
 
 

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, exact_dedup, language_id, language_model, pii, quality, simhash, toxicity, warc
+from tidemark.llm import bpe, conversation_repair, decontamination, exact_dedup, language_id, language_model, periodic_runs
+from tidemark.llm import pii, quality, simhash, top_k, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +69,28 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode_documents(_documents(spark, folder), path, public_tokenizers.PATTERN))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    texts = periodic_runs.repeated_tails(_documents(spark, folder))
+    return periodic_runs.digests(periodic_runs.periodic_runs(texts))
+
+
+#: What components are multiplied by, the divisor of the ids that are queries, and the length of their lists.
+TOP_K = {"by": 256, "every": 50, "k": 5}
+
+
+def op12_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select(
+        "vec_id", top_k.scaled(F.col("embedding"), TOP_K["by"]).alias("weights")
+    )
+    return top_k.top_k(vectors, F.col("vec_id") % TOP_K["every"] == 0, TOP_K["k"])
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(_table(spark, folder, "conversations"))
+    repaired = conversation_repair.repair(rows, absent=F.col("absent"), texts=False)
+    return repaired.withColumnRenamed("repaired", "repaired_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_warc": op2_warc,
@@ -78,6 +102,9 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_decontamination": op9_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_top_k": op12_top_k,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 OP4_SQL = r"""WITH texts AS (
