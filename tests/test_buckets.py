@@ -1,0 +1,115 @@
+"""Merges into a bucketed table: the rows of the plain operators, only touched buckets rewritten."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+import plan_nodes
+from frames import rows
+from tidemark.operators.tables import update_by_key, upsert_by_key
+from tidemark.sources import buckets, versions
+
+BUCKETS = 32
+
+
+@pytest.fixture()
+def folder(spark, tmp_path):
+    store(spark, str(tmp_path))
+    return str(tmp_path)
+
+
+def store(spark, folder):
+    target = spark.range(0, 4000).selectExpr(
+        "id % 1500 AS id", "id AS a", "concat('t', id) AS text", "date'2024-01-01' AS day", "id AS `a.b`"
+    )
+    odd = spark.createDataFrame(
+        [(None, 1, "none", None, 7), (-5, 2, None, date(2024, 1, 2), None)], "id long, a long, text string, day date, `a.b` long"
+    )
+    buckets.store_buckets(target.unionByName(odd), folder, "t", "id", BUCKETS)
+
+
+def moved(before, after):
+    return {part for part, where in after.tables["t"].parts.items() if before.tables["t"].parts.get(part) != where}
+
+
+def same_rows(spark, folder, wanted):
+    assert sorted(rows(buckets.read_buckets(spark, folder, "t")), key=str) == sorted(wanted, key=str)
+
+
+def test_upsert_of_one_percent(spark, folder):
+    target = buckets.read_buckets(spark, folder, "t")
+    source = spark.createDataFrame([(n, f"new {n}") for n in (3, 77, 1499, 9000, 9001)], "id long, text string")
+    wanted = rows(upsert_by_key(target, source, "id"))
+    before = versions.latest(spark, folder)
+    after = buckets.upsert_buckets(spark, folder, "t", source)
+    same_rows(spark, folder, wanted)
+    touched = {str(row[0]) for row in source.select(buckets._bucket(F.col("id"), BUCKETS)).distinct().collect()}
+    assert moved(before, after) == touched and len(touched) < BUCKETS / 3
+    # Readers of the version before still have it.
+    assert len(rows(versions.read_table_version(before, spark, "t"))) == 4002
+
+
+def test_update(spark, folder):
+    target = buckets.read_buckets(spark, folder, "t")
+    changes = spark.createDataFrame(
+        [(3, "x", 5), (4, None, None), (5, "", None), (6, None, 8), (99_999, "y", 1), (None, "z", 3)], "ID int, text string, `a.b` int"
+    )
+    plain = rows(update_by_key(target, changes, "id"))
+    before = versions.latest(spark, folder)
+    after = buckets.update_buckets(spark, folder, "t", changes)
+    same_rows(spark, folder, plain)
+    assert 1 <= len(moved(before, after)) <= 3
+
+
+def test_changes_that_do_nothing_write_nothing(spark, folder):
+    before = versions.latest(spark, folder)
+    nothing = spark.createDataFrame([(4, None), (5, "")], "id long, text string")
+    assert buckets.update_buckets(spark, folder, "t", nothing) == before
+    assert buckets.upsert_buckets(spark, folder, "t", nothing.limit(0)) == before
+
+
+@pytest.mark.parametrize("bad", [[(3, "c"), (3, "d")], [(3, "c"), (3, "c")], [(None, "c")]])
+def test_repeated_keys_fail_before_any_bucket_is_written(spark, folder, bad):
+    import os
+
+    before, folders = versions.latest(spark, folder), sorted(os.listdir(f"{folder}/data/t"))
+    with pytest.raises(buckets.RepeatedKey, match="missing or given several times"):
+        buckets.upsert_buckets(spark, folder, "t", spark.createDataFrame(bad, "id long, text string"))
+    assert versions.latest(spark, folder) == before and sorted(os.listdir(f"{folder}/data/t")) == folders
+    assert versions.forget(spark, folder) > 0
+
+
+def test_unknown_columns(spark, folder):
+    with pytest.raises(ValueError, match="no column extra"):
+        buckets.upsert_buckets(spark, folder, "t", spark.createDataFrame([(1, "x")], "id long, extra string"))
+
+
+def test_only_touched_buckets_are_read(spark, folder):
+    found = buckets.read_buckets(spark, folder, "t", [3, 9999])
+    files = [n.metrics().apply("numFiles").value() for name, _, n in plan_nodes.nodes(found) if name == "FileSourceScanExec"]
+    assert 1 <= sum(files) <= 2
+    assert {row.id for row in found.collect()} == {3}
+
+
+def test_a_new_bucket_and_an_empty_table(spark, tmp_path):
+    empty = spark.createDataFrame([], "id long, text string")
+    buckets.store_buckets(empty, str(tmp_path), "t", "id", 4)
+    buckets.upsert_buckets(spark, str(tmp_path), "t", spark.createDataFrame([(1, "a"), (2, "b")], empty.schema))
+    assert sorted(rows(buckets.read_buckets(spark, str(tmp_path), "t"))) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError, match="bucket is the column"):
+        buckets.store_buckets(empty.withColumnRenamed("text", "bucket"), str(tmp_path), "u", "id", 4)
+
+
+def test_many_changes_one_after_another(spark, folder):
+    """Merges into the stored table equal the plain operator, applied as often."""
+    stored = buckets.read_buckets(spark, folder, "t")
+    plain = spark.createDataFrame(stored.collect(), stored.schema)
+    for n in range(3):
+        source = spark.range(n * 400, n * 400 + 30).selectExpr("id * 7 AS id", f"concat('r{n}-', id) AS text")
+        plain = upsert_by_key(plain, source, "id")
+        buckets.upsert_buckets(spark, folder, "t", source)
+    same_rows(spark, folder, rows(plain))
+    assert versions.latest(spark, folder).number == 4

@@ -13,6 +13,7 @@ from tidemark.operators.reporting import VIEWS, latest_summary, mart_rows_json,
 from tidemark.plans.marts import MARTS, build_marts, publish, refresh_marts, store_marts, stored_marts
 from tidemark.plans.summaries import mark_sent, refresh_summaries, sync_latest
 from tidemark.schemas import SUMMARIES
+from tidemark.sources.tables import read_mart
 
 AS_OF = date(2024, 3, 31)
 
@@ -92,13 +93,13 @@ def test_summaries_job(spark, tmp_path):
     assert [row[5:] for row in rows(marked.orderBy("run_id"))] == [("s1", None), ("s2", "e2"), ("s3", None)]
     assert rows(latest_summary(marked))[0][0] == "r3"
     sync_latest(marked, str(tmp_path))
-    assert [row[0] for row in rows(spark.read.parquet(f"{tmp_path}/summaries"))] == ["r3"]
+    assert [row[0] for row in rows(read_mart(spark, str(tmp_path), "summaries"))] == ["r3"]
     sync_latest(marked, str(tmp_path), run_id="r1")
     with pytest.raises(ValueError, match="no summary of run r9"):
         sync_latest(marked, str(tmp_path), run_id="r9")
     with pytest.raises(ValueError, match="no summary"):
         sync_latest(marked.limit(0), str(tmp_path))
-    assert [row[0] for row in rows(spark.read.parquet(f"{tmp_path}/summaries"))] == ["r1"]
+    assert [row[0] for row in rows(read_mart(spark, str(tmp_path), "summaries"))] == ["r1"]
 
 
 def test_published_summaries_give_the_latest(spark, tmp_path):
@@ -108,7 +109,7 @@ def test_published_summaries_give_the_latest(spark, tmp_path):
         SUMMARIES,
     )
     publish({"summaries": log}, str(tmp_path))
-    published = spark.read.parquet(f"{tmp_path}/summaries")
+    published = read_mart(spark, str(tmp_path), "summaries")
     assert dict(published.dtypes)["run_ts"] == "string"
     latest = latest_summary(published)
     assert latest.columns == SUMMARIES.names and rows(latest)[0][:2] == ("r2", "2024-03-01 10:00:00.000000")

@@ -50,9 +50,24 @@ def is_json(block: Column) -> Column:
 
 
 def plain_decimal(value: Column) -> Column:
-    """A fraction's shortest digits without an exponent or closing zeros: `0.0004`, `1`."""
-    digits = value.cast("string").cast("decimal(38,20)").cast("string")
-    return F.rtrim(F.rtrim(digits, F.lit("0")), F.lit("."))
+    """A fraction's shortest digits without an exponent or closing zeros: `0.0004`, `1`.
+
+    The digits are moved as text, so neither size nor session settings matter. What is no finite number is
+    NULL, as JSON has no word for it.
+    """
+    written = F.abs(value).cast("string")
+    exponent = F.coalesce(F.regexp_extract(written, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
+    whole, part = F.regexp_extract(written, r"^(\d+)", 1), F.regexp_extract(written, r"\.(\d+)", 1)
+    digits, point = F.concat(whole, part), F.length(whole) + exponent
+    # Zeros on either side, so that the point always falls among the digits.
+    before, after = F.greatest(-point, F.lit(0)), F.greatest(point - F.length(digits), F.lit(0))
+    padded = F.concat(F.repeat(F.lit("0"), before), digits, F.repeat(F.lit("0"), after))
+    split = point + before
+    head = F.ltrim(F.substr(padded, F.lit(1), split), F.lit("0"))
+    tail = F.rtrim(F.substr(padded, split + 1), F.lit("0"))
+    text = F.concat(F.when(head == "", "0").otherwise(head), F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)))
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    return F.when(finite, F.concat(F.when(value < 0, "-").otherwise(""), text))
 
 
 def without_facts_section(text: Column) -> Column:

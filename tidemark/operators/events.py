@@ -69,9 +69,13 @@ def session_days(events: DataFrame, as_of: date) -> DataFrame:
     The days are those any session metric as of that day looks at.
     """
     start = min(first_of_month(as_of, -1), days_before(as_of, 30))
+    return all_session_days(cut_days(events, start, as_of))
+
+
+def all_session_days(events: DataFrame) -> DataFrame:
+    """Which sessions had which kind of shopping event on which day, as events."""
     return (
-        cut_days(events, start, as_of)
-        .where(F.col("event_type").isin(list(SHOPPING_STEPS)))
+        events.where(F.col("event_type").isin(list(SHOPPING_STEPS)))
         .groupBy("session_id", "event_type", day_of(events).alias("day"))
         .agg(F.count("*").alias("events"))
         .select(
@@ -90,16 +94,19 @@ def _placed(events: DataFrame) -> Column:
     return instant * len(PLATFORMS) + platform_code(F.col("browser"))
 
 
-def user_days(events: DataFrame, as_of: date) -> DataFrame:
+def user_days(events: DataFrame, as_of: date | None) -> DataFrame:
     """One event for each user and day, the day's latest by time and platform, as events.
 
     A user with a third of all events is combined on the map side to one row for each day and task.
     """
-    cut = as_of_snapshot(events, as_of)
-    placed = _placed(events)
+    return latest_in(as_of_snapshot(events, as_of), day_of(events))
+
+
+def latest_in(events: DataFrame, period: Column) -> DataFrame:
+    """One event for each user and period, the latest by time and platform, as events."""
     return (
-        cut.groupBy("user_id", day_of(events).alias("day"))
-        .agg(F.max("created_at").alias("created_at"), F.max(placed).alias("latest"))
+        events.groupBy("user_id", period.alias("period"))
+        .agg(F.max("created_at").alias("created_at"), F.max(_placed(events)).alias("latest"))
         .select(
             "user_id",
             F.lit(None).cast("string").alias("session_id"),
@@ -110,12 +117,15 @@ def user_days(events: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def kpi_metrics(events: DataFrame, as_of: date, sessions: DataFrame | None = None) -> DataFrame:
+def kpi_metrics(
+    events: DataFrame | None, as_of: date, sessions: DataFrame | None = None, active_users: DataFrame | None = None
+) -> DataFrame:
     """One row: the `as_of` day, active users and purchase conversion of the 30 days before it.
 
-    The sessions can come from a table of their own.
+    The sessions and the count of active users can come from tables of their own.
     """
-    active_users = active_users_trailing(events, as_of)
+    if active_users is None:
+        active_users = active_users_trailing(events, as_of)
     return session_conversion_trailing(events if sessions is None else sessions, as_of).select(
         F.lit(as_of.isoformat()).alias("last_updated_date"),
         active_users.scalar().alias("mau_30_days"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,3 +99,51 @@ def dq_mart_profile(marts: dict[str, DataFrame]) -> DataFrame:
             _long_form(end_date, "data_end_date"),
         ]
     )
+
+
+#: Prefixes of the measures that count NULLs, and of those that are key figures.
+NULLS, FIGURE = "nulls of ", "figure "
+
+
+def _figures(name: str) -> dict[str, Column]:
+    """The figures of `dq_mart_profile`, each as one aggregate."""
+    share = F.struct("platform", "users", plain_decimal(F.col("share")).alias("share"))
+    figures = {
+        "mau": lambda: {
+            "months": F.count("*"), "first_month": F.min("month"), "last_month": F.max("month"), "peak_mau": F.max("mau")
+        },
+        "retention": lambda: {
+            "cohorts": F.size(F.collect_set("cohort_month")),
+            "min_rate": plain_decimal(F.min("retention_rate")),
+            "max_rate": plain_decimal(F.max("retention_rate")),
+        },
+        "users_by_country": lambda: {
+            "countries": F.count("*"), "total_users": F.sum("users"), "largest_country": F.max("users")
+        },
+        # A row for each of the few platforms.
+        "platform_share": lambda: {"platforms": F.count("*"), "total_users": F.sum("users"), "shares": F.collect_list(share)},
+        "data_end_date": lambda: {"data_end_date": F.max("data_end_date")},
+    }
+    return figures.get(name, dict)()
+
+
+def measures(name: str, required: list[str]) -> list[Column]:
+    """What is to be observed while a table is written: rows, NULLs of required columns, key figures."""
+    nulls = [F.count_if(F.col(column).isNull()).alias(f"{NULLS}{column}") for column in required]
+    figures = [column.alias(f"{FIGURE}{figure}") for figure, column in _figures(name).items()]
+    return [F.count("*").alias("rows"), *nulls, *figures]
+
+
+def observed_profile(spark: SparkSession, observed: dict[str, dict[str, object]]) -> DataFrame:
+    """The rows of `dq_mart_profile` from what was observed while the tables were written."""
+    rows = []
+    for mart, values in observed.items():
+        for measure, value in values.items():
+            if not measure.startswith(FIGURE):
+                continue
+            if measure == f"{FIGURE}shares":
+                for platform, users, share in value:
+                    rows += [(mart, f"users {platform}", str(users)), (mart, f"share {platform}", share)]
+            else:
+                rows.append((mart, measure.removeprefix(FIGURE), None if value is None else str(value)))
+    return spark.createDataFrame(rows, "mart string, metric string, value string")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidemark.functions.columns import fresh
 from tidemark.functions.text import plain_decimal
 from tidemark.operators.events import mau_recent
 from tidemark.operators.tables import latest_record
@@ -56,9 +57,9 @@ def read_view(marts: dict[str, DataFrame], name: str) -> DataFrame:
 def latest_summary(summaries: DataFrame) -> DataFrame:
     """The newest summary, of the table itself or of its published form with times as text."""
     if isinstance(summaries.schema["run_ts"].dataType, T.StringType):
-        time = F.col("run_ts").cast("timestamp_ntz")
-        newest = latest_record(summaries.withColumn("_run_ts", time), "_run_ts", tie_break="run_id")
-        return newest.drop("_run_ts")
+        time = fresh(summaries, "run_time")
+        timed = summaries.withColumn(time, F.col("run_ts").cast("timestamp_ntz"))
+        return latest_record(timed, time, tie_break="run_id").drop(time)
     return latest_record(summaries, "run_ts", tie_break="run_id")
 
 

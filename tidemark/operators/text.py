@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as rules
+from tidemark.functions.columns import column, fresh, quoted, spelled
 
 # The fields of a fact record, all read as text.
 FACT_FIELDS = {
@@ -17,6 +18,9 @@ FACT_FIELDS = {
     "growth_trend": "string",
 }
 
+#: The columns that are added besides the fields.
+FACT_COLUMNS = ["facts_json", "facts_state"]
+
 
 def extract_facts(
     df: DataFrame, text_col: str = "text", fields: dict[str, str] = FACT_FIELDS
@@ -25,19 +29,24 @@ def extract_facts(
 
     `facts_state` is `read`, `unreadable` for a block that is not JSON from end to end, or `none`; the
     record of the latter two is `{}`. A field that is absent or does not fit its type is NULL; of a
-    repeated field the last one counts, whatever the session's settings.
+    repeated field the last one counts, whatever the session's settings. A table that has a column of one
+    of the new names is refused.
     """
-    blocks = df.withColumn("_block", rules.facts_block(F.col(text_col)))
-    readable = (F.col("_block") != "") & rules.is_json(F.col("_block"))
-    judged = blocks.withColumn("_facts", F.when(readable, F.col("_block")))
-    state = F.when(F.col("_facts").isNotNull(), "read").when(F.col("_block") != "", "unreadable").otherwise("none")
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
-    taken = judged.withColumn("_fields", F.from_json("_facts", schema)) if fields else judged
-    return taken.select(
-        *df.columns,
-        F.coalesce("_facts", F.lit("{}")).alias("facts_json"),
+    taken = [name for name in (*FACT_COLUMNS, *fields) if spelled(df, name) is not None]
+    if taken:
+        raise ValueError(f"the table has a column {', '.join(taken)} already")
+    text, block, facts, found = column(text_col), *(fresh(df, name) for name in ("block", "facts", "fields"))
+    blocks = df.withColumn(block, rules.facts_block(text))
+    readable = (F.col(block) != "") & rules.is_json(F.col(block))
+    judged = blocks.withColumn(facts, F.when(readable, F.col(block)))
+    state = F.when(F.col(facts).isNotNull(), "read").when(F.col(block) != "", "unreadable").otherwise("none")
+    schema = ", ".join(f"{quoted(name)} {kind}" for name, kind in fields.items())
+    read = judged.withColumn(found, F.from_json(facts, schema)) if fields else judged
+    return read.select(
+        *map(column, df.columns),
+        F.coalesce(facts, F.lit("{}")).alias("facts_json"),
         state.alias("facts_state"),
-        *[F.col(f"_fields.{name}").alias(name) for name in fields],
+        *[F.col(found).getField(name).alias(name) for name in fields],
     )
 
 

@@ -34,7 +34,7 @@ def _users(users: DataFrame) -> Column:
     return F.col(SIGNUPS) if SIGNUPS in users.columns else F.lit(1)
 
 
-def country_days(users: DataFrame, as_of: date) -> DataFrame:
+def country_days(users: DataFrame, as_of: date | None) -> DataFrame:
     """Signups for each country and day, as a users table without ids; users without a country too."""
     return (
         as_of_snapshot(users, as_of)

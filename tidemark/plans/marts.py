@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tidemark.functions.names import COUNTRY_NAMES
 from tidemark.operators import events as ev
 from tidemark.operators import funnels, users
+from tidemark.operators.quality import NULLS, REQUIRED_COLUMNS, measures
 from tidemark.operators.tables import export_stringify
-from tidemark.sources.tables import read_mart, write_mart
+from tidemark.sources import versions
 
 # The tables readers get, besides the summaries.
 MARTS = [
@@ -94,25 +95,61 @@ def refresh_marts(
     """Build and store all result tables with one pass over the raw events for each shared table.
 
     The shared tables are written to the folder of the marts first; that folder is on storage that all
-    executors share, so a lost executor costs its tasks only.
+    executors share, so a lost executor costs its tasks only. Readers see all new tables at once.
     """
     spark = event_table.sparkSession
-    store_marts(shared_tables(user_table, event_table, as_of), folder)
-    shared = stored_marts(spark, folder, SHARED)
-    store_marts(build_marts(user_table, event_table, as_of, names, shared), folder)
+    base = versions.latest(spark, folder)
+    tables = {
+        name: versions.write_table_version(df, folder, name)
+        for name, df in shared_tables(user_table, event_table, as_of).items()
+    }
+    drafts = versions.Version(folder, tables=tables)
+    shared = {name: versions.read_table_version(drafts, spark, name) for name in SHARED}
+    for name, mart in build_marts(user_table, event_table, as_of, names, shared).items():
+        tables[name] = versions.write_table_version(mart, folder, name)
+    versions.commit(spark, base, tables)
 
 
 def store_marts(marts: dict[str, DataFrame], folder: str) -> None:
-    """Compute each table once and replace its stored form."""
-    for name, mart in marts.items():
-        write_mart(mart, folder, name)
+    """Compute each table once and replace its stored form; readers see all new tables at once."""
+    spark = next(iter(marts.values())).sparkSession
+    versions.write_tables(spark, folder, marts)
 
 
 def stored_marts(spark: SparkSession, folder: str, names: list[str] = MARTS) -> dict[str, DataFrame]:
-    return {name: read_mart(spark, folder, name) for name in names}
+    """Stored tables, all of one version."""
+    version = versions.latest(spark, folder)
+    return {name: versions.read_table_version(version, spark, name) for name in names}
+
 
+class FailedCheck(RuntimeError):
+    """A table broke a rule; nothing was published."""
 
-def publish(marts: dict[str, DataFrame], folder: str) -> None:
-    """Replace the published form of each table, dates as text."""
+
+def publish(
+    marts: dict[str, DataFrame], folder: str, required: dict[str, list[str]] = REQUIRED_COLUMNS
+) -> dict[str, dict[str, object]]:
+    """Replace the published form of all tables at once, dates as text, if they pass their checks.
+
+    Row counts, the NULLs of required columns and the key figures are observed while the tables are
+    written, without a pass of their own, and returned. A NULL in a required column fails the publication:
+    readers keep all they had.
+    """
+    spark = next(iter(marts.values())).sparkSession
+    base = versions.latest(spark, folder)
+    tables, observed = {}, {}
     for name, mart in marts.items():
-        write_mart(export_stringify(mart), folder, name)
+        watch = Observation()
+        watched = mart.observe(watch, *measures(name, required.get(name, [])))
+        tables[name] = versions.write_table_version(export_stringify(watched), folder, name)
+        observed[name] = watch.get
+    failed = [
+        f"{name}.{measure.removeprefix(NULLS)}: {value} NULLs"
+        for name, values in observed.items()
+        for measure, value in values.items()
+        if measure.startswith(NULLS) and value
+    ]
+    if failed:
+        raise FailedCheck("; ".join(failed))
+    versions.commit(spark, base, tables)
+    return observed

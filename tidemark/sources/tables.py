@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import DAY_COLUMN, cut_days
+from tidemark.sources import versions
 
 
 def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
@@ -16,17 +17,30 @@ def read_table(spark: SparkSession, folder: str, name: str, schema: str | None =
     return reader.parquet(f"{folder}/{name}.parquet")
 
 
-def read_mart(spark: SparkSession, folder: str, name: str, **equals: object) -> DataFrame:
-    """A written result table, optionally only the rows whose columns equal the given values."""
-    mart = spark.read.parquet(f"{folder}/{name}")
+def read_mart(spark: SparkSession, folder: str, name: str, /, **equals: object) -> DataFrame:
+    """A written result table, optionally only the rows whose columns equal the given values.
+
+    None finds the rows without a value; a value that cannot be of the column's type finds no row.
+    """
+    mart = versions.read_table_version(versions.latest(spark, folder), spark, name)
     for column, value in equals.items():
-        mart = mart.where(F.col(column) == F.lit(value))
+        wanted = F.lit(value).try_cast(mart.schema[column].dataType)
+        mart = mart.where(F.col(column).isNull() if value is None else F.col(column) == wanted)
     return mart
 
 
+def query_mart(spark: SparkSession, folder: str, name: str, text: str, /, **args: object) -> DataFrame:
+    """SQL over a written result table, `{table}` in the text, with values for its `:name` markers.
+
+    Values are bound, never put into the text, so a quote in one is a character like any other. As in any
+    SQL, `= :name` with a NULL finds nothing; `<=>` compares NULLs.
+    """
+    return spark.sql(text, args=args, table=read_mart(spark, folder, name))
+
+
 def write_mart(df: DataFrame, folder: str, name: str) -> None:
-    """Replace the stored table as a whole."""
-    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    """Replace the stored table as a whole: readers see the old one until the new one is there."""
+    versions.write_tables(df.sparkSession, folder, {name: df})
 
 
 def store_by_day(df: DataFrame, folder: str, name: str, ts_col: str = "created_at") -> None:
@@ -39,6 +53,13 @@ def store_by_day(df: DataFrame, folder: str, name: str, ts_col: str = "created_a
     by_day.write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(f"{folder}/{name}.parquet")
 
 
+def replace_days(df: DataFrame, folder: str, name: str, ts_col: str = "created_at") -> None:
+    """Replace the days that `df` has rows of in a source table stored by day; its other days stay untouched."""
+    by_day = df.withColumn(DAY_COLUMN, F.to_date(ts_col)).hint("rebalance", DAY_COLUMN)
+    writer = by_day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY_COLUMN)
+    writer.parquet(f"{folder}/{name}.parquet")
+
+
 def as_of_snapshot(df: DataFrame, as_of: date | None, ts_col: str = "created_at") -> DataFrame:
     """Rows up to and including the `as_of` day, and those without a time; `None` keeps all rows."""
     if as_of is None:
