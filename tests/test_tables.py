@@ -118,3 +118,29 @@ def test_export_stringify(spark):
         (1, "2024-01-05", "2024-01-05 01:02:03.500000", "2024-01-05 00:00:00.000000", "x"),
         (None, None, None, "2024-01-05 00:00:00.000000", None),
     ]
+
+
+CLASHES = ["given_key", "new_values", "known_key", "is_known", "rows", "position", "a.b", "_key", "_new"]
+
+
+def test_columns_may_have_any_name(spark):
+    names = ", ".join(f"`{name}` int" for name in CLASHES)
+    target = spark.createDataFrame([(1, *range(9)), (2, *range(9))], f"id long, {names}")
+    source = spark.createDataFrame([(2, 70, 71), (3, 72, 73)], "ID long, `A.B` int, Known_Key int")
+    merged = sorted(rows(tb.upsert_by_key(target, source, "Id")), key=str)
+    assert merged == [(1, *range(9)), (2, 0, 1, 71, 3, 4, 5, 70, 7, 8), (3, None, None, 73, None, None, None, 72, None, None)]
+    changed = sorted(rows(tb.update_by_key(target, source, "id")))
+    assert changed == [(1, *range(9)), (2, 0, 1, 71, 3, 4, 5, 70, 7, 8)]
+    newest = tb.latest_record(target, "position", tie_break="id", key="rows")
+    assert newest.columns == target.columns and rows(newest) == [(2, *range(9))]
+
+
+def test_names_are_matched_as_the_session_does(spark, target):
+    source = spark.createDataFrame([(2, "c")], "id long, TEXT string")
+    assert {row.text for row in tb.upsert_by_key(target, source, "id").where("id = 2").collect()} == {"c"}
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(ValueError, match="no column TEXT"):
+            tb.upsert_by_key(target, source, "id")
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")

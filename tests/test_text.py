@@ -5,7 +5,11 @@ from __future__ import annotations
 import json
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from frames import rows
+from tidemark.functions import text
 from tidemark.functions.text import WHITESPACE
 from tidemark.operators.text import clean_text, extract_facts
 
@@ -191,3 +195,35 @@ def test_hostile_texts_stay_linear(spark):
     ]
     assert cleaned(spark, *values) == [plain_clean(value) for value in values]
     assert facts_of(spark, *values) == ["{}"] * len(values)
+
+
+FRACTIONS = {
+    0.0: "0", -0.0: "0", 1.0: "1", -1.0: "-1", 0.0004: "0.0004", 1e-7: "0.0000001", -2.5e-9: "-0.0000000025", 1e-21: "0." + "0" * 20 + "1",
+    1e19: "1" + "0" * 19, 1.5e19: "15" + "0" * 18, 1234567.5: "1234567.5", 12345678.25: "12345678.25", 1.0e7: "10000000", 123456789.0: "123456789",
+    1.7976931348623157e308: "17976931348623157" + "0" * 292, 5e-324: "0." + "0" * 323 + "49", 0.1: "0.1", 100.0: "100", 0.75: "0.75",
+    float("nan"): None, float("inf"): None, float("-inf"): None,
+}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_plain_decimals_of_any_size(spark, ansi):
+    kept = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        table = spark.createDataFrame([(x,) for x in [*FRACTIONS, None]], "x double")
+        found = [row[0] for row in table.select(text.plain_decimal(F.col("x"))).collect()]
+        assert found == [*FRACTIONS.values(), None]
+        assert all(float(f) == x for f, x in zip(found, FRACTIONS) if f is not None)
+        narrow = spark.createDataFrame([(0.25,), (1e10,)], "x float").select(text.plain_decimal(F.col("x")))
+        assert [row[0] for row in narrow.collect()] == ["0.25", "10000000000"]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", kept)
+
+
+def test_fact_columns_do_not_clash(spark):
+    table = spark.createDataFrame([('facts_json: {"a.b": "x", "current_mau": 1.50}', 1, 2, 3)], "text string, block int, facts int, fields int")
+    found = extract_facts(table, fields={"a.b": "string", "current_mau": "string"})
+    assert found.columns == ["text", "block", "facts", "fields", "facts_json", "facts_state", "a.b", "current_mau"]
+    assert tuple(found.collect()[0])[1:] == (1, 2, 3, '{"a.b": "x", "current_mau": 1.50}', "read", "x", "1.5")
+    with pytest.raises(ValueError, match="current_mau already"):
+        extract_facts(table.withColumn("Current_MAU", F.lit(1)))

@@ -109,16 +109,17 @@ def _when_step(step: str, value: Column) -> Column:
     return F.when(F.col("event_type") == step, value)
 
 
-def registration_funnel_unordered(users: DataFrame, events: DataFrame, as_of: date) -> DataFrame:
+def registration_funnel_unordered(users: DataFrame, events: DataFrame, as_of: date, drop_others: bool = True) -> DataFrame:
     """Registered users, and those of them with each kind of event on or after the signup day.
 
     A user has such an event exactly when the last day with one is not before the signup day, so
-    events shrink to one row per user before they meet the users, however busy one user is.
+    events shrink to one row per user before they meet the users, however busy one user is. Tables
+    stored by user (`sources.by_user`) are not shuffled, so others' events need not be dropped first.
     """
     registrants = _registrants(users, as_of)
     registered = registrants.groupBy("user_id").agg(F.min(day_of(users)).alias("signup_day"))
     last_days = (
-        _of_registrants(_step_events(events, as_of), registrants)
+        _relevant(events, registrants, as_of, drop_others)
         .groupBy("user_id")
         .agg(*[F.max(_when_step(step, day_of(events))).alias(step) for step in STEPS])
     )
@@ -130,14 +131,19 @@ def registration_funnel_unordered(users: DataFrame, events: DataFrame, as_of: da
     return _as_steps(counts, names, "users").select("step", "step_name", "users")
 
 
-def _first_events(users: DataFrame, events: DataFrame, as_of: date, how: str) -> DataFrame:
+def _relevant(events: DataFrame, registrants: DataFrame, as_of: date, drop_others: bool) -> DataFrame:
+    steps = _step_events(events, as_of)
+    return _of_registrants(steps, registrants) if drop_others else steps
+
+
+def _first_events(users: DataFrame, events: DataFrame, as_of: date, how: str, drop_others: bool) -> DataFrame:
     """Per registrant, the first event of each kind on or after the signup day.
 
     Events shrink to one row per user and day first, so the join sees at most 61 rows of any user.
     """
     signed_up = _registrants(users, as_of)
     daily = (
-        _of_registrants(_step_events(events, as_of), signed_up)
+        _relevant(events, signed_up, as_of, drop_others)
         .groupBy("user_id", day_of(events).alias("day"))
         .agg(*[F.min(_when_step(step, F.col("created_at"))).alias(step) for step in STEPS])
     )
@@ -153,12 +159,12 @@ def _first_events(users: DataFrame, events: DataFrame, as_of: date, how: str) ->
     )
 
 
-def first_event_pivot(users: DataFrame, events: DataFrame, as_of: date) -> DataFrame:
+def first_event_pivot(users: DataFrame, events: DataFrame, as_of: date, drop_others: bool = True) -> DataFrame:
     """One row per registered user with any funnel event: the first time of each kind."""
-    return _first_events(users, events, as_of, "inner")
+    return _first_events(users, events, as_of, "inner", drop_others)
 
 
-def registration_funnel_ordered(users: DataFrame, events: DataFrame, as_of: date) -> DataFrame:
+def registration_funnel_ordered(users: DataFrame, events: DataFrame, as_of: date, drop_others: bool = True) -> DataFrame:
     """Registered users whose first events came in the order product, cart, purchase.
 
     Users without any funnel event count as registered only; when no user has one, the later steps
@@ -168,7 +174,7 @@ def registration_funnel_ordered(users: DataFrame, events: DataFrame, as_of: date
     any_event = F.coalesce(product, cart, purchase).isNotNull()
     then_cart = F.coalesce(cart >= product, F.lit(False))
     then_purchase = then_cart & F.coalesce(purchase >= cart, F.lit(False))
-    counts = _first_events(users, events, as_of, "left").agg(
+    counts = _first_events(users, events, as_of, "left", drop_others).agg(
         F.count("*").alias("s1"),
         *[
             F.sum(F.when(any_event, reached.cast("int"))).alias(f"s{n}")

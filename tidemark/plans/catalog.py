@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import events as ev
-from tidemark.operators import funnels, quality, reporting, tables, text, users
+from tidemark.operators import funnels, quality, reporting, tables, text, user_sets, users
 from tidemark.plans import summaries
 from tidemark.schemas import SUMMARIES, conform
 from tidemark.session import configure
@@ -157,6 +157,12 @@ def headline_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The same figures from sets of users, as an incremental refresh keeps them by day.
+def retention_from_sets(tables: Inputs) -> DataFrame:
+    signed, seen = user_sets.signup_sets(tables.customers), user_sets.user_sets(tables.orders)
+    return user_sets.retention_cohorts(signed, seen, COHORT_DAY)
+
+
 QUERIES: dict[str, Query] = {
     "data_end_date": _mart("data_end_date"),
     "mau_monthly": _mart("mau"),
@@ -205,6 +211,9 @@ QUERIES: dict[str, Query] = {
     ),
     "dq_mart_profile": lambda spark, folder: quality.dq_mart_profile(marts(spark, folder)),
     "headline_facts": headline_facts,
+    "mau_monthly_from_sets": _on(lambda t: user_sets.mau_monthly(user_sets.user_sets(t.orders), ORDERS_DAY)),
+    "active_users_from_sets": _on(lambda t: user_sets.active_users_trailing(user_sets.user_sets(t.web), KPI_DAY)),
+    "retention_from_sets": _on(retention_from_sets),
 }
 
 

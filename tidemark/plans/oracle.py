@@ -461,4 +461,7 @@ ORACLE_SQL: dict[str, str] = {
     "dq_not_null": DQ_NOT_NULL,
     "dq_mart_profile": DQ_MART_PROFILE,
     "headline_facts": HEADLINE_FACTS,
+    "mau_monthly_from_sets": MAU,
+    "active_users_from_sets": ACTIVE_USERS,
+    "retention_from_sets": RETENTION,
 }

@@ -16,8 +16,6 @@ visible with one new version (`sources.versions`); a refresh that dies changes n
 
 from __future__ import annotations
 
-import hashlib
-import re
 from datetime import date
 from typing import NamedTuple
 
@@ -29,11 +27,9 @@ from tidemark.functions.names import COUNTRY_NAMES
 from tidemark.operators import events as ev
 from tidemark.operators import funnels, user_sets, users
 from tidemark.sources import versions
+from tidemark.sources.tables import UNDATED, day_marks, mark_of
 from tidemark.sources.versions import Table, Version
 
-#: The folder of rows without a time.
-UNDATED = "__HIVE_DEFAULT_PARTITION__"
-
 #: State that a raw table's day gives, by raw table.
 BY_DAY = {"events": ["user_days", "session_days", "user_sets"], "users": ["country_days", "signup_sets"]}
 
@@ -46,21 +42,6 @@ class Refresh(NamedTuple):
     months: list[str]
 
 
-def day_marks(table: DataFrame) -> dict[str, str]:
-    """A mark for each stored day that changes with the names of its files. No file is opened."""
-    files: dict[str, list[str]] = {}
-    for file in table.inputFiles():
-        day = re.search(rf"/{DAY_COLUMN}=([^/]+)/", file)
-        if day is None:
-            raise ValueError(f"{file} is not in the folder of a day: store the table by day")
-        files.setdefault(day[1], []).append(file)
-    return {day: _mark(names) for day, names in files.items()}
-
-
-def _mark(parts: list[str]) -> str:
-    return hashlib.md5("\n".join(sorted(parts)).encode()).hexdigest()
-
-
 def _on(days: list[str]) -> Column:
     """Rows of these days; reaches the scan as a filter on folders."""
     dated = F.col(DAY_COLUMN).isin([date.fromisoformat(day) for day in days if day != UNDATED])
@@ -94,7 +75,7 @@ def _months(marks: dict[str, str], before: date) -> dict[str, str]:
     for day, mark in marks.items():
         if day != UNDATED and day < before.isoformat():
             found.setdefault(_month_of(day), []).append(day + mark)
-    return {month: _mark(parts) for month, parts in found.items()}
+    return {month: mark_of(parts) for month, parts in found.items()}
 
 
 def refresh(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +62,25 @@ def replace_days(df: DataFrame, folder: str, name: str, ts_col: str = "created_a
     writer.parquet(f"{folder}/{name}.parquet")
 
 
+#: The folder of rows without a time.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
+
+def mark_of(parts: list[str]) -> str:
+    return hashlib.md5("\n".join(sorted(parts)).encode()).hexdigest()
+
+
+def day_marks(table: DataFrame) -> dict[str, str]:
+    """A mark for each stored day that changes with the names of its files. No file is opened."""
+    files: dict[str, list[str]] = {}
+    for file in table.inputFiles():
+        day = re.search(rf"/{DAY_COLUMN}=([^/]+)/", file)
+        if day is None:
+            raise ValueError(f"{file} is not in the folder of a day: store the table by day")
+        files.setdefault(day[1], []).append(file)
+    return {day: mark_of(names) for day, names in files.items()}
+
+
 def as_of_snapshot(df: DataFrame, as_of: date | None, ts_col: str = "created_at") -> DataFrame:
     """Rows up to and including the `as_of` day, and those without a time; `None` keeps all rows."""
     if as_of is None:
