@@ -106,3 +106,28 @@ def test_an_emptied_table_changes_nothing(monkeypatch):
             patch.setattr(l, "TABLE_WORDS", 5)
             emptied.learn(set(words))
         assert plain.predict(words) == pytest.approx(emptied.predict(words))
+
+
+@pytest.mark.parametrize("ids", ["one", "none", "half", "all"])
+def test_samples_of_texts_whatever_their_ids(spark, ids):
+    """Repeated and missing ids, and copies, keep no text out; at most `rows` different ones of a language."""
+    draw = random.Random(4)
+    texts = [(text(draw, lang, 6), lang) for lang in PARTS for _ in range(1_000)]
+    name = {"one": lambda i: 0, "none": lambda i: None, "half": lambda i: None if i % 2 else i, "all": lambda i: i}[ids]
+    rows = [(name(i), one, lang) for i, (one, lang) in enumerate(texts)]
+    rows += [(name(0), texts[0][0], "en")] * 3_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample, counts = l._sample(docs, "doc_id", "text", "lang", 50)
+    learned = [r for r in rows if r[0] is None or zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert counts == dict(Counter(r[2] for r in learned))
+    found = sample.collect()
+    assert Counter(r.lang for r in found) == {lang: 50 for lang in PARTS}
+    assert len({(r.lang, r.text) for r in found}) == len(found)
+    assert {(r.lang, r.text) for r in found} <= {(r[2], r[1]) for r in learned}
+
+
+def test_every_language_is_learned_from_one_repeated_id(spark):
+    draw = random.Random(6)
+    rows = [(0, text(draw, lang), lang) for lang in PARTS for _ in range(400)]
+    found = l.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PATH)
+    assert Counter(r.lang_pred for r in found.collect()) == {lang: 400 for lang in PARTS}

@@ -6,8 +6,8 @@ segmentations of the product of their pieces, which a forward pass computes for
 score of a text is the sum of its words' logarithms and of the language's share of the training rows.
 
 Piece probabilities come from expectation-maximisation (forward and backward passes) on at most
-`SAMPLE_ROWS` training texts of each language, chosen by a hash of the id; a language is fitted on its own
-in one task, from bounded rows. `lang`, source and doc_id are never inputs of a prediction.
+`SAMPLE_ROWS` training texts of each language, chosen by a hash of the text, copies counting once; a language is fitted on its
+own in one task, from bounded rows. `lang`, source and doc_id are never inputs of a prediction.
 
 A text that is null or has no letter is `und` with score 0; so is every text if nothing was learned. Ties
 go to the language first in order. Every row has its own result, also with a missing or repeated id;
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fold, small, thinned
+from tidemark.llm.shared import fold, small, stage, thinned
 
 SAMPLE_ROWS = 200
 FOLDS, HELD_OUT = 3, 1
@@ -171,18 +171,23 @@ class Scorer:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> tuple[DataFrame, dict[str, int]]:
-    """(lang, text) to learn from, and how many training rows each language has."""
+    """(lang, text) to learn from, at most `rows` different texts of each language, and how many training rows each has.
+
+    Texts are picked by their hash, so that neither repeated or missing ids nor copies keep others out.
+    """
     usable = docs.select(
         F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-    counted = usable.groupBy("lang").agg(F.count("*").alias("documents"))
+    usable = usable.select("lang", "text", F.xxhash64("text").alias("key"))
+    counted = usable.groupBy("lang").agg(F.count("*").alias("documents"), F.approx_count_distinct("key").alias("texts"))
+    counted = stage(counted)
     counts = {row["lang"]: row["documents"] for row in counted.collect()}
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = usable.select("doc_id", "lang").join(small(counted), "lang")
-    ids = ids.where(thinned(F.col("doc_id"), rows, F.col("documents")))
-    picked = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows).select("doc_id", "lang")
-    same = picked.withColumnsRenamed({"doc_id": "picked", "lang": "language"}).distinct()
-    sample = usable.join(F.broadcast(same), usable.doc_id.eqNullSafe(F.col("picked")) & (usable.lang == F.col("language")))
+    near = usable.select("lang", "key").join(small(counted), "lang").where(thinned(F.col("key"), rows, F.col("texts")))
+    order = W.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
+    ranked = near.select("lang", "key").distinct().withColumn("place", F.row_number().over(order))
+    picked = stage(ranked.where(F.col("place") <= rows).select("lang", "key"))
+    # Copies become one row before a language's texts meet.
+    sample = usable.join(small(picked), ["lang", "key"]).groupBy("lang", "key").agg(F.first("text").alias("text"))
     return sample.select("lang", "text"), counts
 
 
