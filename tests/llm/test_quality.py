@@ -82,3 +82,16 @@ def test_patterns_stand_for_their_documents():
     for rows in (5, 40, 1_000):
         wanted = q.quotas(counts, rows)
         assert (wanted <= counts).all() and wanted.sum() <= rows and (rows < len(counts) or (wanted > 0).all())
+
+
+def test_copies_do_not_take_the_places_of_other_texts(spark):
+    """301 texts of a pattern, one of them 60,000 times, beside 5,000 of another: as without the copies."""
+    bad = spark.range(301).selectExpr("1 AS pattern", "xxhash64(id) AS key")
+    good = spark.range(5_000).selectExpr("0 AS pattern", "xxhash64(-id - 1) AS key")
+    copies = spark.range(60_000).selectExpr("1 AS pattern", "xxhash64(0L) AS key")
+    patterns, texts = np.array([0, 1]), np.array([5_000, 301])
+    plain = q.picked_texts(good.union(bad), patterns, texts, 3_000)
+    crowded = q.picked_texts(good.union(bad).union(copies), patterns, texts, 3_000)
+    assert sorted(map(tuple, crowded.collect())) == sorted(map(tuple, plain.collect()))
+    assert crowded.where("pattern = 1").count() == 301
+    assert crowded.where("pattern = 0").count() == q.quotas(texts, 3_000)[0]

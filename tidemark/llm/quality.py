@@ -233,24 +233,31 @@ def quotas(counts: np.ndarray, rows: int) -> np.ndarray:
     return found
 
 
+def picked_texts(voted: DataFrame, patterns: np.ndarray, texts: np.ndarray, rows: int) -> DataFrame:
+    """pattern, key of the texts to learn from; `texts` says how many different ones a pattern has.
+
+    Copies are one text, in what a pattern gives, in how far it is thinned and where its smallest hashes are picked.
+    """
+    listed = [(p, n, w) for p, n, w in zip(patterns.tolist(), texts.tolist(), quotas(texts, rows).tolist()) if w]
+    quota = voted.sparkSession.createDataFrame(listed, "pattern int, n long, wanted long")
+    near = voted.join(F.broadcast(quota), "pattern").where(thinned(F.col("key"), F.col("wanted"), F.col("n")))
+    ranked = near.groupBy("pattern", "key").agg(F.first("wanted").alias("wanted")).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("pattern").orderBy(F.xxhash64("key"), "key"))
+    )
+    return ranked.where(F.col("rank") <= F.col("wanted")).select("pattern", "key")
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
     """The driver gets the counts of the patterns and the features of the bounded sample, nothing else."""
     texts = docs.select(text_of(F.col(text_col)).alias("text"))
     voted = vote_patterns(texts)
-    rows = voted.groupBy("pattern").agg(F.count("*").alias("n")).collect()
+    rows = voted.groupBy("pattern").agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("texts")).collect()
     if not rows:
         return np.zeros(FEATURES), 0.0
-    patterns, counts = (np.array(column, np.int64) for column in zip(*sorted((row["pattern"], row["n"]) for row in rows)))
+    rows.sort(key=lambda row: row["pattern"])
+    patterns, counts, texts_of = (np.array([row[name] for row in rows], np.int64) for name in ("pattern", "n", "texts"))
     posterior, _ = label_model(votes_in(patterns), counts=counts)
-    wanted = quotas(counts, SAMPLE_ROWS)
-    listed = [(p, n, w) for p, n, w in zip(patterns.tolist(), counts.tolist(), wanted.tolist()) if w]
-    quota = docs.sparkSession.createDataFrame(listed, "pattern int, n long, wanted long")
-    # Equal texts are one row before the smallest hashes of a pattern are picked.
-    near = voted.join(F.broadcast(quota), "pattern").where(thinned(F.col("key"), F.col("wanted"), F.col("n")))
-    ranked = near.groupBy("pattern", "key").agg(F.first("wanted").alias("wanted")).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("pattern").orderBy(F.xxhash64("key"), "key"))
-    )
-    picked = ranked.where(F.col("rank") <= F.col("wanted")).select("pattern", "key")
+    picked = picked_texts(voted, patterns, texts_of, SAMPLE_ROWS)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes, seen = Shapes(), set()
