@@ -96,3 +96,34 @@ def test_one_of_each(documents):
 def test_empty_table(documents):
     assert simhash.near_duplicates(documents(), 3, 2).collect() == []
     assert simhash.one_of_each(documents(), 3, 2).collect() == []
+
+
+def _rounds(spark, monkeypatch, links):
+    """Labels, and how many tables were stored on the way."""
+    from tidemark.llm import components
+
+    stored, plain = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda df: stored.append(df) or plain(df))
+    table = spark.createDataFrame(links, "u long, v long").coalesce(1)
+    return {r.node: r.label for r in components.component_labels(table).collect()}, len(stored)
+
+
+@pytest.mark.parametrize("shape", ["ordered", "reversed", "shuffled", "zigzag", "star"])
+def test_rounds_follow_the_logarithm(spark, monkeypatch, shape):
+    n = 1_000
+    nodes = list(range(n))
+    if shape == "reversed":
+        nodes.reverse()
+    elif shape == "shuffled":
+        random.Random(5).shuffle(nodes)
+    elif shape == "zigzag":
+        nodes = [node for pair in zip(range(n // 2), range(n - 1, n // 2 - 1, -1)) for node in pair]
+    links = [(n - 1, node) for node in range(n - 1)] if shape == "star" else list(zip(nodes, nodes[1:]))
+    labels, stored = _rounds(spark, monkeypatch, links)
+    assert set(labels) == set(range(n)) and set(labels.values()) == {0}
+    assert stored <= 40, stored
+
+
+def test_links_with_a_null_end(spark, monkeypatch):
+    assert _rounds(spark, monkeypatch, [(None, 1), (2, None), (None, None), (4, 3), (3, 3)])[0] == {3: 3, 4: 3}
+    assert _rounds(spark, monkeypatch, [])[0] == {}

@@ -12,11 +12,16 @@ def component_labels(links: DataFrame) -> DataFrame:
     """node, label for every node of `links` (u, v): the smallest node it is connected with.
 
     A round gives every node the smallest label among its neighbours, and everyone with the same label
-    the smallest that one of them was given, so whole components merge and the number of rounds follows
-    the logarithm of their size rather than their diameter. What moves between rounds is one row a node
-    and the labels that changed; both sides of every join are stored tables or sums made on the map side,
-    so the nodes of one large component, which share a label, can be split over tasks.
+    the smallest that one of them was given. Labels that sink on to labels which sink themselves are followed
+    to the end by doubling, so a chain merges at once, whatever the order of its nodes: after a round no two
+    of the labels left are neighbours' that could have sunk, and rounds follow the logarithm of a
+    component's size rather than its diameter. What moves between rounds is one row a node and the labels that
+    changed; both sides of every join are stored tables or sums made on the map side, so the nodes of one large
+    component, which share a label, can be split over tasks.
+
+    Links with a null end are left out; no links give no rows.
     """
+    links = links.where(F.col("u").isNotNull() & F.col("v").isNotNull())
     both = stage(links.select("u", "v").union(links.select("v", "u")))
     labels = stage(
         both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("low")).select(
@@ -33,6 +38,16 @@ def component_labels(links: DataFrame) -> DataFrame:
         sunk = stage(met.where("low < label").groupBy("label").agg(F.min("low").alias("lower")))
         if sunk.isEmpty():
             return labels
+        sunk = _ends(sunk)
         labels = stage(
             met.join(sunk, "label", "left").select("node", F.coalesce("lower", "label").alias("label"))
         )
+
+
+def _ends(sunk: DataFrame) -> DataFrame:
+    """label, lower with every `lower` followed until it is no label itself; each step doubles the way."""
+    while True:
+        onward = sunk.select(F.col("label").alias("lower"), F.col("lower").alias("end"))
+        if sunk.join(onward, "lower", "left_semi").isEmpty():
+            return sunk
+        sunk = stage(sunk.join(onward, "lower", "left").select("label", F.coalesce("end", "lower").alias("lower")))
