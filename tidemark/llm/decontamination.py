@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import bucket_of, columns_of, fresh, small, stage, text_of, without
+from tidemark.llm.shared import columns_of, fresh, marks, parted, small, stage, text_of, without
 
 WINDOW = 10
 
@@ -130,8 +130,7 @@ def exact_places(index: DataFrame, plan: DataFrame) -> DataFrame:
     both = stage(_seen(starts.where("start >= 0"), next_plan, _listed(index, next_plan)))
 
     last_plan = plan.where(others).withColumn("wanted", F.count("*").over(W.partitionBy("window")))
-    buckets = F.broadcast(stage(both.select(bucket_of(F.col("row")).alias("bucket")).distinct()))
-    near = index.withColumn("bucket", bucket_of(F.col("row"))).join(buckets, "bucket", "left_semi")
+    near, _ = parted(index, marks(both, F.col("row")), F.col("row"))
     return stage(_seen(both, last_plan, near.where(F.col("term") != LENGTH_TERM)))
 
 

@@ -5,8 +5,8 @@ Texts are compared after every run of ASCII white space has become one space; nu
 1. One pass keeps the length and the hash of the first characters of every text.
 2. Rows whose length, and then whose length and beginning, nobody shares are through.
 3. Only texts of the surviving groups are hashed as a whole. Which groups survive is told to the tasks as
-   bucket numbers, of which there are never more than BUCKETS however large the corpus: a text that only
-   shares its bucket is hashed for nothing, and no text moves to find out whether it survives.
+   marks, one bit for each hash and never more than MARK_BITS however large the corpus: a text that only
+   shares its bit is hashed for nothing, and no text moves to find out whether it survives.
 
 Groups are counted with map-side sums, so a text that makes up a third of all rows arrives as one row per
 task. Null ids come after all others: a group of null ids only has a null `keep_id`. Rows that repeat an
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import ASCII_SPACE, bucket_of, columns_of, fresh, stage, text_of
+from tidemark.llm.shared import ASCII_SPACE, columns_of, fresh, marks, parted, stage, text_of
 
 #: Characters of the beginning that is hashed first.
 BEGINNING = 256
@@ -37,16 +37,16 @@ def _marks(text: Column) -> Column:
     )
 
 
-def _surviving(marks: DataFrame) -> DataFrame:
-    """The buckets of the lengths and beginnings that more than one row has."""
-    lengths = marks.groupBy("length").agg(F.count("*").alias("rows")).where("rows > 1")
-    beginnings = (
-        marks.join(lengths.select("length"), "length", "left_semi")
-        .groupBy("length", "beginning")
-        .agg(F.count("*").alias("rows"))
-        .where("rows > 1")
-    )
-    return stage(beginnings.select(bucket_of(F.col("length"), F.col("beginning")).alias("bucket")).distinct())
+def _surviving(rows: DataFrame) -> DataFrame:
+    """Marks of the lengths and beginnings that more than one row has.
+
+    Lengths are told to the tasks as marks too, so that rows are dealt out by length and beginning at once
+    and a length that a third of all texts have is not one task's.
+    """
+    lengths = rows.groupBy("length").agg(F.count("*").alias("rows")).where("rows > 1")
+    shared, _ = parted(rows, marks(lengths, F.col("length")), F.col("length"))
+    beginnings = shared.groupBy("length", "beginning").agg(F.count("*").alias("rows")).where("rows > 1")
+    return marks(beginnings, F.col("length"), F.col("beginning"))
 
 
 def exact_duplicates(
@@ -58,13 +58,13 @@ def exact_duplicates(
     `digest_all` the texts that nobody shares are hashed too, in one more pass.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), folded(F.col(text_col)).alias("text"))
-    marks = stage(texts.select("doc_id", _marks(F.col("text")).alias("marks")).select("doc_id", "marks.*"))
-    buckets = F.broadcast(_surviving(marks))
+    known = stage(texts.select("doc_id", _marks(F.col("text")).alias("marks")).select("doc_id", "marks.*"))
+    surviving = _surviving(known)
 
     marked = texts.withColumn("marks", _marks(F.col("text")))
-    placed = marked.withColumn("bucket", bucket_of(F.col("marks.length"), F.col("marks.beginning")))
+    several, rest = parted(marked, surviving, F.col("marks.length"), F.col("marks.beginning"))
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
-    members = stage(placed.join(buckets, "bucket", "left_semi").select("doc_id", "marks.length", digest))
+    members = stage(several.select("doc_id", "marks.length", digest))
     # Stored, so that both sides of the join below are dealt out anew and a hot group can be split.
     groups = stage(
         members.groupBy("length", "text_sha256")
@@ -73,11 +73,10 @@ def exact_duplicates(
     )
     found = members.join(groups, ["length", "text_sha256"], "left")
     if digest_all:
-        alone = placed.join(buckets, "bucket", "left_anti").select("doc_id", digest)
+        alone = rest.select("doc_id", digest)
     else:
         missing = F.lit(None).cast("string").alias("text_sha256")
-        lone = marks.withColumn("bucket", bucket_of(F.col("length"), F.col("beginning")))
-        alone = lone.join(buckets, "bucket", "left_anti").select("doc_id", missing)
+        alone = parted(known, surviving, F.col("length"), F.col("beginning"))[1].select("doc_id", missing)
 
     def decided(rows: DataFrame, size: Column, keep_id: Column) -> DataFrame:
         return rows.select(
@@ -102,18 +101,15 @@ def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows outside the surviving groups pass straight through; of the others each task sends one row for
     each different text.
     """
-    text, marks, bucket, digest = (fresh(docs, f"{name}_of_text") for name in ("folded", "marks", "bucket", "digest"))
-    marked = docs.withColumn(text, folded(F.col(text_col))).withColumn(marks, _marks(F.col(text)))
-    placed = marked.withColumn(bucket, bucket_of(F.col(f"{marks}.length"), F.col(f"{marks}.beginning")))
-    buckets = F.broadcast(_surviving(stage(marked.select(f"{marks}.*"))).withColumnRenamed("bucket", bucket))
-
-    alone = placed.join(buckets, bucket, "left_anti").select(*columns_of(docs))
+    text, mark, digest = (fresh(docs, f"{name}_of_text") for name in ("folded", "mark", "digest"))
+    marked = docs.withColumn(text, folded(F.col(text_col))).withColumn(mark, _marks(F.col(text)))
+    surviving = _surviving(stage(marked.select(f"{mark}.*")))
+    several, alone = parted(marked, surviving, F.col(f"{mark}.length"), F.col(f"{mark}.beginning"))
     row = F.struct(*columns_of(docs))
     order = F.struct(F.col(id_col).isNull().alias("missing"), F.col(id_col).alias("id"))
     one = (
-        placed.join(buckets, bucket, "left_semi")
-        .withColumn(digest, F.sha2(F.col(text).cast("binary"), 256))
-        .groupBy(F.col(f"{marks}.length").alias("length_of_group"), digest)
+        several.withColumn(digest, F.sha2(F.col(text).cast("binary"), 256))
+        .groupBy(F.col(f"{mark}.length").alias("length_of_group"), digest)
         .agg(F.min_by(row, order).alias("row_that_stays"))
     )
-    return alone.unionByName(one.select("row_that_stays.*"))
+    return alone.select(*columns_of(docs)).unionByName(one.select("row_that_stays.*"))

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import bucket_of, shared_folder, small, stage, text_of
+from tidemark.llm.shared import marks, parted, shared_folder, small, stage, text_of
 
 #: Compressed bytes after which a task begins another archive.
 ARCHIVE_BYTES = 8 << 20
@@ -210,11 +210,8 @@ def _decided(pages: DataFrame, min_bytes: int) -> DataFrame:
     long_enough = F.octet_length("payload") >= min_bytes
     seen = known.where(long_enough).groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("pages"))
     groups = stage(seen.where("pages > 1").select("key", "first"))
-    buckets = F.broadcast(stage(groups.select(bucket_of(F.col("key")).alias("bucket")).distinct()))
-    placed = known.withColumn("bucket", bucket_of(F.col("key")))
-    alone = placed.join(buckets, "bucket", "left_anti").withColumn("first", F.lit(None).cast("long"))
-    shared = placed.join(buckets, "bucket", "left_semi").join(groups, "key", "left")
-    rows = alone.unionByName(shared)
+    several, lone = parted(known, marks(groups, F.col("key")), F.col("key"))
+    rows = lone.withColumn("first", F.lit(None).cast("long")).unionByName(several.join(groups, "key", "left"))
     revisit = F.col("first").isNotNull() & long_enough & ~F.col("page_id").eqNullSafe(F.col("first"))
     return rows.select(
         "page_id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("first")).alias("refers_to")
