@@ -131,3 +131,21 @@ def test_every_language_is_learned_from_one_repeated_id(spark):
     rows = [(0, text(draw, lang), lang) for lang in PARTS for _ in range(400)]
     found = l.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), PATH)
     assert Counter(r.lang_pred for r in found.collect()) == {lang: 400 for lang in PARTS}
+
+
+def test_long_words_are_segmented_as_a_whole():
+    pieces = sorted({"▁", "a", "b", "ab", "ba", "▁a", "aba", "bb", "abab"})
+    numbers = {piece: i for i, piece in enumerate(pieces)}
+    draw = np.random.default_rng(1)
+    tables = np.vstack([draw.random((len(pieces), 2)), np.zeros((1, 2)), [[0.01, 0.02]]])
+    chance = random.Random(2)
+    for size in (1, 3, 39, 40, 41, 79, 80, 150, 300):
+        word = "".join(chance.choices("abc", k=size))
+        whole = l.Lattice(["▁" + word], numbers, 4).forward(tables)[-1][0]
+        assert l.whole_log(word, numbers, 4, tables) == pytest.approx(np.log(whole)), size
+        scorer = l.Scorer(pieces, ["x", "y"], tables, np.array([0.5, 0.5]))
+        scorer.learn({word})
+        assert scorer.scores[scorer.rows[word]] == pytest.approx(np.log(whole)), size
+    # Far beyond the least number, and long.
+    logs = l.whole_log("c" * 5_000, numbers, 4, tables)
+    assert logs == pytest.approx(np.log(tables[numbers["▁"]]) + 5_000 * np.log([0.01, 0.02]))

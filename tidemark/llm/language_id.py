@@ -39,7 +39,8 @@ ROUNDS = 3
 #: Share of probability that is spread evenly over all pieces.
 SMOOTHING = 1e-3
 
-#: Characters of a word that are segmented at a time; longer words are taken in runs of this length.
+#: Characters up to which words are segmented many at a time. Longer ones are scored one by one over their
+#: whole length; only the fitting takes them in runs of this length.
 RUN = 40
 
 #: Words after which a task's table of scored words is emptied.
@@ -100,6 +101,27 @@ class Lattice:
         return counts
 
 
+def whole_log(word: str, numbers: dict[str, int], longest: int, table: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum over all segmentations of a word of any length, for each language.
+
+    Only the sums that a piece can start from are held, divided by a common scale that is kept apart, so
+    that nothing becomes too small to tell.
+    """
+    marked, other = MARK + word, len(numbers) + 1
+    sums, scale = [np.ones(table.shape[1])], np.zeros(table.shape[1])
+    for end in range(1, len(marked) + 1):
+        total = sums[-1] * table[numbers.get(marked[end - 1], other)]
+        for length in range(2, len(sums) + 1):
+            number = numbers.get(marked[end - length : end])
+            if number is not None:
+                total = total + sums[-length] * table[number]
+        sums = [*sums[1 - longest :], total] if longest > 1 else [total]
+        top = np.maximum(total, 1e-300)
+        if top.min() < 1e-100:
+            sums, scale = [one / top for one in sums], scale + np.log(top)
+    return np.log(np.maximum(sums[-1], 1e-300)) + scale
+
+
 def runs(word: str) -> list[str]:
     marked = MARK + word
     return [marked[i : i + RUN] for i in range(0, len(marked), RUN)]
@@ -150,7 +172,7 @@ class Scorer:
         if len(self.rows) + len(new) > TABLE_WORDS:
             self._clear()
             new = sorted(words)
-        parts = {run for word in new for run in runs(word)}
+        parts = {MARK + word for word in new if len(word) < RUN}
         found: dict[str, np.ndarray] = {}
         for group in by_length(sorted(parts)).values():
             for at in range(0, len(group), 2048):
@@ -160,7 +182,11 @@ class Scorer:
         base = len(self.rows)
         self.rows.update((word, base + i) for i, word in enumerate(new))
         if new:
-            self.scores = np.vstack([self.scores, [sum(found[run] for run in runs(word)) for word in new]])
+            logs = [
+                found[MARK + word] if len(word) < RUN else whole_log(word, self.numbers, self.longest, self.tables)
+                for word in new
+            ]
+            self.scores = np.vstack([self.scores, logs])
 
     def predict(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.languages:
