@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -68,12 +69,54 @@ def test_clean_drops_contaminated_rows_only(spark, documents):
 
 def test_near_places(spark, documents):
     table = spark.createDataFrame([(1, "alpha beta gamma")], "item_id int, text string")
-    texts = ["alpha beta gamma", "alpha x beta x gamma", "gamma beta alpha", "alpha beta", "alpha " + "x " * 9 + "beta gamma"]
-    listed, terms, vocabulary = d.number_windows(d.item_windows(table, 10, "item_id", "text"))
-    index = d.build_index(documents(*enumerate(texts)), vocabulary)
-    near = d.near_places(index, d.ranked(terms, index), slack=4)
-    lengths = index.where("term = -1").select("row", "doc_id")
-    assert {r.doc_id for r in near.join(lengths, "row").collect()} == {0, 1, 2}
+    texts = ["alpha beta gamma", "alpha x beta x gamma", "gamma beta alpha", "alpha beta", "alpha " + "x " * 9 + "beta gamma", "beta gamma"]
+    found = d.contamination(documents(*enumerate(texts)), table, slack=4).collect()
+    assert {r.doc_id for r in found if r.near_items} == {0, 1, 2}
+    assert {r.doc_id for r in found if r.contaminated} == {0}
+
+
+def brute_near(rows, items, size, slack):
+    """All words of a window near their places, counted from the rarest one."""
+    lists = [words_of(text) for _, text in rows]
+    postings = Counter(word for words in lists for word in words)
+    windows = {}
+    for item_id, text in items:
+        words = words_of(text)
+        for i in range(max(1, len(words) - size + 1) if words else 0):
+            windows.setdefault(tuple(words[i : i + size]), set()).add(item_id)
+    found = []
+    for (doc_id, _), words in zip(rows, lists):
+        places, owners = {}, set()
+        for place, word in enumerate(words):
+            places.setdefault(word, []).append(place)
+        for window, ids in windows.items():
+            if all(word in postings for word in window):
+                anchor = min(range(len(window)), key=lambda at: (postings[window[at]], at))
+                for start in (place - anchor for place in places.get(window[anchor], [])):
+                    if all(any(abs(p - start - at) <= slack for p in places.get(word, [])) for at, word in enumerate(window)):
+                        owners |= ids
+        found.append((doc_id, sorted(str(i) for i in owners if i is not None)))
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize(("size", "slack"), [(1, 2), (2, 0), (2, 1), (5, 2), (10, 4)])
+def test_proximity_equals_brute_force(spark, documents, size, slack):
+    draw = random.Random(size)
+
+    def text(n):
+        return " ".join(draw.choice("abcdefghij") for _ in range(draw.randint(0, n)))
+
+    items = [(i % 9, text(16)) for i in range(10)] + [(None, "a b"), (3, None)]
+    rows = [(i % 30, text(30)) for i in range(40)] + [(None, "a b c"), (77, None)]
+    for i, (_, passage) in enumerate(items[:10]):
+        words = passage.split()
+        words.insert(draw.randint(0, len(words)), "z")
+        at = draw.randrange(len(words))
+        words[at : at + 3] = reversed(words[at : at + 3])
+        rows.append((100 + i, " ".join(words)))
+    table = spark.createDataFrame(items, "item_id int, text string")
+    found = d.contamination(documents(*rows), table, window=size, slack=slack).select("doc_id", "near_items").collect()
+    assert sorted(map(tuple, found), key=str) == brute_near(rows, items, size, slack)
 
 
 def test_empty_tables(spark, documents):

@@ -34,6 +34,9 @@ from tidemark.llm.shared import columns_of, fresh, marks, parted, small, stage,
 
 WINDOW = 10
 
+#: Words by which a word of a proximity match may be out of its place.
+SLACK = 4
+
 # ASCII characters that are part of no word once A-Z are in lower case.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -118,45 +121,57 @@ def _listed(index: DataFrame, plan: DataFrame) -> DataFrame:
     return index.join(small(plan.select("term").distinct()), "term", "left_semi")
 
 
-def exact_places(index: DataFrame, plan: DataFrame) -> DataFrame:
-    """window, row, start of every occurrence; stored. `plan` is the result of `ranked`."""
+def _steps(plan: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The plan's rarest terms, those looked up next, and all others, with how many a window has of each."""
     # Windows of one or two words have no second or third term: there the first is looked up again.
     second = (F.col("rank") == 2) | ((F.col("rank") == 1) & (F.col("length") == 1))
     others = (F.col("rank") > 2) | ((F.col("rank") == 1) & (F.col("length") <= 2))
-
     first = plan.where("rank = 1").select("window", "term", "at")
-    starts = index.join(small(first), "term").select("window", "row", (F.col("position") - F.col("at")).alias("start"))
-    next_plan = plan.where(second).withColumn("wanted", F.lit(1).cast("long"))
-    both = stage(_seen(starts.where("start >= 0"), next_plan, _listed(index, next_plan)))
+    last = plan.where(others).withColumn("wanted", F.count("*").over(W.partitionBy("window")))
+    return first, plan.where(second).withColumn("wanted", F.lit(1).cast("long")), last
+
 
-    last_plan = plan.where(others).withColumn("wanted", F.count("*").over(W.partitionBy("window")))
+def _starts(index: DataFrame, first: DataFrame) -> DataFrame:
+    """window, row, start: where a window begins if its rarest term is where it must be."""
+    return index.join(small(first), "term").select("window", "row", (F.col("position") - F.col("at")).alias("start"))
+
+
+def exact_places(index: DataFrame, plan: DataFrame) -> DataFrame:
+    """window, row, start of every occurrence; stored. `plan` is the result of `ranked`."""
+    first, second, last = _steps(plan)
+    both = stage(_seen(_starts(index, first).where("start >= 0"), second, _listed(index, second)))
     near, _ = parted(index, marks(both, F.col("row")), F.col("row"))
-    return stage(_seen(both, last_plan, near.where(F.col("term") != LENGTH_TERM)))
+    return stage(_seen(both, last, near.where(F.col("term") != LENGTH_TERM)))
 
 
-def near_places(index: DataFrame, plan: DataFrame, slack: int, terms: int = 3) -> DataFrame:
-    """window, row, start: where the rarest `terms` terms of a window stand in their order of the window
-    or not, each at most `slack` words away from where the first of them says it should be.
+def _seen_near(places: DataFrame, plan: DataFrame, index: DataFrame, slack: int) -> DataFrame:
+    """The places (window, row, start) at which each term of the plan stands at most `slack` words from where it must.
 
-    Places are dealt out by document and stretch of slack + 1 words, so a term is compared with those
-    in the same and the two adjoining stretches only.
+    Postings are dealt out by document, term and stretch of slack + 1 words, and a term is looked for in its
+    stretch and the two next to it.
     """
-    def shifted(rank: int) -> DataFrame:
-        chosen = plan.where((F.col("rank") == rank) & (F.col("length") >= rank)).select("window", "term", "at")
-        return index.join(small(chosen), "term").select("window", "row", (F.col("position") - F.col("at")).alias("place"))
+    step = slack + 1
+    place = F.floor((F.col("start") + F.col("at")) / step)
+    needed = places.join(small(plan), "window").select(
+        "window", "row", "start", "wanted", "term", "at", F.explode(F.array(place - 1, place, place + 1)).alias("stretch")
+    )
+    posted = index.select("term", "row", "position", F.floor(F.col("position") / step).alias("stretch"))
+    away = F.abs(F.col("position") - F.col("start") - F.col("at"))
+    found = needed.join(posted, ["row", "term", "stretch"]).where(away <= slack)
+    counted = found.groupBy("window", "row", "start", "wanted").agg(F.size(F.collect_set("at")).alias("there"))
+    return counted.where("there = wanted").select("window", "row", "start")
 
-    stretch = F.floor(F.col("place") / (slack + 1))
-    places = shifted(1).withColumnRenamed("place", "start")
-    lengths = small(plan.select("window", "length").distinct())
-    for rank in range(2, terms + 1):
-        spread = places.join(lengths, "window").withColumn("place", F.col("start"))
-        spread = spread.withColumn("stretch", F.explode(F.array(stretch - 1, stretch, stretch + 1)))
-        other = shifted(rank).withColumn("stretch", stretch).withColumnRenamed("place", "other")
-        met = spread.join(other, ["window", "row", "stretch"], "left").where(
-            (F.col("length") < rank) | (F.abs(F.col("other") - F.col("start")) <= slack)
-        )
-        places = met.select("window", "row", "start").distinct()
-    return places
+
+def near_places(index: DataFrame, plan: DataFrame, slack: int) -> DataFrame:
+    """window, row, start of every proximity match; stored.
+
+    Every word of the window stands at most `slack` words away from its place in it, counted from where the rarest
+    term stands. An occurrence is a match too; a start before the first word of the document is negative.
+    """
+    first, second, last = _steps(plan)
+    both = stage(_seen_near(_starts(index, first), second, _listed(index, second), slack))
+    near, _ = parted(index, marks(both, F.col("row")), F.col("row"))
+    return stage(_seen_near(both, last, near.where(F.col("term") != LENGTH_TERM), slack))
 
 
 def covered(places: DataFrame, plan: DataFrame) -> DataFrame:
@@ -208,12 +223,18 @@ def contamination(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    slack: int = SLACK,
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids of the items found), contaminated, row: one per row of `docs`."""
+    """doc_id, n_words, n_hit, items (sorted ids of the items found), contaminated, near_items (those of which a
+    window has a proximity match), row: one per row of `docs`."""
     index, plan, places, listed = _search(docs, items, window, id_col, text_col, item_col, item_text_col)
     hits = covered(places, plan)
-    owners = places.select("row", "window").distinct().join(small(listed), "window")
-    found = owners.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+
+    def owners(at: DataFrame, name: str) -> DataFrame:
+        found = at.select("row", "window").distinct().join(small(listed), "window")
+        return found.groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias(name))
+
+    found = owners(places, "items").join(owners(near_places(index, plan, slack), "near_items"), "row", "full")
     lengths = index.where(F.col("term") == LENGTH_TERM).select("doc_id", "row", F.col("position").cast("long").alias("n_words"))
     return (
         lengths.join(hits, "row", "left")
@@ -224,13 +245,14 @@ def contamination(
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+            F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"),
             "row",
         )
     )
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items."""
     return found.select(
         "doc_id",
         "n_words",
@@ -238,4 +260,5 @@ def digests(found: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"),
     )
