@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from frames import rows
 from tidemark.functions import text
 from tidemark.functions.text import WHITESPACE
-from tidemark.operators.text import clean_text, extract_facts
+from tidemark.operators.text import clean_text, extract_facts, facts_by_path, facts_schema, facts_variant
 
 
 def texts(spark, *values):
@@ -227,3 +227,24 @@ def test_fact_columns_do_not_clash(spark):
     assert tuple(found.collect()[0])[1:] == (1, 2, 3, '{"a.b": "x", "current_mau": 1.50}', "read", "x", "1.5")
     with pytest.raises(ValueError, match="current_mau already"):
         extract_facts(table.withColumn("Current_MAU", F.lit(1)))
+
+
+def test_facts_stored_as_variants(spark, tmp_path):
+    records = [
+        '{"current_mau": 5, "platform_share": "12.5%", "more": {"x": [1, null]}}', '{"current_mau": 0.125}', "{}", '{"current_mau": null}',
+        '{"current_mau": 1, "current_mau": 2}', '{"retention_rate": true, "growth_trend": "a\\"b"}', '{"current_mau": 12345678901234567890}',
+    ]
+    table = spark.createDataFrame([(f"facts_json: {record}",) for record in records] + [("none",), ("facts_json: {,}",), (None,)], "text string")
+    plain = extract_facts(table)
+    facts_variant(extract_facts(table, fields={})).write.parquet(str(tmp_path / "facts"))
+    stored = spark.read.parquet(str(tmp_path / "facts"))
+    assert dict(stored.dtypes)["facts"] == "variant"
+    found = facts_by_path(stored).drop("facts")
+    assert found.columns == plain.columns and sorted(rows(found), key=str) == sorted(rows(plain), key=str)
+    assert {row.facts_json for row in stored.collect()} == {*records, "{}"}
+    (schema,) = rows(facts_schema(stored))
+    assert "current_mau" in schema[0] and "platform_share: STRING" in schema[0]
+    odd = spark.createDataFrame([('{"a.b": 1, "it\'s": 2}',)], "facts_json string")
+    assert rows(facts_by_path(facts_variant(odd), {"a.b": "int", "it's": "int"}).drop("facts", "facts_json")) == [(1, 2)]
+    with pytest.raises(ValueError, match="facts already"):
+        facts_variant(stored)

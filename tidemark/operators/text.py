@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as rules
@@ -50,6 +50,38 @@ def extract_facts(
     )
 
 
+def facts_variant(df: DataFrame, json_col: str = "facts_json", name: str = "facts") -> DataFrame:
+    """Add a fact record's text as a VARIANT, to be stored and read by path without being parsed again.
+
+    The text stays beside it: it alone has numbers as they were written. A record that repeats a field is
+    no VARIANT and NULL.
+    """
+    if spelled(df, name) is not None:
+        raise ValueError(f"the table has a column {name} already")
+    return df.withColumn(name, F.try_parse_json(column(json_col)))
+
+
+def facts_by_path(
+    df: DataFrame, fields: dict[str, str] = FACT_FIELDS, name: str = "facts", json_col: str = "facts_json"
+) -> DataFrame:
+    """Add the fields of stored fact records, as `extract_facts` reads them; records without VARIANT from their text."""
+    taken = [field for field in fields if spelled(df, field) is not None]
+    if taken:
+        raise ValueError(f"the table has a column {', '.join(taken)} already")
+
+    def value(field: str, kind: str) -> Column:
+        text = F.from_json(column(json_col), f"{quoted(field)} {kind}").getField(field)
+        path = "$['" + field.replace("'", "\\'") + "']"
+        return F.when(column(name).isNull(), text).otherwise(F.try_variant_get(column(name), path, kind)).alias(field)
+
+    return df.select(*map(column, df.columns), *[value(field, kind) for field, kind in fields.items()])
+
+
+def facts_schema(df: DataFrame, name: str = "facts") -> DataFrame:
+    """One row: the schema that all stored fact records have in common."""
+    return df.agg(F.schema_of_variant_agg(column(name)).alias("schema"))
+
+
 def clean_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Rewrite the text without fact sections and fenced blocks, with tidy line breaks.
 

@@ -151,6 +151,12 @@ def refresh_summaries(spark: SparkSession, folder: str) -> DataFrame:
     return summaries.refresh_summaries(document_summaries(spark, folder), texts, WEB_DAY, REFRESH_TIME)
 
 
+def facts_by_path(spark: SparkSession, folder: str) -> DataFrame:
+    """`extract_facts` of the same texts by way of a VARIANT column."""
+    stored = text.facts_variant(text.extract_facts(texts_with_tails(spark, folder), fields={}).drop("text"))
+    return text.facts_by_path(stored).drop("facts")
+
+
 def headline_facts(spark: SparkSession, folder: str) -> DataFrame:
     return reporting.headline_facts(
         *marts(spark, folder, ["mau", "platform_share", "kpi_metrics", "retention"]).values()
@@ -200,6 +206,7 @@ QUERIES: dict[str, Query] = {
     "latest_summary": lambda spark, folder: reporting.latest_summary(document_summaries(spark, folder)),
     "refresh_summaries": refresh_summaries,
     "extract_facts": lambda spark, folder: text.extract_facts(texts_with_tails(spark, folder)).drop("text"),
+    "facts_by_path": facts_by_path,
     "clean_text": lambda spark, folder: text.clean_text(texts_with_tails(spark, folder)),
     "mart_rows_json": lambda spark, folder: reporting.mart_rows_json(marts(spark, folder), WEB_DAY),
     "chat_rows_json": lambda spark, folder: reporting.chat_rows_json(

@@ -454,6 +454,7 @@ ORACLE_SQL: dict[str, str] = {
     "latest_summary": LATEST_SUMMARY,
     "refresh_summaries": REFRESH_SUMMARIES,
     "extract_facts": EXTRACT_FACTS,
+    "facts_by_path": EXTRACT_FACTS,
     "clean_text": CLEAN_TEXT,
     "mart_rows_json": MART_ROWS_JSON,
     "chat_rows_json": CHAT_ROWS_JSON,
