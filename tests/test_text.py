@@ -244,7 +244,8 @@ def test_facts_stored_as_variants(spark, tmp_path):
     assert {row.facts_json for row in stored.collect()} == {*records, "{}"}
     (schema,) = rows(facts_schema(stored))
     assert "current_mau" in schema[0] and "platform_share: STRING" in schema[0]
-    odd = spark.createDataFrame([('{"a.b": 1, "it\'s": 2}',)], "facts_json string")
-    assert rows(facts_by_path(facts_variant(odd), {"a.b": "int", "it's": "int"}).drop("facts", "facts_json")) == [(1, 2)]
+    odd = spark.createDataFrame([('{"a.b": 1, "it\'s": 2, "\'x\\"": 3}',)], "facts_json string")
+    names = {"a.b": "int", "it's": "int", "'x\"": "int"}
+    assert rows(facts_by_path(facts_variant(odd), names).drop("facts", "facts_json")) == [(1, 2, 3)]
     with pytest.raises(ValueError, match="facts already"):
         facts_variant(stored)

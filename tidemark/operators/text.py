@@ -71,8 +71,11 @@ def facts_by_path(
 
     def value(field: str, kind: str) -> Column:
         text = F.from_json(column(json_col), f"{quoted(field)} {kind}").getField(field)
-        path = "$['" + field.replace("'", "\\'") + "']"
-        return F.when(column(name).isNull(), text).otherwise(F.try_variant_get(column(name), path, kind)).alias(field)
+        mark = '"' if "'" in field else "'"
+        if mark in field:  # paths cannot say such a name
+            return text.alias(field)
+        read = F.try_variant_get(column(name), f"$[{mark}{field}{mark}]", kind)
+        return F.when(column(name).isNull(), text).otherwise(read).alias(field)
 
     return df.select(*map(column, df.columns), *[value(field, kind) for field, kind in fields.items()])
 
