@@ -99,7 +99,7 @@ def brute_near(rows, items, size, slack):
     return sorted(found, key=str)
 
 
-@pytest.mark.parametrize(("size", "slack"), [(1, 2), (2, 0), (2, 1), (5, 2), (10, 4)])
+@pytest.mark.parametrize(("size", "slack"), [(1, 2), (2, 1), (10, 4)])
 def test_proximity_equals_brute_force(spark, documents, size, slack):
     draw = random.Random(size)
 

