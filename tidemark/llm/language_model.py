@@ -2,6 +2,8 @@
 
 Tokens are ASCII-lower-cased runs of anything but ASCII white space, and one end for each text.
 
+* Ids. Texts are split into words twice: to count them, and to store every text as the ids of its tokens with
+  the words that have none. Runs, training and scores read the ids.
 * Counts. Every task counts the words of its training texts in tables of bounded size; the sums over all
   of them are stored. Neither the words nor their counts ever come together in one place, but for the
   `HOT_WORDS` most frequent ones, which are sent to all tasks.
@@ -17,7 +19,8 @@ Tokens are ASCII-lower-cased runs of anything but ASCII white space, and one end
   normalised by a matrix product over all classes, blocks or words there are; a word that is not frequent
   has its share of the others of its class, with one count added to every word, and one for all never
   seen. It is trained by noise-contrastive estimation on every training token: tasks train on their texts,
-  and the mean of their moves, weighted by how often each row moved, is the start of the next round.
+  and the mean of their moves, weighted by how often each row moved, is the start of the next round. Means
+  are taken of at most GROUP tasks first and then of these means.
 
 Scores of a text need the count of each of its words: frequent words are known to the task, the others
 are joined with the stored counts, by word and then by text. A word of these is never a frequent one and
@@ -55,9 +58,13 @@ WORD_CLASSES, ENDING_CLASSES = 48, 48
 WIDTH, NOISE, BATCH, STEPS, RATE = 24, 64, 1024, 1500, 0.05
 
 #: Words that are normalised together; rounds of the words' training, each on its part of the texts; noise of
-#: each of its batches; tokens taken at a time; rows of a matrix that tasks hand on together. Training draws
-#: every token once, and small inputs several times, until there are STEPS batches.
-BLOCK, ROUNDS, WORD_NOISE, PIECE, ROWS = 256, 2, 32, 1 << 16, 512
+#: each of its batches; tokens taken at a time; rows of a matrix that tasks hand on together; tasks whose
+#: moves are averaged first. Training draws every token once, and small inputs several times, until there are
+#: STEPS batches.
+BLOCK, ROUNDS, WORD_NOISE, PIECE, ROWS, GROUP = 128, 2, 32, 1 << 18, 512, 64
+
+#: Rows of scores that are normalised at a time, so that they stay in a core's cache.
+STRIP = 2048
 
 END = b""  # no word is empty
 LN10 = np.log(10)
@@ -109,6 +116,7 @@ class Words:
         self.classes = self.own + len(self.endings) + 1
         later = [self.by_ending(word) for word in list(self.ids)[self.own :]]
         self.class_of_hot = np.array([*range(self.own), *later], np.int64)
+        self.class_of_symbol = np.concatenate([self.class_of_hot, np.arange(self.classes)])
         self.logs = np.log10(self.counts + 1.0)
 
     def by_ending(self, word: bytes) -> int:
@@ -182,35 +190,94 @@ def class_sizes(counts: DataFrame, words: Broadcast, classes: int) -> np.ndarray
     return sizes
 
 
-def contexts(classes: np.ndarray, start: int) -> np.ndarray:
-    """Two classes before each token of a text, as places in a square table; `start` stands before the text."""
-    padded = np.concatenate([[start, start], classes[:-1]])
-    return padded[:-1] * (start + 1) + padded[1:]
+def two_before(values: np.ndarray, firsts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two values before each token of texts one after the other; `start` stands before every text."""
+    one, two = np.roll(values, 2), np.roll(values, 1)
+    two[firsts] = start
+    one[firsts] = start
+    one[firsts[firsts + 1 < len(values)] + 1] = start
+    return one, two
+
+
+def contexts(classes: np.ndarray, start: int, firsts: np.ndarray | None = None) -> np.ndarray:
+    """Two classes before each token, as places in a square table; one text, unless the texts' firsts are given."""
+    one, two = two_before(classes, np.zeros(1, np.int64) if firsts is None else firsts, start)
+    return one * (start + 1) + two
+
 
+#: Texts as ids: symbols are four bytes a token, rare words those without an id of their own.
+ENCODED = "row long, doc_id long, learnt boolean, symbols binary, rare array<binary>, times array<long>"
+
+
+def encode_documents(docs: DataFrame, words: Broadcast, id_col: str, text_col: str) -> DataFrame:
+    """ENCODED of every row; stored."""
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known(words)
+        get, hot = known.ids.get, len(known.ids)
+        for batch in batches:
+            symbols, rare, times, bounds = [], [], [], [0]
+            for text in batch.column(3).to_pylist():
+                found = tokens(text)
+                numbers = np.array([get(word, -1) for word in found], np.int32)
+                places = np.flatnonzero(numbers < 0)
+                if len(places):
+                    others = [found[i] for i in places.tolist()]
+                    numbers[places] = [hot + known.by_ending(word) for word in others]
+                    counted = Counter(others)
+                    rare.extend(counted.keys())
+                    times.extend(counted.values())
+                symbols.append(numbers.tobytes())
+                bounds.append(len(rare))
+            lists = [
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
+                for values, kind in ((rare, pa.binary()), (times, pa.int64()))
+            ]
+            columns = [*batch.columns[:3], pa.array(symbols, pa.binary()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "learnt", "symbols", "rare", "times"])
 
-def count_runs(texts: DataFrame, words: Broadcast, classes: int) -> DataFrame:
-    """context, class, n: runs of three classes in a table with the one column text."""
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).cast("long").alias("doc_id"),
+        (fold(F.col(id_col), FOLDS) != HELD_OUT).alias("learnt"),
+        F.col(text_col).alias("text"),
+    )
+    return stage(numbered.mapInArrow(encoded, ENCODED), "zstd")
+
+
+def portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list[tuple], np.ndarray, np.ndarray]]:
+    """Other columns of some texts, their symbols (the last column) one after the other, and where each text begins."""
+    held, rows, found = [], [], 0
+    for batch in batches:
+        columns = [column.to_pylist() for column in batch.columns]
+        for *row, symbols in zip(*columns):
+            rows.append(tuple(row))
+            held.append(np.frombuffer(symbols, np.int32))
+            found += len(held[-1])
+            if found > size:
+                yield rows, np.concatenate(held), np.cumsum([0, *map(len, held[:-1])])
+                held, rows, found = [], [], 0
+    if held:
+        yield rows, np.concatenate(held), np.cumsum([0, *map(len, held[:-1])])
+
+
+def count_runs(encoded: DataFrame, words: Broadcast, classes: int) -> DataFrame:
+    """context, class, n: runs of three classes in a table with the one column symbols."""
     side = classes + 1
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = _known(words), np.zeros(side * side * classes, np.int64)
-        for batch in batches:
-            runs = []
-            for text in batch.column(0).to_pylist():
-                _, found = known.classify(tokens(text))
-                runs.append(contexts(found, classes) * classes + found)
-                if sum(map(len, runs)) > 1 << 20:
-                    np.add.at(total, np.concatenate(runs), 1)
-                    runs = []
-            if runs:
-                np.add.at(total, np.concatenate(runs), 1)
+        of_symbol = _known(words).class_of_symbol
+        total = np.zeros(side * side * classes, np.int64)
+        for _, symbols, firsts in portions(batches, 1 << 20):
+            found = of_symbol[symbols]
+            total += np.bincount(contexts(found, classes, firsts) * classes + found, minlength=len(total))
         held = np.flatnonzero(total)
         for at in range(0, len(held), 1 << 16):
             some = held[at : at + (1 << 16)]
             columns = [pa.array(some // classes), pa.array(some % classes), pa.array(total[some])]
             yield pa.RecordBatch.from_arrays(columns, ["context", "class", "n"])
 
-    parts = texts.mapInArrow(counted, "context long, class long, n long")
+    parts = encoded.mapInArrow(counted, "context long, class long, n long")
     return parts.groupBy("context", "class").agg(F.sum("n").alias("n"))
 
 
@@ -297,18 +364,26 @@ class Symbols:
 
 
 def added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows, and the sum of the values of each."""
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    starts = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    return rows[starts], np.add.reduceat(values[order], starts)
+    """Different rows, and the sum of the values of each; rows that come once are not summed."""
+    order = np.argsort(rows)
+    sorted_rows = rows[order]
+    starts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
+    lengths = np.diff(np.append(starts, len(rows)))
+    sums = values.take(order[starts], 0)
+    several = np.flatnonzero(lengths > 1)
+    if len(several):
+        inside = np.repeat(lengths > 1, lengths)
+        begins = np.cumsum(lengths[several]) - lengths[several]
+        sums[several] = np.add.reduceat(values.take(order[inside], 0), begins)
+    return sorted_rows[starts], sums
 
 
 def log_softmax_of(scores: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Log-probability of one column of each row."""
-    scores -= scores.max(1, keepdims=True)
+    """Log-probability of one column of each row; `scores` are overwritten."""
+    if not -60 < scores.min() <= scores.max() < 60:  # else their exponentials are far from the ends of float32
+        scores -= scores.max(1, keepdims=True)
     chosen = scores[np.arange(len(scores)), picked]
-    return chosen - np.log(np.exp(scores, out=scores).sum(1))
+    return chosen - np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
 
 
 class WordNetwork:
@@ -328,22 +403,31 @@ class WordNetwork:
 
     def before(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The two symbols before each token of a text."""
-        start = self.symbols.hot + self.symbols.classes
-        padded = np.concatenate([[start, start], symbols[:-1]])
-        return padded[:-1], padded[1:]
+        return two_before(symbols, np.zeros(1, np.int64), self.symbols.hot + self.symbols.classes)
+
+    def placed(self, symbols: np.ndarray, firsts: np.ndarray, of_symbol: np.ndarray) -> tuple[np.ndarray, ...]:
+        """one, two, context, class and symbol of each token of texts one after the other."""
+        known, classes = self.symbols, of_symbol[symbols]
+        before = two_before(symbols, firsts, known.hot + known.classes)
+        return *before, contexts(classes, known.classes, firsts), classes, symbols
 
     def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """With a last column of ones."""
         before, places = self.weights["before"], self.weights["places"]
         found = np.ones((len(one), WIDTH + 1), np.float32)
-        found[:, :-1] = before[one] @ places[:WIDTH] + before[two] @ places[WIDTH:]
+        found[:, :-1] = np.concatenate([before.take(one, 0), before.take(two, 0)], 1) @ places
         return found
 
     def logs(self, one, two, context, classes, symbols) -> np.ndarray:
         """Natural log-probabilities of classes in their contexts plus those of symbols in their classes."""
         known, after = self.symbols, self.weights["after"]
         hidden = self.hidden(one, two)
-        found = log_softmax_of(hidden @ after[: known.classes].T + self.table[context], classes).astype(np.float64)
+        found, of_classes = np.empty(len(one)), np.ascontiguousarray(after[: known.classes].T)
+        for at in range(0, len(one), STRIP):
+            some = slice(at, at + STRIP)
+            scores = hidden[some] @ of_classes
+            scores += self.table.take(context[some], 0)
+            found[some] = log_softmax_of(scores, classes[some])
         block_logs, row_logs = (np.log(mass).astype(np.float32) for mass in (known.block_mass, known.mass))
         row = known.row[symbols]
         order = np.argsort(row, kind="stable")
@@ -356,10 +440,12 @@ class WordNetwork:
             begin = 0
             for end in ends:
                 low, high = bounds[of_tokens[begin]], bounds[of_tokens[begin] + 1]
-                if high - low > 1:
-                    some = order[begin:end]
-                    scores = hidden[some] @ after[at + low : at + high].T + base[low:high]
-                    found[some] += log_softmax_of(scores, of[begin:end] - low)
+                for first in range(begin, end, STRIP) if high - low > 1 else ():
+                    last = min(end, first + STRIP)
+                    some = order[first:last]
+                    scores = hidden.take(some, 0) @ after[at + low : at + high].T
+                    scores += base[low:high]
+                    found[some] += log_softmax_of(scores, of[first:last] - low)
                 begin = end
         return found
 
@@ -379,7 +465,11 @@ class WordNetwork:
                     wrong = [
                         np.minimum(np.searchsorted(noise, draw.random(WORD_NOISE)), len(noise) - 1) for noise in noises
                     ]
-                    self.step(*(column[mixed[at : at + BATCH]] for column in piece), wrong, usual, moved)
+                    batch = mixed[at : at + BATCH]
+                    outside = known.row[piece[4][batch]] < 0  # classes of one word have neither blocks nor rows
+                    batch = np.concatenate([batch[~outside], batch[outside]])
+                    inside = len(batch) - np.count_nonzero(outside)
+                    self.step(*(column[batch] for column in piece), inside, wrong, usual, moved)
         for number, name in enumerate(begun):
             change = self.weights[name] - begun[name]
             for at in range(0, len(change), ROWS):
@@ -388,87 +478,100 @@ class WordNetwork:
                     yield number, at, times.tobytes(), change[at : at + ROWS].astype(np.float16).tobytes()
         self.weights = begun
 
-    def step(self, one, two, context, classes, symbols, wrong, usual, moved) -> None:
+    def step(self, one, two, context, classes, symbols, inside, wrong, usual, moved) -> None:
+        """One batch, in which the first `inside` tokens have blocks and rows."""
         known, weights = self.symbols, self.weights
-        hidden, after = self.hidden(one, two), weights["after"]
-        row = known.row[symbols]
-        inside = np.flatnonzero(row >= 0)
+        after, places = weights["after"], weights["places"]
+        before = np.concatenate([weights["before"].take(one, 0), weights["before"].take(two, 0)], 1)
+        hidden = np.ones((len(one), WIDTH + 1), np.float32)
+        hidden[:, :-1] = before @ places
         slope = np.zeros_like(hidden)
+        row = known.row[symbols[:inside]]
+        heads = ((0, classes, wrong[0]), (self.at_block, known.block[row], wrong[1]), (self.at_row, row, wrong[2]))
         rows, moves = [], []
-        heads = [(0, slice(None), classes, wrong[0])]
-        if len(inside):
-            heads += [(self.at_block, inside, known.block[row[inside]], wrong[1]), (self.at_row, inside, row[inside], wrong[2])]
-        for at, some, right, noise in heads:
-            here, good, bad = hidden[some], after[at + right], after[at + noise]
-            true, false = (here * good).sum(1), here @ bad.T
+        for at, right, noise in heads:
+            here, good, bad = hidden[: len(right)], after.take(at + right, 0), after.take(at + noise, 0)
+            true, false = np.einsum("ij,ij->i", here, good), here @ bad.T
             if at == 0:  # noise is drawn by how frequent classes are; blocks and words start from just that
                 true += self.table[context, right] - usual[right]
-                false += self.table[context[:, None], noise[None, :]] - usual[noise]
+                false += self.table.take(context[:, None] * known.classes + noise)
+                false -= usual[noise]
             else:
                 true -= np.float32(np.log(WORD_NOISE))
                 false -= np.float32(np.log(WORD_NOISE))
-            true = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-            false = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-            slope[some] += true[:, None] * good + false @ bad
+            true, false = chance(-true)[:, None], chance(false)
+            good *= true
+            good -= false @ bad
+            slope[: len(right)] += good
             rows += [at + right, at + noise]
-            moves += [true[:, None] * here, false.T @ here]
-        slope = slope[:, :-1]
-        places = weights["places"]
+            moves += [true * here, -(false.T @ here)]
+        slope = np.ascontiguousarray(slope[:, :-1])
+        backward = slope @ places.T  # of the word before the last, of the last
         gradients = {
             "after": added(np.concatenate(rows), np.concatenate(moves)),
-            "before": added(np.concatenate([one, two]), np.concatenate([slope @ places[:WIDTH].T, slope @ places[WIDTH:].T])),
-            "places": (np.arange(2 * WIDTH), np.concatenate([weights["before"][one].T @ slope, weights["before"][two].T @ slope])),
+            "before": added(np.concatenate([one, two]), np.concatenate([backward[:, :WIDTH], backward[:, WIDTH:]])),
+            "places": (np.arange(2 * WIDTH), before.T @ slope),
         }
         for name, (changed, move) in gradients.items():
-            self.squares[name][changed] += (move**2).mean(1)
-            weights[name][changed] += RATE * move / np.sqrt(self.squares[name][changed])[:, None]
+            squares = self.squares[name][changed] + np.einsum("ij,ij->i", move, move) / np.float32(move.shape[1])
+            self.squares[name][changed] = squares
+            move *= (np.float32(RATE) / np.sqrt(squares))[:, None]
+            move += weights[name].take(changed, 0)
+            weights[name][changed] = move
             moved[name][changed] += 1
 
 
-def train_words(texts: DataFrame, words: Broadcast, network: WordNetwork, total: int) -> None:
-    """Each round, tasks train on their part of the texts, and the blocks of rows are averaged, each in one task."""
-    session = texts.sparkSession
+def chance(scores: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-score)); `scores` are overwritten."""
+    np.clip(scores, -30, 30, out=scores)
+    np.negative(scores, out=scores)
+    np.exp(scores, out=scores)
+    scores += 1
+    return np.reciprocal(scores, out=scores)
+
+
+def averaged(halves: bool):
+    """Sums up moves, weighted by how often rows moved: (matrix, at, times, moves) to the same, the moves in float32."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], list[np.ndarray]] = {}
+        for batch in batches:
+            for number, at, times, moves in zip(*(column.to_pylist() for column in batch.columns[:4])):
+                often = np.frombuffer(times, np.float32).astype(np.float64)
+                move = np.frombuffer(moves, np.float16 if halves else np.float32).reshape(len(often), -1) * often[:, None]
+                if (number, at) in sums:
+                    sums[number, at][0] += often
+                    sums[number, at][1] += move
+                else:
+                    sums[number, at] = [often, move]
+        for (number, at), (often, move) in sums.items():
+            mean = (move / np.maximum(often, 1)[:, None]).astype(np.float32).tobytes()
+            columns = [[number], [at], [often.astype(np.float32).tobytes()], [mean]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["matrix", "at", "times", "moves"])
+
+    return summed
+
+
+def train_words(encoded: DataFrame, network: WordNetwork, words: Broadcast, total: int) -> None:
+    """Each round, tasks train on their part of the texts (row, symbols); the blocks of rows are averaged in two steps."""
+    session = encoded.sparkSession
     passes = max(1, -(-STEPS * BATCH // max(1, total)))
+    schema = "matrix long, at long, times binary, moves binary"
 
     def rounds(of_round: DataFrame) -> None:
         begun = session.sparkContext.broadcast(network)
 
         def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, model = _known(words), begun.value
-
-            def pieces() -> Iterator[tuple[np.ndarray, ...]]:
-                held, size = [], 0
-                for batch in batches:
-                    for text in batch.column(0).to_pylist():
-                        held.append(placed(tokens(text), known, model))
-                        size += len(held[-1][0])
-                        if size > PIECE:
-                            yield tuple(map(np.concatenate, zip(*held)))
-                            held, size = [], 0
-                if held:
-                    yield tuple(map(np.concatenate, zip(*held)))
-
-            for number, at, times, moves in model.learn(pieces(), passes):
+            model, of_symbol = begun.value, _known(words).class_of_symbol
+            pieces = (model.placed(symbols, firsts, of_symbol) for _, symbols, firsts in portions(batches, PIECE))
+            for number, at, times, moves in model.learn(pieces, passes):
                 columns = [pa.array([number]), pa.array([at]), pa.array([times]), pa.array([moves])]
                 yield pa.RecordBatch.from_arrays(columns, ["matrix", "at", "times", "moves"])
 
-        def averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[tuple[int, int], list[np.ndarray]] = {}
-            for batch in batches:
-                for number, at, times, moves in zip(*(column.to_pylist() for column in batch.columns)):
-                    often = np.frombuffer(times, np.float32).astype(np.float64)
-                    move = np.frombuffer(moves, np.float16).reshape(len(often), -1) * often[:, None]
-                    if (number, at) in sums:
-                        sums[number, at][0] += often
-                        sums[number, at][1] += move
-                    else:
-                        sums[number, at] = [often, move]
-            for (number, at), (often, move) in sums.items():
-                mean = (move / np.maximum(often, 1)[:, None]).astype(np.float32).tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([at]), pa.array([mean])], ["matrix", "at", "moves"])
-
-        parts = of_round.mapInArrow(learned, "matrix long, at long, times binary, moves binary")
-        means = parts.repartition("matrix", "at").mapInArrow(averaged, "matrix long, at long, moves binary").collect()
+        parts = of_round.select("symbols").mapInArrow(learned, schema)
+        group = F.floor(F.spark_partition_id() / GROUP).alias("group")
+        some = parts.select("*", group).repartition("matrix", "at", "group").mapInArrow(averaged(True), schema)
+        means = some.repartition("matrix", "at").mapInArrow(averaged(False), schema).select("matrix", "at", "moves").collect()
         names = list(network.weights)
         for found in means:
             matrix = network.weights[names[found["matrix"]]]
@@ -476,14 +579,13 @@ def train_words(texts: DataFrame, words: Broadcast, network: WordNetwork, total:
             matrix[found["at"] : found["at"] + len(move)] += move
 
     for number in range(ROUNDS):
-        rounds(texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == number))
+        rounds(encoded.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == number))
 
 
 def placed(found: list[bytes], words: Words, network: WordNetwork) -> tuple[np.ndarray, ...]:
     """one, two, context, class and symbol of each token of a text."""
-    numbers, classes = words.classify(found)
-    symbols = network.symbols.of(numbers, classes)
-    return *network.before(symbols), contexts(classes, words.classes), classes, symbols
+    symbols = network.symbols.of(*words.classify(found))
+    return network.placed(symbols, np.zeros(1, np.int64), words.class_of_symbol)
 
 
 @dataclass
@@ -502,27 +604,36 @@ class Model:
         self.spread = np.log10(np.where(own, self.sizes[:, 0] + 1.0, both))
         self.others = np.log10(self.network.symbols.others)
 
-    def log10s(self, found: list[list[bytes]]) -> list[np.ndarray]:
-        """For each text the log-probabilities of its tokens, those of rare words without log10(count + 1)."""
-        texts = [placed(one, self.words, self.network) for one in found]
-        ends, logs, begin = np.cumsum([len(one[0]) for one in texts]), [], 0
-        columns = tuple(map(np.concatenate, zip(*texts))) if texts else ()
-        for begin in range(0, ends[-1] if texts else 0, PIECE):
+    def log10s_of(self, columns: tuple[np.ndarray, ...]) -> np.ndarray:
+        """Log-probabilities of placed tokens, those of rare words without log10(count + 1)."""
+        logs = []
+        for begin in range(0, len(columns[0]), PIECE):
             some = tuple(column[begin : begin + PIECE] for column in columns)
             hot = some[4] < self.network.symbols.hot
             logs.append(self.network.logs(*some) / LN10 - np.where(hot, 0.0, self.others[some[3]]))
-        return np.split(np.concatenate(logs), ends[:-1]) if texts else []
+        return np.concatenate(logs)
+
+    def log10s(self, found: list[list[bytes]]) -> list[np.ndarray]:
+        """For each text, given as its tokens, their log-probabilities as above."""
+        return [self.log10s_of(placed(one, self.words, self.network)) for one in found]
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
     """The model, and the stored counts of all training words."""
+    return trained(docs, id_col, text_col)[:2]
+
+
+def trained(docs: DataFrame, id_col: str, text_col: str) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the stored counts of all training words, and the texts as ids."""
     texts = docs.where(fold(F.col(id_col), FOLDS) != HELD_OUT).select(F.col(text_col).alias("text"))
     counts = count_words(texts)
     total = counts.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     words = know_words(counts)
     shared = docs.sparkSession.sparkContext.broadcast(words)
     sizes = class_sizes(counts, shared, words.classes)
-    runs = count_runs(texts, shared, words.classes).toArrow()  # at most (classes + 1) ** 2 * classes rows
+    encoded = encode_documents(docs, shared, id_col, text_col)
+    learnt = encoded.where("learnt")
+    runs = count_runs(learnt.select("symbols"), shared, words.classes).toArrow()  # at most (classes + 1) ** 2 * classes rows
     network = LogBilinear(words.classes)
     if runs.num_rows:
         order = np.lexsort((runs["class"].to_numpy(), runs["context"].to_numpy()))
@@ -530,71 +641,43 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     table = network.table()
     of_words = WordNetwork(Symbols(words, sizes), table)
     if total["n"]:
-        train_words(texts, shared, of_words, total["n"])
-    return Model(words, table, sizes, total["n"] or 0, total["v"], of_words), counts
+        train_words(learnt.select("row", "symbols"), of_words, shared, total["n"])
+    return Model(words, table, sizes, total["n"] or 0, total["v"], of_words), counts, encoded
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row for each row of `docs`."""
-    model, counts = train(docs, id_col, text_col)
+    model, counts, encoded = trained(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = (
-        "row long, doc_id long, n_tokens long, known long, logs double, model double, word binary, times long"
-    )
-    types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.binary(), pa.int64()]
-    names = [field.split()[0] for field in schema.split(", ")]
-
-    def in_portions(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        held, size = [], 0
-        for batch in batches:
-            for row, doc_id, text in zip(*(column.to_pylist() for column in batch.columns)):
-                held.append((row, doc_id, tokens(text)))
-                size += len(held[-1][2])
-                if size > PIECE:
-                    yield held
-                    held, size = [], 0
-        yield held
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(shared)
-        get = known.words.ids.get
-        for portion in in_portions(batches):
-            columns: list[list] = [[] for _ in names]
-            for (row, doc_id, found), fits in zip(portion, known.log10s([found for _, _, found in portion])):
-                hot = np.array([number for word in found if (number := get(word)) is not None], np.int64)
-                logs = known.words.logs[hot].sum()
-                whole = [doc_id, len(found), len(hot), logs, fits.sum() - logs]
-                rare = Counter(word for word in found if word not in known.words.ids)
-                # A key that no word has, another one for each row.
-                columns[6].append(b" %d" % row)
-                columns[6].extend(rare.keys())
-                columns[7].append(0)
-                columns[7].extend(rare.values())
-                columns[0].extend([row] * (len(rare) + 1))
-                for column, value in zip(columns[1:6], whole):
-                    column.append(value)
-                    column.extend([None] * len(rare))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+        words, of_symbol = known.words, known.words.class_of_symbol
+        counted = np.append(words.logs, np.zeros(words.classes))  # of symbols
+        for rows, symbols, firsts in portions(batches, PIECE):
+            fits = np.add.reduceat(known.log10s_of(known.network.placed(symbols, firsts, of_symbol)), firsts)
+            logs = np.add.reduceat(counted[symbols], firsts)
+            hot = np.add.reduceat((symbols < len(words.ids)).astype(np.int64), firsts)
+            lengths = np.diff(np.append(firsts, len(symbols)))
+            numbers, doc_ids = (pa.array(column, pa.int64()) for column in zip(*rows))
+            columns = [numbers, doc_ids, *map(pa.array, (lengths, hot, logs, fits - logs))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_tokens", "known", "logs", "model"])
+
+    whole = encoded.select("row", "doc_id", "symbols").mapInArrow(
+        scored, "row long, doc_id long, n_tokens long, known long, logs double, model double"
     )
-    parts = numbered.mapInArrow(scored, schema)
-    joined = parts.join(counts, "word", "left")
-    seen = F.col("count").isNotNull()
-    sums = joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("n_tokens").alias("n_tokens"),
-        (F.max("known") + F.sum(F.when(seen, F.col("times")).otherwise(0))).alias("n_known"),
-        (F.max("logs") + F.sum(F.when(seen, F.col("times") * F.log10(F.col("count") + 1)).otherwise(0.0))).alias("logs"),
-        F.max("model").alias("model"),
+    pairs = encoded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("rare"))
+    found = pairs.select("row", "rare.rare", "rare.times").join(counts, F.col("rare") == F.col("word"))
+    rare = found.groupBy("row").agg(
+        F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("count") + 1)).alias("rare_logs")
     )
-    return sums.select(
+    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
+    return whole.join(rare, "row", "left").select(
         "doc_id",
         (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         "n_tokens",
-        "n_known",
+        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.n).cast("long").alias("train_tokens"),
-        (F.col("logs") - F.col("n_tokens") * float(np.log10(model.n + model.v + 1))).alias("base_score"),
-        (F.col("logs") + F.col("model")).alias("score"),
+        (logs - F.col("n_tokens") * float(np.log10(model.n + model.v + 1))).alias("base_score"),
+        (logs + F.col("model")).alias("score"),
     )

@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a table to the shared folder and read it back: it is computed once, its lineage ends there.
 
     Unlike a local checkpoint it outlives the executors that made it. The files stay until the folder
@@ -35,7 +35,7 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
