@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import language_model as m
@@ -131,3 +132,42 @@ def test_words_after_two_words_add_up_to_one(documents, monkeypatch):
         logs = model.network.logs(*columns, classes, model.network.symbols.hot + classes) / m.LN10
         total += (10 ** (logs - model.others[classes])).sum()
         assert total == pytest.approx(1, abs=1e-4)
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_words_of_many_texts_equal_those_of_single_ones(kind):
+    texts = ["  a\x0bB\x1c c\t\n", "", "É a\x85b\xa0C ", None, " \r\x0c", "a", "\x00 x\x00", "İ K"]
+    places, words, bounds = m.words_of(pa.array(texts, kind))
+    found = [[words[i].as_py() for i in places[bounds[n] : bounds[n + 1]]] for n in range(len(texts))]
+    assert found == [tokens(text)[:-1] for text in texts]
+    assert [len(part) for part in m.words_of(pa.array([], kind))] == [0, 0, 1]
+
+
+def test_words_of_a_list_are_classified_like_single_words():
+    draw = random.Random(3)
+    parts = [b"a", b"z", b"9", b".", b",", b"'", b"\x01", b"\x7f", b"\xc3", b"\x00", b"A", b"~"]
+    words = {b"".join(draw.choices(parts, k=draw.randint(0, 22))) for _ in range(5000)} | {b"." * n for n in range(20)}
+    words = [*words]
+    numbers = m.endings_of(pa.array([b"before", *words], pa.binary()).slice(1)).tolist()
+    endings = [m.ending(word) for word in words]
+    assert len(set(numbers)) == len(set(endings)) == len({*zip(numbers, endings)})
+    listed = [*dict.fromkeys(endings)][:30]
+    known = m.Words({word: i for i, word in enumerate(words[:40])}, np.arange(40), 4, {e: 4 + i for i, e in enumerate(listed)})
+    found, classes = known.classify(pa.array(words, pa.binary()))
+    assert found.tolist() == [known.ids.get(word, -1) for word in words]
+    assert classes.tolist() == [known.class_of(word) for word in words]
+
+
+def test_sums_of_rows_and_normalisation_far_from_zero():
+    draw = np.random.default_rng(4)
+    for width in (24, 25):
+        rows, values = draw.integers(0, 300, 1000), draw.normal(size=(1000, width)).astype(np.float32)
+        found, sums = m.added(rows, values)
+        expected = np.zeros((300, width))
+        np.add.at(expected, rows, values)
+        assert found.tolist() == sorted(set(rows.tolist())) and np.abs(sums - expected[found]).max() < 1e-4
+    scores = draw.normal(size=(50, 9)).astype(np.float32)
+    picked = draw.integers(0, 9, 50)
+    plain = m.log_softmax_of(scores.copy(), picked)
+    for by in (-500, 500):
+        assert np.abs(m.log_softmax_of(scores + np.float32(by), picked) - plain).max() < 1e-3

@@ -36,10 +36,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,8 +73,22 @@ LN10 = np.log(10)
 find_ending = re.compile(rb"([^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]{0,2})([\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]?)[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]*\Z")
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().lower().split(), END]
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The words of some texts one after the other, as places in a list of different words, and where each text's begin.
+
+    The bounds have the end of the last text as well.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = pc.list_flatten(split).dictionary_encode()
+    places = flat.indices.to_numpy()
+    lengths = pc.list_value_length(split).to_numpy()
+    bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    nothing = pc.index(flat.dictionary, pa.scalar("", flat.dictionary.type)).as_py()
+    if nothing >= 0:  # white space at the ends of a text leaves an empty string there
+        real = places != nothing
+        bounds = np.concatenate([[0], np.cumsum(real, dtype=np.int64)])[bounds]
+        places = places[real]
+    return places, flat.dictionary.cast(pa.binary()), bounds
 
 
 def ending(word: bytes) -> bytes:
@@ -81,23 +96,52 @@ def ending(word: bytes) -> bytes:
     return found[1] + b" " + found[2] if found else b" "
 
 
+LETTER, SIGN = (
+    np.array([bool(re.match(kind, bytes([byte]))) for byte in range(256)])
+    for kind in (rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", rb"[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]")
+)
+
+
+def endings_of(words: pa.Array) -> np.ndarray:
+    """What `ending` finds, as a number for each word: two letters and a sign, zero for each that is missing."""
+    words = pc.binary_slice(words, -16)
+    bounds = np.frombuffer(words.buffers()[1], np.int32, len(words) + 1, 4 * words.offset).astype(np.int64)
+    held = np.concatenate([np.zeros(2, np.uint8), np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(1, np.uint8)])
+    begins, ends = bounds[:-1] + 2, bounds[1:] + 2  # of words in `held`, in which bytes stand before the first and after the last
+    last, some = ends.copy(), np.arange(len(ends))
+    while len(some := some[(last[some] > begins[some]) & SIGN[held[last[some] - 1]]]):
+        last[some] -= 1
+    sign = np.where(last < ends, held[last], 0).astype(np.int64)
+    one = np.where((last > begins) & LETTER[held[last - 1]], held[last - 1], 0).astype(np.int64)
+    two = np.where((one > 0) & (last - 1 > begins) & LETTER[held[last - 2]], held[last - 2], 0).astype(np.int64)
+    return two << 16 | one << 8 | sign
+
+
 def count_words(texts: DataFrame) -> DataFrame:
     """word, count of a table with the one column text; stored."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
+        held, ends = [], 0
 
-        def handed_on() -> pa.RecordBatch:
-            columns = [pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
+        def handed_on() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held, schema)
+            if len(held) > 1:
+                table = table.group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"])
+            held.clear()
+            return iter(table.rename_columns(["word", "n"]).to_batches())
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(tokens(text))
-                if len(counts) > TABLE_WORDS:
-                    yield handed_on()
-        yield handed_on()
+            places, words, _ = words_of(batch.column(0))
+            times = np.bincount(places, minlength=len(words))
+            ends += len(batch)
+            some = np.flatnonzero(times)
+            held.append(pa.RecordBatch.from_arrays([words.take(pa.array(some)), pa.array(times[some])], schema=schema))
+            if sum(map(len, held)) > TABLE_WORDS:
+                yield from handed_on()
+        if ends:
+            held.append(pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends])], schema=schema))
+        yield from handed_on()
 
     parts = texts.mapInArrow(counted, "word binary, n long")
     return stage(parts.groupBy("word").agg(F.sum("n").alias("count")))
@@ -126,13 +170,26 @@ class Words:
         number = self.ids.get(word)
         return self.by_ending(word) if number is None else int(self.class_of_hot[number])
 
-    def classify(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    @cached_property
+    def lists(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The frequent words; the endings with a class of their own as numbers in order, and their classes."""
+        # A word made of an ending's letters and sign has that ending.
+        numbers = endings_of(pa.array([letters + sign for letters, sign in (e.rsplit(b" ", 1) for e in self.endings)], pa.binary()))
+        order = np.argsort(numbers)
+        return pa.array(list(self.ids), pa.binary()), numbers[order], np.array(list(self.endings.values()), np.int64)[order]
+
+    def classify(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words, -1 for those that are not frequent, and classes."""
-        get = self.ids.get
-        numbers = np.array([get(word, -1) for word in words], np.int64)
-        classes = self.class_of_hot[numbers] if len(self.ids) else np.zeros(len(words), np.int64)
+        hot, endings, of_endings = self.lists
+        numbers = pc.fill_null(pc.index_in(words, hot), -1).to_numpy().astype(np.int64)
+        classes = self.class_of_hot[numbers] if len(hot) else np.zeros(len(words), np.int64)
         rare = np.flatnonzero(numbers < 0)
-        classes[rare] = [self.by_ending(words[i]) for i in rare.tolist()]
+        found = endings_of(words.take(pa.array(rare)))
+        classes[rare] = self.classes - 1
+        if len(endings):
+            at = np.minimum(np.searchsorted(endings, found), len(endings) - 1)
+            known = endings[at] == found
+            classes[rare[known]] = of_endings[at[known]]
         return numbers, classes
 
 
@@ -152,10 +209,10 @@ def know_words(counts: DataFrame) -> Words:
         if found > HOT_WORDS:
             break
         least = row["least"]
-    frequent = words.where(F.col("count") >= least).collect() if least is not None else []
-    listed = sorted(frequent, key=lambda row: (-row["count"], bytes(row["word"])))
+    frequent = words.where(F.col("count") >= least).select("word", "count").toArrow() if least is not None else None
+    listed = zip(*(column.to_pylist() for column in frequent.columns)) if frequent else []
     ends = [row["count"] for row in counts.where(F.octet_length("word") == 0).collect()]
-    found = [(END, count) for count in ends] + [(bytes(row["word"]), row["count"]) for row in listed]
+    found = [(END, count) for count in ends] + sorted(listed, key=lambda pair: (-pair[1], pair[0]))
     own = min(len(found), WORD_CLASSES)
     endings: Counter[bytes] = Counter()
     for word, count in found[own:]:
@@ -176,7 +233,7 @@ def class_sizes(counts: DataFrame, words: Broadcast, classes: int) -> np.ndarray
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, total = _known(words), np.zeros((classes, 2), np.int64)
         for batch in batches:
-            _, found = known.classify(batch.column(0).to_pylist())
+            _, found = known.classify(batch.column(0))
             n = batch.column(1).to_numpy()
             total[:, 0] += np.bincount(found, n, classes).astype(np.int64)
             total[:, 1] += np.bincount(found, minlength=classes)
@@ -214,27 +271,26 @@ def encode_documents(docs: DataFrame, words: Broadcast, id_col: str, text_col: s
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known(words)
-        get, hot = known.ids.get, len(known.ids)
+        hot = len(known.ids)
+        end = known.ids.get(END, hot + known.by_ending(END))
         for batch in batches:
-            symbols, rare, times, bounds = [], [], [], [0]
-            for text in batch.column(3).to_pylist():
-                found = tokens(text)
-                numbers = np.array([get(word, -1) for word in found], np.int32)
-                places = np.flatnonzero(numbers < 0)
-                if len(places):
-                    others = [found[i] for i in places.tolist()]
-                    numbers[places] = [hot + known.by_ending(word) for word in others]
-                    counted = Counter(others)
-                    rare.extend(counted.keys())
-                    times.extend(counted.values())
-                symbols.append(numbers.tobytes())
-                bounds.append(len(rare))
-            lists = [
-                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
-                for values, kind in ((rare, pa.binary()), (times, pa.int64()))
-            ]
-            columns = [*batch.columns[:3], pa.array(symbols, pa.binary()), *lists]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "learnt", "symbols", "rare", "times"])
+            places, different, bounds = words_of(batch.column(3))
+            numbers, classes = known.classify(different)
+            symbol_of = np.where(numbers < 0, hot + classes, numbers).astype(np.int32)
+            # An end after each text's last word.
+            symbols = np.insert(symbol_of[places], bounds[1:], np.int32(end))
+            bytes_at = pa.py_buffer((4 * (bounds + np.arange(len(bounds)))).astype(np.int32))
+            # The rare words of each text, and how often it has them.
+            at = np.flatnonzero(numbers[places] < 0)
+            row = np.searchsorted(bounds, at, side="right") - 1
+            pairs, times = np.unique(row * len(different) + places[at], return_counts=True)
+            rows, rare = np.divmod(pairs, max(1, len(different)))
+            ends = pa.array(np.searchsorted(rows, np.arange(len(bounds))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, values) for values in (different.take(pa.array(rare)), pa.array(times))]
+            stored = pa.Array.from_buffers(pa.binary(), len(batch), [None, bytes_at, pa.py_buffer(symbols)])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], stored, *lists], ["row", "doc_id", "learnt", "symbols", "rare", "times"]
+            )
 
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
@@ -334,6 +390,16 @@ class LogBilinear:
         return ((scores - top - np.log(np.exp(scores - top).sum(1, keepdims=True))) / LN10).astype(np.float32)
 
 
+def class_table(counted: DataFrame, classes: int) -> np.ndarray:
+    """Log-probabilities of classes in their contexts, of a network fitted to the counted runs."""
+    runs = counted.toArrow()  # at most (classes + 1) ** 2 * classes rows
+    network = LogBilinear(classes)
+    if runs.num_rows:
+        order = np.lexsort((runs["class"].to_numpy(), runs["context"].to_numpy()))
+        network.fit(*(runs[name].to_numpy()[order] for name in ("context", "class", "n")))
+    return network.table()
+
+
 class Symbols:
     """Frequent words, and for each class its other words as one: by class, in blocks of at most BLOCK.
 
@@ -350,7 +416,7 @@ class Symbols:
         order = blocked[np.lexsort((-mass[blocked], of_class[blocked]))]
         first = np.searchsorted(of_class[order], of_class[order])
         starts = (np.arange(len(order)) - first) % BLOCK == 0
-        self.row = np.full(len(mass), -1)
+        self.row = len(order) + of_class  # of symbols without a row: after all rows, by class
         self.row[order] = np.arange(len(order))
         self.block = np.cumsum(starts) - 1  # of a row
         self.rows = np.append(np.flatnonzero(starts), len(order))  # bounds of the blocks
@@ -365,25 +431,32 @@ class Symbols:
 
 def added(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different rows, and the sum of the values of each; rows that come once are not summed."""
-    order = np.argsort(rows)
-    sorted_rows = rows[order]
-    starts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
-    lengths = np.diff(np.append(starts, len(rows)))
+    bits = len(rows).bit_length()
+    keys = rows << bits | np.arange(len(rows))
+    keys.sort()
+    sorted_rows, order = keys >> bits, keys & ((1 << bits) - 1)
+    first = np.append(True, sorted_rows[1:] != sorted_rows[:-1])
+    starts = np.flatnonzero(first)
     sums = values.take(order[starts], 0)
-    several = np.flatnonzero(lengths > 1)
-    if len(several):
-        inside = np.repeat(lengths > 1, lengths)
-        begins = np.cumsum(lengths[several]) - lengths[several]
-        sums[several] = np.add.reduceat(values.take(order[inside], 0), begins)
+    inside = ~(first & np.append(first[1:], True))
+    if inside.any():
+        summed = values.take(order[inside], 0)
+        if not summed.shape[1] % 2:
+            summed = summed.view(np.complex64)  # two columns are added at a time
+        sums[inside[starts]] = np.add.reduceat(summed, np.flatnonzero(first[inside])).view(np.float32)
     return sorted_rows[starts], sums
 
 
 def log_softmax_of(scores: np.ndarray, picked: np.ndarray) -> np.ndarray:
-    """Log-probability of one column of each row; `scores` are overwritten."""
-    if not -60 < scores.min() <= scores.max() < 60:  # else their exponentials are far from the ends of float32
-        scores -= scores.max(1, keepdims=True)
+    """Log-probability of one column of each row."""
     chosen = scores[np.arange(len(scores)), picked]
-    return chosen - np.log(np.exp(scores, out=scores) @ np.ones(scores.shape[1], np.float32))
+    with np.errstate(over="ignore"):
+        total = np.exp(scores) @ np.ones(scores.shape[1], np.float32)
+    if not 1e-25 < total.min() <= total.max() < 1e25:  # else the sum is far from the ends of float32
+        top = scores.max(1, keepdims=True)
+        total = np.exp(scores - top) @ np.ones(scores.shape[1], np.float32)
+        chosen -= top[:, 0]
+    return chosen - np.log(total)
 
 
 class WordNetwork:
@@ -419,35 +492,38 @@ class WordNetwork:
         return found
 
     def logs(self, one, two, context, classes, symbols) -> np.ndarray:
-        """Natural log-probabilities of classes in their contexts plus those of symbols in their classes."""
-        known, after = self.symbols, self.weights["after"]
-        hidden = self.hidden(one, two)
-        found, of_classes = np.empty(len(one)), np.ascontiguousarray(after[: known.classes].T)
+        """Natural log-probabilities of classes in their contexts plus those of symbols in their classes.
+
+        Tokens are taken by symbol, so that those of a class and of a block come one after the other.
+        """
+        known, after = self.symbols, self.weights["after"].copy()
+        after[self.at_block : self.at_row, -1] += np.log(known.block_mass)
+        after[self.at_row :, -1] += np.log(known.mass)
+        row = known.row[symbols]
+        order = np.argsort(row)
+        one, two, context, classes, row = (values[order] for values in (one, two, context, classes, row))
+        hidden, found = np.empty((len(one), WIDTH + 1), np.float32), np.empty(len(one), np.float32)
         for at in range(0, len(one), STRIP):
             some = slice(at, at + STRIP)
-            scores = hidden[some] @ of_classes
+            hidden[some] = self.hidden(one[some], two[some])
+            scores = hidden[some] @ after[: known.classes].T
             scores += self.table.take(context[some], 0)
             found[some] = log_softmax_of(scores, classes[some])
-        block_logs, row_logs = (np.log(mass).astype(np.float32) for mass in (known.block_mass, known.mass))
-        row = known.row[symbols]
-        order = np.argsort(row, kind="stable")
-        order = order[np.searchsorted(row[order], 0) :]
-        for of_tokens, bounds, base, at, of in (
-            (classes[order], known.blocks, block_logs, self.at_block, known.block[row[order]]),
-            (known.block[row[order]], known.rows, row_logs, self.at_row, row[order]),
-        ):
-            ends = np.flatnonzero(np.append(of_tokens[1:] != of_tokens[:-1], True)) + 1 if len(order) else []
+        inside = np.searchsorted(row, len(known.mass))  # classes of one word have neither blocks nor rows
+        classes, row = classes[:inside], row[:inside]
+        block = known.block[row]
+        for of_tokens, bounds, at, of in ((classes, known.blocks, self.at_block, block), (block, known.rows, self.at_row, row)):
+            ends = np.flatnonzero(np.append(of_tokens[1:] != of_tokens[:-1], True)) + 1 if inside else []
             begin = 0
             for end in ends:
                 low, high = bounds[of_tokens[begin]], bounds[of_tokens[begin] + 1]
                 for first in range(begin, end, STRIP) if high - low > 1 else ():
-                    last = min(end, first + STRIP)
-                    some = order[first:last]
-                    scores = hidden.take(some, 0) @ after[at + low : at + high].T
-                    scores += base[low:high]
-                    found[some] += log_softmax_of(scores, of[first:last] - low)
+                    some = slice(first, min(end, first + STRIP))
+                    found[some] += log_softmax_of(hidden[some] @ after[at + low : at + high].T, of[some] - low)
                 begin = end
-        return found
+        logs = np.empty(len(one))
+        logs[order] = found
+        return logs
 
     def learn(self, pieces: Iterator[tuple[np.ndarray, ...]], passes: int, seed: int = 7) -> Iterator[tuple[int, int, bytes, bytes]]:
         """Train on (one, two, context, class, symbol) of tokens; matrix, first row, how often rows moved, moves."""
@@ -456,20 +532,31 @@ class WordNetwork:
         self.weights = {name: matrix.copy() for name, matrix in begun.items()}
         self.squares = {name: np.full(len(matrix), 0.1, np.float32) for name, matrix in begun.items()}
         moved = {name: np.zeros(len(matrix), np.float32) for name, matrix in begun.items()}
-        noises = [np.cumsum(mass / mass.sum()) for mass in (known.class_mass, known.block_mass, known.mass)]
-        usual = np.log(WORD_NOISE * known.class_mass / known.class_mass.sum()).astype(np.float32)
-        for piece in pieces:
+        heads = (0, known.class_mass), (self.at_block, known.block_mass), (self.at_row, known.mass)
+        noises = [(at, np.cumsum(mass / mass.sum())) for at, mass in heads]
+        usual = np.full(len(begun["after"]), np.log(WORD_NOISE), np.float32)
+        usual[: known.classes] += np.log(known.class_mass / known.class_mass.sum())
+        for one, two, context, classes, symbols in pieces:
+            rows_of = known.row[symbols]
             for _ in range(passes):
-                mixed = draw.permutation(len(piece[0]))
-                for at in range(0, len(mixed), BATCH):
-                    wrong = [
-                        np.minimum(np.searchsorted(noise, draw.random(WORD_NOISE)), len(noise) - 1) for noise in noises
-                    ]
-                    batch = mixed[at : at + BATCH]
-                    outside = known.row[piece[4][batch]] < 0  # classes of one word have neither blocks nor rows
-                    batch = np.concatenate([batch[~outside], batch[outside]])
-                    inside = len(batch) - np.count_nonzero(outside)
-                    self.step(*(column[batch] for column in piece), inside, wrong, usual, moved)
+                mixed = draw.permutation(len(symbols))
+                drawn = draw.random((-(-len(mixed) // BATCH), len(noises), WORD_NOISE))
+                wrong = np.empty(drawn.shape, np.int64)
+                for number, (at, noise) in enumerate(noises):
+                    wrong[:, number] = at + np.minimum(np.searchsorted(noise, drawn[:, number]), len(noise) - 1)
+                moves_of: dict[str, list[np.ndarray]] = {name: [] for name in begun}
+                for number, noise in enumerate(wrong):
+                    batch = mixed[number * BATCH : (number + 1) * BATCH]
+                    outside = rows_of[batch] >= len(known.mass)  # classes of one word have neither blocks nor rows
+                    inside = batch[~outside]
+                    batch = np.concatenate([inside, batch[outside]])
+                    row = rows_of[inside]
+                    right = np.concatenate([classes[batch], self.at_block + known.block[row], self.at_row + row])
+                    changed = self.step(one[batch], two[batch], context[batch], right, noise.ravel(), usual)
+                    for name, rows in changed.items():
+                        moves_of[name].append(rows)
+                for name, rows in moves_of.items():
+                    moved[name] += np.bincount(np.concatenate(rows), minlength=len(moved[name]))
         for number, name in enumerate(begun):
             change = self.weights[name] - begun[name]
             for at in range(0, len(change), ROWS):
@@ -478,54 +565,61 @@ class WordNetwork:
                     yield number, at, times.tobytes(), change[at : at + ROWS].astype(np.float16).tobytes()
         self.weights = begun
 
-    def step(self, one, two, context, classes, symbols, inside, wrong, usual, moved) -> None:
-        """One batch, in which the first `inside` tokens have blocks and rows."""
-        known, weights = self.symbols, self.weights
-        after, places = weights["after"], weights["places"]
-        before = np.concatenate([weights["before"].take(one, 0), weights["before"].take(two, 0)], 1)
-        hidden = np.ones((len(one), WIDTH + 1), np.float32)
+    def step(self, one, two, context, right, wrong, usual) -> dict[str, np.ndarray]:
+        """Rows that one batch moves: the rows that are right, of all classes, then of the first tokens' blocks and words; noise of each."""
+        weights, after, places = self.weights, self.weights["after"], self.weights["places"]
+        size, inside = len(one), (len(right) - len(one)) // 2
+        heads = (slice(size), slice(size)), (slice(inside), slice(size, size + inside)), (slice(inside), slice(size + inside, None))
+        both = np.stack([one, two], 1).ravel()
+        before = weights["before"].take(both, 0).reshape(size, -1)
+        hidden = np.ones((size, WIDTH + 1), np.float32)
         hidden[:, :-1] = before @ places
-        slope = np.zeros_like(hidden)
-        row = known.row[symbols[:inside]]
-        heads = ((0, classes, wrong[0]), (self.at_block, known.block[row], wrong[1]), (self.at_row, row, wrong[2]))
-        rows, moves = [], []
-        for at, right, noise in heads:
-            here, good, bad = hidden[: len(right)], after.take(at + right, 0), after.take(at + noise, 0)
-            true, false = np.einsum("ij,ij->i", here, good), here @ bad.T
-            if at == 0:  # noise is drawn by how frequent classes are; blocks and words start from just that
-                true += self.table[context, right] - usual[right]
-                false += self.table.take(context[:, None] * known.classes + noise)
-                false -= usual[noise]
-            else:
-                true -= np.float32(np.log(WORD_NOISE))
-                false -= np.float32(np.log(WORD_NOISE))
-            true, false = chance(-true)[:, None], chance(false)
-            good *= true
-            good -= false @ bad
-            slope[: len(right)] += good
-            rows += [at + right, at + noise]
-            moves += [true * here, -(false.T @ here)]
+        of_context = self.table.take(context, 0)
+
+        # Noise is drawn by how frequent classes are; blocks and words start from just that.
+        bad = after.take(wrong, 0)
+        against = -bad
+        against[:, -1] += usual[wrong]
+        false = against @ hidden.T  # noise x token
+        false[:WORD_NOISE] -= of_context[:, wrong[:WORD_NOISE]].T
+        false = chance_against(false)
+        false[WORD_NOISE:, inside:] = 0
+
+        good = after.take(right, 0)
+        true = -usual[right]
+        for here, of in heads:
+            true[of] += np.einsum("ij,ij->i", hidden[here], good[of])
+        true[:size] += of_context[np.arange(size), right[:size]]
+        true = chance_against(true)[:, None]
+        good *= true
+        slope = good[:size] - false.T @ bad
+        rows, moves = np.concatenate([right, wrong]), np.empty((len(right) + len(wrong), WIDTH + 1), np.float32)
+        for here, of in heads:
+            np.multiply(true[of], hidden[here], out=moves[of.start or 0 : of.stop or len(right)])
+            if of.start:
+                slope[here] += good[of]
+        np.negative(false @ hidden, out=moves[len(right) :])
         slope = np.ascontiguousarray(slope[:, :-1])
-        backward = slope @ places.T  # of the word before the last, of the last
         gradients = {
-            "after": added(np.concatenate(rows), np.concatenate(moves)),
-            "before": added(np.concatenate([one, two]), np.concatenate([backward[:, :WIDTH], backward[:, WIDTH:]])),
+            "after": added(rows, moves),
+            "before": added(both, (slope @ places.T).reshape(len(both), WIDTH)),
             "places": (np.arange(2 * WIDTH), before.T @ slope),
         }
         for name, (changed, move) in gradients.items():
-            squares = self.squares[name][changed] + np.einsum("ij,ij->i", move, move) / np.float32(move.shape[1])
+            squares = np.einsum("ij,ij->i", move, move)
+            squares /= np.float32(move.shape[1])
+            squares += self.squares[name].take(changed)
             self.squares[name][changed] = squares
             move *= (np.float32(RATE) / np.sqrt(squares))[:, None]
             move += weights[name].take(changed, 0)
             weights[name][changed] = move
-            moved[name][changed] += 1
+        return {name: changed for name, (changed, _) in gradients.items()}
 
 
-def chance(scores: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(-score)); `scores` are overwritten."""
-    np.clip(scores, -30, 30, out=scores)
-    np.negative(scores, out=scores)
-    np.exp(scores, out=scores)
+def chance_against(scores: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(score)); `scores` are overwritten."""
+    with np.errstate(over="ignore"):  # the chance is zero then
+        np.exp(scores, out=scores)
     scores += 1
     return np.reciprocal(scores, out=scores)
 
@@ -572,6 +666,7 @@ def train_words(encoded: DataFrame, network: WordNetwork, words: Broadcast, tota
         group = F.floor(F.spark_partition_id() / GROUP).alias("group")
         some = parts.select("*", group).repartition("matrix", "at", "group").mapInArrow(averaged(True), schema)
         means = some.repartition("matrix", "at").mapInArrow(averaged(False), schema).select("matrix", "at", "moves").collect()
+        begun.destroy()
         names = list(network.weights)
         for found in means:
             matrix = network.weights[names[found["matrix"]]]
@@ -584,7 +679,7 @@ def train_words(encoded: DataFrame, network: WordNetwork, words: Broadcast, tota
 
 def placed(found: list[bytes], words: Words, network: WordNetwork) -> tuple[np.ndarray, ...]:
     """one, two, context, class and symbol of each token of a text."""
-    symbols = network.symbols.of(*words.classify(found))
+    symbols = network.symbols.of(*words.classify(pa.array(found, pa.binary())))
     return network.placed(symbols, np.zeros(1, np.int64), words.class_of_symbol)
 
 
@@ -633,12 +728,7 @@ def trained(docs: DataFrame, id_col: str, text_col: str) -> tuple[Model, DataFra
     sizes = class_sizes(counts, shared, words.classes)
     encoded = encode_documents(docs, shared, id_col, text_col)
     learnt = encoded.where("learnt")
-    runs = count_runs(learnt.select("symbols"), shared, words.classes).toArrow()  # at most (classes + 1) ** 2 * classes rows
-    network = LogBilinear(words.classes)
-    if runs.num_rows:
-        order = np.lexsort((runs["class"].to_numpy(), runs["context"].to_numpy()))
-        network.fit(*(runs[name].to_numpy()[order] for name in ("context", "class", "n")))
-    table = network.table()
+    table = class_table(count_runs(learnt.select("symbols"), shared, words.classes), words.classes)
     of_words = WordNetwork(Symbols(words, sizes), table)
     if total["n"]:
         train_words(learnt.select("row", "symbols"), of_words, shared, total["n"])
